@@ -219,13 +219,16 @@ class Tables:
     def names_a(self) -> DataFrame:
         return self.table("part").select(F.col("p_name").alias("name")).distinct()
 
-    @cached_property
-    def names_b(self) -> DataFrame:
-        """The same names as another vendor would spell them."""
+    @staticmethod
+    def altered_name():
+        """A part name as another vendor would spell it."""
         name = F.col("p_name")
         kind = F.length(name) % 4
         swapped = F.concat_ws(" ", F.split_part(name, F.lit(" "), F.lit(2)), F.split_part(name, F.lit(" "), F.lit(1)))
-        altered = (F.when(kind == 0, name).when(kind == 1, swapped)
-                   .when(kind == 2, F.concat(F.left(name, F.lit(3)), F.substring(name, 5, 1000)))
-                   .otherwise(F.concat(name, F.lit(" "), F.left(name, F.lit(2)))))
-        return self.table("part").select(altered.alias("name")).distinct()
+        return (F.when(kind == 0, name).when(kind == 1, swapped)
+                .when(kind == 2, F.concat(F.left(name, F.lit(3)), F.substring(name, 5, 1000)))
+                .otherwise(F.concat(name, F.lit(" "), F.left(name, F.lit(2)))))
+
+    @cached_property
+    def names_b(self) -> DataFrame:
+        return self.table("part").select(self.altered_name().alias("name")).distinct()

@@ -48,11 +48,14 @@ def date_time_checks(df: DataFrame, date: str | None, time: str | None, today: C
 
 
 def required_columns(df: DataFrame, required: Sequence[str]) -> DataFrame:
-    """One row per required column and whether the schema has it."""
-    # the schema is known without reading data; the row count is one column list
-    have = set(df.columns)
-    return df.sparkSession.createDataFrame(
-        [(c, c in have) for c in required], "column_name string, present boolean")
+    """Presence and filled rows of each required column."""
+    present = [c for c in required if c in df.columns]
+    row = df.agg(F.count(F.lit(1)).alias("total"), *[F.count(quoted(c)).alias(f"n_{i}") for i, c in enumerate(present)])
+    unfolded = F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.lit(c in present).alias("present"),
+                 (F.col(f"n_{present.index(c)}") if c in present else F.lit(0).cast("bigint")).alias("filled_rows"))
+        for c in required])
+    return row.select(F.inline(unfolded))
 
 
 def assert_columns(df: DataFrame, required: Sequence[str]) -> DataFrame:

@@ -6,7 +6,7 @@ import csv
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -47,11 +47,6 @@ def read_any(spark: SparkSession, path: str, schema: T.StructType | None = None)
     return read_parquet(spark, path, schema)
 
 
-def file_name() -> Column:
-    """Plain name of the file a row comes from."""
-    return F.url_decode(F.col("_metadata.file_name"))
-
-
 def reject_date_column(columns: Sequence[str], name: str = "Date") -> None:
     """A feed that gets its date from the file name must not bring one."""
     clash = [c for c in columns if c.strip().lower() == name.lower()]
@@ -81,9 +76,13 @@ def new_or_changed(inventory: DataFrame, state: DataFrame | None,
     return inventory.join(state.select(*by), list(by), "left_anti")
 
 
-def dated_files(inventory: DataFrame, pivot: int = 69, on_undated: str = "skip") -> DataFrame:
-    """Files with the date of their name; undated ones are skipped or fail."""
-    dated = inventory.withColumn("file_date", century_date(F.col("file_name"), pivot))
+def dated_files(inventory: DataFrame, pivot: int = 69, on_undated: str = "skip",
+                dated_by: str = "file_name") -> DataFrame:
+    """Files with the date of their name; undated ones are skipped or fail.
+
+    ``dated_by="path"`` also accepts the date in a folder name.
+    """
+    dated = inventory.withColumn("file_date", century_date(F.url_decode(F.col(dated_by)), pivot))
     if on_undated == "skip":
         return dated.filter(F.col("file_date").isNotNull())
     message = F.concat(F.lit("no date in file name: "), F.col("file_name"))
@@ -107,35 +106,39 @@ def csv_layouts(spark: SparkSession, paths: Sequence[str], encoding: str = "UTF-
 
 
 def read_by_name(spark: SparkSession, paths: Sequence[str], fmt: str, encoding: str = "UTF-8") -> DataFrame:
-    """Files of differing column sets, united by column name."""
+    """Files of differing column sets, united by column name, with their path."""
     if fmt == "parquet":
-        return spark.read.option("mergeSchema", True).parquet(*paths)
+        feed = spark.read.option("mergeSchema", True).parquet(*paths)
+        return feed.select(*[quoted(c) for c in feed.columns], F.col("_metadata.file_path").alias("source_file"))
     if fmt != "csv":
         raise ValueError(f"unsupported feed format {fmt!r}")
     united = None
     for columns, files in csv_layouts(spark, paths, encoding):
+        reader = spark.read.option("header", True).option("encoding", encoding)
         schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-        part = read_csv(spark, files, schema, encoding).withColumn("_file", file_name())
+        part = reader.schema(schema).csv(files).select(
+            *[quoted(c) for c in columns], F.col("_metadata.file_path").alias("source_file"))
         united = part if united is None else united.unionByName(part, allowMissingColumns=True)
     return united
 
 
 def read_dated_folder(spark: SparkSession, folder: str, fmt: str, pivot: int = 69,
                       on_undated: str = "skip", state: DataFrame | None = None,
-                      date: str = "Date") -> DataFrame | None:
+                      date: str = "Date", dated_by: str = "file_name") -> DataFrame | None:
     """All new files of a folder as one table with their date in front.
 
     ``state`` (as given by :func:`file_inventory`) leaves out files already
     processed; ``None`` is a full refresh.  Returns None when nothing is new.
     """
-    files = dated_files(new_or_changed(file_inventory(spark, folder, f"*.{fmt}"), state), pivot, on_undated)
+    files = dated_files(new_or_changed(file_inventory(spark, folder, f"*.{fmt}"), state),
+                        pivot, on_undated, dated_by)
     paths = [row.path for row in files.select("path").collect()]
     if not paths:
         return None
     feed = read_by_name(spark, paths, fmt)
-    if "_file" not in feed.columns:
-        feed = feed.withColumn("_file", file_name())
-    reject_date_column([c for c in feed.columns if c != "_file"], date)
-    own = [c for c in feed.columns if c != "_file"]
-    return feed.select(century_date(F.col("_file"), pivot).alias(date), *[quoted(c) for c in own],
-                       F.col("_file").alias("source_file"))
+    own = [c for c in feed.columns if c != "source_file"]
+    reject_date_column(own, date)
+    plain = F.url_decode(F.col("source_file"))
+    text = plain if dated_by == "path" else F.element_at(F.split(plain, "/"), -1)
+    return feed.select(century_date(text, pivot).alias(date), *[quoted(c) for c in own],
+                       plain.alias("source_file"))
