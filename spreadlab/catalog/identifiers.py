@@ -40,7 +40,7 @@ _RULES = f"""
     SELECT row_id, x AS cusip_original, std AS cusip_standardized, status AS standardization_status,
            message AS standardization_message FROM done""")
 def _(t):
-    return t.identifiers.select("row_id", ids.standardize(F.col("cusip")).alias("s")).select("row_id", "s.*")
+    return ids.standardized_columns(t.identifiers, "cusip").drop("cusip")
 
 
 @query("cus_02_standardize_column", "identifiers", _RULES + """
@@ -70,7 +70,7 @@ def _(t):
                 WHEN kind IS NULL THEN 'No pattern match' WHEN bad THEN 'Check digit validation failed'
                 ELSE 'Valid ' || kind || ' CUSIP' END AS validation_message FROM done""")
 def _(t):
-    return t.identifiers.select("row_id", ids.validate(F.col("cusip")).alias("v")).select("row_id", "v.*")
+    return ids.validated_columns(t.identifiers, "cusip")
 
 
 @query("cus_05_column_statistics", "identifiers", _RULES + """

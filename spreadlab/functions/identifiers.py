@@ -25,7 +25,6 @@ PATTERNS = {
     "cash": r"^CASH\s*[A-Z]{3}$",
 }
 
-_ALPHABET = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 EMPTY_MESSAGE = "Empty or null CUSIP"
 
 
@@ -59,9 +58,14 @@ def normalized(c: Column) -> Column:
 
 
 def check_digit(c: Column) -> Column:
-    """Modulus-10 double-add-double digit over the first eight characters."""
+    """Modulus-10 double-add-double digit over the first eight characters.
+
+    Digits count as themselves, letters from A as 10; every second value is
+    doubled and the decimal digits of all values are summed.
+    """
     def weighted(i):
-        value = (F.position(c.substr(i, 1), F.lit(_ALPHABET)) - 1) * (2 if i % 2 == 0 else 1)
+        code = F.ascii(c.substr(i, 1))
+        value = F.when(code < 58, code - 48).otherwise(code - 55) * (2 if i % 2 == 0 else 1)
         return F.floor(value / 10) + value % 10
     total = sum((weighted(i) for i in range(2, 9)), weighted(1))
     return (F.lit(10) - total % 10) % 10
@@ -86,78 +90,77 @@ def pattern_type(c: Column) -> Column:
     return found
 
 
-def standardize(c: Column, special: SpecialIdentifiers | None = None,
-                verify_check_digit: bool = True) -> Column:
-    """Struct of original, standardized, status and message."""
+def _classified(df: DataFrame, column: str, special: SpecialIdentifiers | None,
+                verify_check_digit: bool) -> DataFrame:
+    """``df`` with the normalized text ``_x``, special form, pattern and verdict.
+
+    Each step is a projection of its own: a value used by several later
+    expressions is computed once per row.
+    """
     special = special or SpecialIdentifiers()
-    text = normalized(c)
-    mapped = special.lookup(text)
-    kind = pattern_type(text)
-    bad_digit = (kind == "standard_9") & ~has_valid_check_digit(text) if verify_check_digit else F.lit(False)
-    form = (F.when(kind == "standard_8", with_check_digit(text))
-            .when(kind.isin("standard_6", "cdx"), F.rpad(text, 9, "0"))
-            .when(kind == "cash", F.regexp_replace(text, r"\s+", ""))
-            .otherwise(text))
-    standardized = (F.when(text == "", text).when(mapped.isNotNull(), mapped)
-                    .when(F.coalesce(bad_digit, F.lit(False)), text).otherwise(form))
-    status = (F.when(text == "", "invalid").when(mapped.isNotNull(), "mapped")
-              .when(kind.isNull() | bad_digit, "invalid").otherwise("standardized"))
-    message = (F.when(text == "", EMPTY_MESSAGE)
-               .when(mapped.isNotNull(), "Special mapping applied")
-               .when(kind.isNull(), "No pattern match")
-               .when(bad_digit, "Check digit validation failed")
-               .otherwise(F.concat(F.lit("Pattern: "), kind)))
-    return F.struct(text.alias("cusip_original"), standardized.alias("cusip_standardized"),
-                    status.alias("standardization_status"), message.alias("standardization_message"))
+    x, kind = F.col("_x"), F.col("_kind")
+    staged = df.withColumn("_x", normalized(quoted(column)))
+    staged = staged.withColumns({"_special": special.lookup(x), "_kind": pattern_type(x)})
+    staged = staged.withColumn("_digit", F.when(kind.isin("standard_8", "standard_9"), check_digit(x).cast("string")))
+    bad = F.lit(False)
+    if verify_check_digit:
+        bad = F.coalesce((kind == "standard_9") & (x.substr(9, 1) != F.col("_digit")), F.lit(False))
+    return staged.withColumn("_bad", bad)
+
+
+_STEPS = ("_x", "_special", "_kind", "_digit", "_bad")
 
 
 def standardized_columns(df: DataFrame, column: str = "CUSIP",
                          special: SpecialIdentifiers | None = None,
                          verify_check_digit: bool = True) -> DataFrame:
-    """``df`` with the four standardization columns appended."""
-    result = standardize(quoted(column), special, verify_check_digit)
-    return df.withColumn("_std", result).select(*[quoted(c) for c in df.columns], "_std.*")
-
-
-def validate(c: Column, special: SpecialIdentifiers | None = None,
-             verify_check_digit: bool = True) -> Column:
-    """Struct of text, validity, type and message."""
-    special = special or SpecialIdentifiers()
-    text = normalized(c)
-    is_special = special.lookup(text).isNotNull()
-    kind = pattern_type(text)
-    bad_digit = F.coalesce((kind == "standard_9") & ~has_valid_check_digit(text), F.lit(False)) \
-        if verify_check_digit else F.lit(False)
-    valid = (text != "") & (is_special | (kind.isNotNull() & ~bad_digit))
-    message = (F.when(text == "", EMPTY_MESSAGE)
-               .when(is_special, "Special CUSIP mapping")
-               .when(kind.isNull(), "No pattern match")
-               .when(bad_digit, "Check digit validation failed")
+    """``df`` with original, standardized form, status and message appended."""
+    x, mapped, kind, bad = F.col("_x"), F.col("_special"), F.col("_kind"), F.col("_bad")
+    form = (F.when(kind == "standard_8", F.concat(x, F.col("_digit")))
+            .when(kind.isin("standard_6", "cdx"), F.rpad(x, 9, "0"))
+            .when(kind == "cash", F.regexp_replace(x, r"\s+", ""))
+            .otherwise(x))
+    status = (F.when(x == "", "invalid").when(mapped.isNotNull(), "mapped")
+              .when(kind.isNull() | bad, "invalid").otherwise("standardized"))
+    message = (F.when(x == "", EMPTY_MESSAGE).when(mapped.isNotNull(), "Special mapping applied")
+               .when(kind.isNull(), "No pattern match").when(bad, "Check digit validation failed")
+               .otherwise(F.concat(F.lit("Pattern: "), kind)))
+    return _classified(df, column, special, verify_check_digit).select(
+        *[quoted(c) for c in df.columns], x.alias("cusip_original"),
+        F.when((x == "") | bad, x).otherwise(F.coalesce(mapped, form)).alias("cusip_standardized"),
+        status.alias("standardization_status"), message.alias("standardization_message"))
+
+
+def validated_columns(df: DataFrame, column: str = "CUSIP", special: SpecialIdentifiers | None = None,
+                      verify_check_digit: bool = True) -> DataFrame:
+    """``df`` with normalized text, validity, type and message appended."""
+    x, kind, bad = F.col("_x"), F.col("_kind"), F.col("_bad")
+    is_special = F.col("_special").isNotNull()
+    message = (F.when(x == "", EMPTY_MESSAGE).when(is_special, "Special CUSIP mapping")
+               .when(kind.isNull(), "No pattern match").when(bad, "Check digit validation failed")
                .otherwise(F.concat(F.lit("Valid "), kind, F.lit(" CUSIP"))))
-    return F.struct(text.alias("cusip"), valid.alias("is_valid"),
-                    F.when(is_special, "special_mapping").otherwise(kind).alias("cusip_type"),
-                    message.alias("validation_message"))
+    return _classified(df, column, special, verify_check_digit).select(
+        *[quoted(c) for c in df.columns if c != "cusip"], x.alias("cusip"),
+        ((x != "") & (is_special | (kind.isNotNull() & ~bad))).alias("is_valid"),
+        F.when(is_special, "special_mapping").otherwise(kind).alias("cusip_type"),
+        message.alias("validation_message"))
 
 
 def identifier_statistics(df: DataFrame, column: str = "CUSIP",
                           special: SpecialIdentifiers | None = None) -> DataFrame:
-    """One row per identifier type with totals and rates over the column.
+    """Counts per identifier type; there are at most as many rows as types.
 
     Special identifiers count as standardized but neither valid nor invalid.
     """
-    special = special or SpecialIdentifiers()
-    checked = df.select(validate(quoted(column), special).alias("v"),
-                        standardize(quoted(column), special).alias("s"))
-    kind = (F.when(F.col("v.cusip") == "", "empty")
-            .otherwise(F.coalesce(F.col("v.cusip_type"), F.lit("unknown"))))
-    is_special = kind == "special_mapping"
-    by_type = checked.groupBy(kind.alias("cusip_type")).agg(
+    checked = validated_columns(df.select(quoted(column).alias("cusip")), "cusip", special)
+    kind = F.when(F.col("cusip") == "", "empty").otherwise(F.coalesce("cusip_type", F.lit("unknown")))
+    is_special = F.col("kind") == "special_mapping"
+    # what is valid is exactly what standardization accepts
+    return checked.withColumn("kind", kind).groupBy(F.col("kind").alias("cusip_type")).agg(
         F.count(F.lit(1)).alias("type_count"),
-        F.count_if(F.col("v.is_valid") & ~is_special).alias("valid"),
-        F.count_if(~F.col("v.is_valid")).alias("invalid"),
-        F.count_if(F.col("s.standardization_status") != "invalid").alias("standardized"))
-    # one row per type: at most len(PATTERNS) + 3 rows
-    return by_type
+        F.count_if(F.col("is_valid") & ~is_special).alias("valid"),
+        F.count_if(~F.col("is_valid")).alias("invalid"),
+        F.count_if("is_valid").alias("standardized"))
 
 
 def identifier_summary(df: DataFrame, column: str = "CUSIP",
