@@ -61,13 +61,14 @@ def check_digit(c: Column) -> Column:
     """Modulus-10 double-add-double digit over the first eight characters.
 
     Digits count as themselves, letters from A as 10; every second value is
-    doubled and the decimal digits of all values are summed.
+    doubled and the decimal digits of all values are summed.  Written as a fold
+    so that the expression stays small where the optimizer repeats it.
     """
-    def weighted(i):
-        code = F.ascii(c.substr(i, 1))
-        value = F.when(code < 58, code - 48).otherwise(code - 55) * (2 if i % 2 == 0 else 1)
-        return F.floor(value / 10) + value % 10
-    total = sum((weighted(i) for i in range(2, 9)), weighted(1))
+    def add(total, i):
+        code = F.ascii(F.substring(c, i, F.lit(1)))
+        value = (code - F.when(code < 58, 48).otherwise(55)) * (F.lit(2) - i % 2)
+        return total + F.floor(value / 10).cast("int") + value % 10
+    total = F.aggregate(F.sequence(F.lit(1), F.lit(8)), F.lit(0), add)
     return (F.lit(10) - total % 10) % 10
 
 
