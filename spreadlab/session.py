@@ -8,7 +8,6 @@ setting is absent, i.e. in tests.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -35,27 +34,27 @@ def local_session(cores: str = "*", app: str = "spreadlab", shuffle_partitions:
 
 def scratch_root(spark: SparkSession) -> str:
     """The shared scratch folder of this session."""
-    root = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getConf().get(CHECKPOINT_CONF)
+    context = spark.sparkContext
+    root = context.getConf().get(CHECKPOINT_CONF)
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(f"{CHECKPOINT_CONF} must name a folder all executors can reach")
-    root = os.environ.get("SPREADLAB_SCRATCH") or tempfile.mkdtemp(prefix="spreadlab-")
-    spark.conf.set(CHECKPOINT_CONF, root)
-    return root
+    if context.getCheckpointDir() is None:
+        if not context.master.startswith("local"):
+            raise RuntimeError(f"{CHECKPOINT_CONF} must name a folder all executors can reach")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="spreadlab-"))
+    return context.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh folder name below the scratch root."""
-    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    """A fresh folder name below the scratch root, grouped by application."""
+    return f"{scratch_root(spark)}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
 
 def checkpointed(df: DataFrame, eager: bool = True) -> DataFrame:
     """Cut lineage with a reliable checkpoint (survives executor loss)."""
-    spark = df.sparkSession
-    context = spark.sparkContext
+    context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(scratch_root(spark))
+        context.setCheckpointDir(scratch_root(df.sparkSession))
     return df.checkpoint(eager=eager)
 
 

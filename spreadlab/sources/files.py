@@ -6,7 +6,7 @@ import csv
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -82,13 +82,18 @@ def dated_files(inventory: DataFrame, pivot: int = 69, on_undated: str = "skip",
 
     ``dated_by="path"`` also accepts the date in a folder name.
     """
-    dated = inventory.withColumn("file_date", century_date(F.url_decode(F.col(dated_by)), pivot))
+    dated = inventory.withColumn("file_date", century_date(F.col(dated_by), pivot))
     if on_undated == "skip":
         return dated.filter(F.col("file_date").isNotNull())
     message = F.concat(F.lit("no date in file name: "), F.col("file_name"))
     return dated.withColumn("file_date", F.coalesce("file_date", F.raise_error(message).cast("date")))
 
 
+def _plain_path(c: Column) -> Column:
+    """Readable form of a ``_metadata`` path, which is percent-encoded."""
+    return F.url_decode(F.replace(c, F.lit("+"), F.lit("%2B")))
+
+
 def csv_layouts(spark: SparkSession, paths: Sequence[str], encoding: str = "UTF-8") -> list[tuple[list[str], list[str]]]:
     """Files grouped by their header line: (column names, paths).
 
@@ -97,7 +102,7 @@ def csv_layouts(spark: SparkSession, paths: Sequence[str], encoding: str = "UTF-
     the file names, which the driver's file listing holds anyway.
     """
     lines = (spark.read.option("encoding", encoding).text(list(paths))
-             .select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"),
+             .select(_plain_path(F.col("_metadata.file_path")).alias("path"), F.col("_metadata.file_block_start").alias("start"),
                      F.monotonically_increasing_id().alias("position"), "value"))
     headers = lines.filter(F.col("start") == 0).groupBy("path").agg(F.min_by("value", "position").alias("header"))
     layouts = headers.groupBy("header").agg(F.sort_array(F.collect_list("path")).alias("paths"))
@@ -109,7 +114,7 @@ def read_by_name(spark: SparkSession, paths: Sequence[str], fmt: str, encoding:
     """Files of differing column sets, united by column name, with their path."""
     if fmt == "parquet":
         feed = spark.read.option("mergeSchema", True).parquet(*paths)
-        return feed.select(*[quoted(c) for c in feed.columns], F.col("_metadata.file_path").alias("source_file"))
+        return feed.select(*[quoted(c) for c in feed.columns], _plain_path(F.col("_metadata.file_path")).alias("source_file"))
     if fmt != "csv":
         raise ValueError(f"unsupported feed format {fmt!r}")
     united = None
@@ -117,7 +122,7 @@ def read_by_name(spark: SparkSession, paths: Sequence[str], fmt: str, encoding:
         reader = spark.read.option("header", True).option("encoding", encoding)
         schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
         part = reader.schema(schema).csv(files).select(
-            *[quoted(c) for c in columns], F.col("_metadata.file_path").alias("source_file"))
+            *[quoted(c) for c in columns], _plain_path(F.col("_metadata.file_path")).alias("source_file"))
         united = part if united is None else united.unionByName(part, allowMissingColumns=True)
     return united
 
@@ -132,13 +137,12 @@ def read_dated_folder(spark: SparkSession, folder: str, fmt: str, pivot: int = 6
     """
     files = dated_files(new_or_changed(file_inventory(spark, folder, f"*.{fmt}"), state),
                         pivot, on_undated, dated_by)
-    paths = [row.path for row in files.select("path").collect()]
+    paths = [row.path for row in files.select("path", "file_date").collect()]
     if not paths:
         return None
     feed = read_by_name(spark, paths, fmt)
     own = [c for c in feed.columns if c != "source_file"]
     reject_date_column(own, date)
-    plain = F.url_decode(F.col("source_file"))
-    text = plain if dated_by == "path" else F.element_at(F.split(plain, "/"), -1)
-    return feed.select(century_date(text, pivot).alias(date), *[quoted(c) for c in own],
-                       plain.alias("source_file"))
+    path = F.col("source_file")
+    text = path if dated_by == "path" else F.element_at(F.split(path, "/"), -1)
+    return feed.select(century_date(text, pivot).alias(date), *[quoted(c) for c in own], path)
