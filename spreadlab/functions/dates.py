@@ -11,31 +11,40 @@ DATE_FEATURES = ("Year", "Month", "Quarter", "DayOfWeek", "DayName", "MonthName"
                  "IsBusinessDay", "IsMonthEnd", "IsQuarterEnd", "IsYearEnd")
 
 
-def century_date(text: Column, pivot: int = 69, pattern: str = r"(\d{2})\.(\d{2})\.(\d{2})") -> Column:
+def _full_year(short_year: Column, pivot: int) -> Column:
+    """Four-digit text of a two-digit year; from ``pivot`` on it is 19yy."""
+    return F.concat(F.when(short_year.try_cast("int") < pivot, "20").otherwise("19"), short_year)
+
+
+def century_date(text: Column, pivot: int = 69) -> Column:
     """Date from ``MM.DD.YY`` inside a text; years from ``pivot`` on are 19yy.
 
     NULL where the text holds no such group or the group is no calendar day.
     """
-    part = [F.regexp_extract(text, pattern, i).try_cast("int") for i in (1, 2, 3)]
-    month, day, short_year = part
-    year = F.when(short_year < pivot, short_year + 2000).otherwise(short_year + 1900)
-    return F.try_to_date(F.format_string("%04d-%02d-%02d", year, month, day), "yyyy-MM-dd")
+    found = F.nullif(F.regexp_extract(text, r"\d{2}\.\d{2}\.\d{2}", 0), F.lit(""))
+    return F.concat_ws("-", _full_year(F.right(found, F.lit(2)), pivot),
+                       F.left(found, F.lit(2)), F.substring(found, 4, 2)).try_cast("date")
 
 
-def parse_date(c: Column, fmt: str) -> Column:
-    """Date by one format, NULL where it does not fit.
+def parse_date(c: Column, fmt: str, pivot: int = 69) -> Column:
+    """Date by one format of day, month and year, NULL where it does not fit.
 
-    For a two-digit year the strptime pivot applies (69 and later are 19yy),
-    which differs from the ``yy`` letter of Spark.
+    The parts are checked by shape and put in ISO order, which the plain cast
+    reads; a formatter would raise and catch an exception per misfit.  For a
+    two-digit year the strptime pivot applies (69 and later are 19yy), which
+    differs from the ``yy`` letter of Spark.
     """
+    separator = next(ch for ch in fmt if not ch.isalpha())
+    fields = fmt.split(separator)
+    shapes = {"yyyy": r"\d{4}", "yy": r"\d{2}", "MM": r"\d{1,2}", "dd": r"\d{1,2}"}
+    if not set(fields) <= set(shapes) or len(fields) != 3:
+        raise ValueError(f"unsupported date format {fmt!r}")
     text = F.trim(c.cast("string"))
-    if "yyyy" in fmt:
-        return F.try_to_date(text, fmt)
-    if fmt == "MM/dd/yy":
-        whole = F.when(text.rlike(r"^\d{1,2}/\d{1,2}/\d{2}$"), F.regexp_replace(text, "/", "."))
-        padded = F.concat_ws(".", F.transform(F.split(whole, r"\."), lambda p: F.lpad(p, 2, "0")))
-        return F.when(whole.isNotNull(), century_date(padded))
-    raise ValueError(f"unsupported date format {fmt!r}")
+    shape = "^" + f"[{separator}]".join(shapes[f] for f in fields) + "$"
+    parts = F.when(text.rlike(shape), F.split(text, f"[{separator}]"))
+    part = {f: F.get(parts, F.lit(i)) for i, f in enumerate(fields)}
+    year = part["yyyy"] if "yyyy" in part else _full_year(part["yy"], pivot)
+    return F.concat(year, F.lit("-"), part["MM"], F.lit("-"), part["dd"]).try_cast("date")
 
 
 def parse_with_first_fitting(df: DataFrame, column: str, formats: Sequence[str],

@@ -59,19 +59,18 @@ def forward_filled(cells: DataFrame, date: str, security: str, value: str, limit
 
     Instead of building every date × security cell, each observation is
     repeated up to the grid position before the next one, so the result (and
-    the work) holds non-empty cells only.
+    the work) holds non-empty cells only.  ``cells`` is read for the calendar
+    and for the values: stage it when it is expensive.
     """
-    grid = calendar(cells, date)
-    last_position = grid.agg(F.max("position").alias("p")).scalar()
-    positioned = cells.join(grid, date)
+    days = cells.agg(F.sort_array(F.collect_set(quoted(date)))).scalar()
     window = Window.partitionBy(quoted(security)).orderBy("position")
-    until = F.least(F.lead("position").over(window) - 1, F.col("position") + limit, last_position)
+    until = F.least(F.lead("position").over(window) - 1, F.col("position") + limit, F.size(days) - 1)
     kept = [quoted(c) for c in (security, value, *carried)]
-    spread = (positioned.withColumn("_until", until)
+    spread = (cells.join(calendar(cells, date), date).withColumn("_until", until)
               .select(*kept, F.col("position").alias("_from"),
                       F.explode(F.sequence("position", "_until")).alias("position")))
-    return (spread.join(grid, "position")
-            .select(quoted(date), *kept, (F.col("position") > F.col("_from")).alias("is_filled")))
+    return spread.select(F.get(days, F.col("position")).alias(date), *kept,
+                         (F.col("position") > F.col("_from")).alias("is_filled"))
 
 
 def full_grid(cells: DataFrame, date: str, security: str, value: str) -> DataFrame:
