@@ -12,8 +12,7 @@ from spreadlab.functions.dates import parse_date
 from spreadlab.functions.scalars import quoted, to_double
 from spreadlab.operators.dedup import duplicate_groups
 from spreadlab.operators.profiling import (
-    columns_above_null_share, date_coverage, duplicate_rows, null_counts, numeric_columns,
-    numeric_statistics, per_column)
+    date_coverage, distinct_counts, duplicate_rows, numeric_columns, per_column)
 from spreadlab.params import QualityParams
 
 CLOCK_PATTERN = r"^([01]?\d|2[0-3]):[0-5]\d$"
@@ -34,8 +33,7 @@ def negative_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return counts.withColumn("passed", F.col("negative_count") == 0)
 
 
-def date_time_checks(df: DataFrame, date: str | None, time: str | None, today: Column) -> DataFrame:
-    """NULL and future dates, NULL and malformed times: one row per check."""
+def _date_time_counts(df: DataFrame, date: str | None, time: str | None, today: Column) -> dict[str, Column]:
     checks: dict[str, Column] = {}
     if date in df.columns:
         checks["null_dates"] = F.count_if(quoted(date).isNull())
@@ -43,6 +41,12 @@ def date_time_checks(df: DataFrame, date: str | None, time: str | None, today: C
     if time in df.columns:
         checks["null_times"] = F.count_if(quoted(time).isNull())
         checks["invalid_times"] = F.count_if(~quoted(time).rlike(CLOCK_PATTERN))
+    return checks
+
+
+def date_time_checks(df: DataFrame, date: str | None, time: str | None, today: Column) -> DataFrame:
+    """NULL and future dates, NULL and malformed times: one row per check."""
+    checks = _date_time_counts(df, date, time, today)
     row = df.agg(*[c.alias(n) for n, c in checks.items()])
     return row.unpivot([], list(checks), "check_type", "n")
 
@@ -78,43 +82,53 @@ def date_format_verdict(df: DataFrame, column: str, params: QualityParams = Qual
     return row.select(F.inline(unfolded)).withColumns({"share": share, "verdict": verdict})
 
 
-def _row(check: str, column: Column, value: Column, result: Column) -> list[Column]:
-    return [F.lit(check).alias("check_type"), column.alias("column_name"),
-            value.cast("double").alias("check_value"), result.alias("check_result")]
-
-
 def quality_report(df: DataFrame, non_negative: Sequence[str], date: str | None, time: str | None,
                    today: Column, params: QualityParams = QualityParams()) -> DataFrame:
-    """All checks of a table as (check, column, value, result) rows."""
-    none = F.lit(None).cast("string")
-    nulls = null_counts(df)
-    limit = params.null_warning_pct
-    parts = [
-        df.agg(F.count(F.lit(1)).alias("v")).select(*_row("total_rows", none, F.col("v"), F.lit("info"))),
-        nulls.agg(F.count(F.lit(1)).alias("v")).select(*_row("total_columns", none, F.col("v"), F.lit("info"))),
-        nulls.select(*_row("null_pct", F.col("column_name"), F.round("null_pct", 2),
-                           F.when(F.col("null_pct") > limit, "warning").otherwise("passed"))),
-        duplicate_rows(df).select(*_row("duplicate_rows", none, F.col("duplicate_rows"),
-                                        F.when(F.col("duplicate_rows") > 0, "warning").otherwise("passed"))),
-    ]
+    """All checks of a table as (check, column, value, result) rows.
+
+    Counts, missing values, statistics, signs and dates come from one aggregate
+    row; repeated rows and distinct values need a grouping each.
+    """
     numbers = numeric_columns(df)
+    signed = [c for c in non_negative if c in df.columns]
+    aggregates: list[Column] = [F.count(F.lit(1)).alias("rows")]
+    entries: list[tuple[str, str | None, Column, Column | str]] = [
+        ("total_rows", None, F.col("rows"), "info"), ("total_columns", None, F.lit(len(df.columns)), "info")]
+
+    def measure(check: str, column: str | None, value: Column, result, finish=lambda c: c) -> None:
+        name = f"m{len(aggregates)}"
+        aggregates.append(value.alias(name))
+        done = finish(F.col(name))
+        entries.append((check, column, done, result(done) if callable(result) else result))
+
+    flagged = lambda verdict: lambda c: F.when(c > 0, verdict).otherwise("passed")
+    for c in df.columns:
+        measure("null_pct", c, F.count_if(quoted(c).isNull()),
+                lambda pct: F.when(pct > params.null_warning_pct, "warning").otherwise("passed"),
+                finish=lambda k: F.try_divide(k * 100.0, F.col("rows")))
+    for c in numbers:
+        for check, build in (("min", F.min), ("max", F.max), ("mean", F.avg), ("std", F.stddev_samp)):
+            measure(check, c, build(quoted(c)), "info")
+    for c in signed:
+        measure("negative_values", c, F.count_if(quoted(c) < 0), flagged("failed"))
+    for check, value in _date_time_counts(df, date, time, today).items():
+        measure(check, None, value, flagged("warning"))
+
+    text = lambda v: (F.lit(v) if isinstance(v, str) or v is None else v).cast("string")
+    rows = df.agg(*aggregates).select(F.inline(F.array(*[
+        F.struct(F.lit(check).alias("check_type"), text(column).alias("column_name"),
+                 (F.round(value, 2) if check == "null_pct" else value).cast("double").alias("check_value"),
+                 text(result).alias("check_result"))
+        for check, column, value, result in entries])))
+    repeated = duplicate_rows(df).select(
+        F.lit("duplicate_rows").alias("check_type"), F.lit(None).cast("string").alias("column_name"),
+        F.col("duplicate_rows").cast("double").alias("check_value"),
+        F.when(F.col("duplicate_rows") > 0, "warning").otherwise("passed").alias("check_result"))
+    report = rows.unionByName(repeated)
     if numbers:
-        statistics = numeric_statistics(df, numbers).select(
-            "column_name", "min", "max", "mean", "std", F.col("unique_count").cast("double").alias("unique_count"))
-        long = statistics.unpivot(["column_name"], ["min", "max", "mean", "std", "unique_count"], "k", "v")
-        parts.append(long.select(F.col("k").alias("check_type"), "column_name",
-                                 F.col("v").alias("check_value"), F.lit("info").alias("check_result")))
-    if any(c in df.columns for c in non_negative):
-        parts.append(negative_counts(df, non_negative).select(
-            *_row("negative_values", F.col("column_name"), F.col("negative_count"),
-                  F.when(F.col("passed"), "passed").otherwise("failed"))))
-    if date in df.columns or time in df.columns:
-        parts.append(date_time_checks(df, date, time, today).select(
-            F.col("check_type"), none.alias("column_name"), F.col("n").cast("double").alias("check_value"),
-            F.when(F.col("n") > 0, "warning").otherwise("passed").alias("check_result")))
-    report = parts[0]
-    for part in parts[1:]:
-        report = report.unionByName(part)
+        report = report.unionByName(distinct_counts(df, numbers).select(
+            F.lit("unique_count").alias("check_type"), "column_name",
+            F.col("unique_count").cast("double").alias("check_value"), F.lit("info").alias("check_result")))
     return report
 
 
@@ -188,9 +202,3 @@ def reference_contract(df: DataFrame, key: str, columns: Sequence[str]) -> DataF
              .select(F.lit("empty_table").alias("violation"), F.lit(None).cast("string").alias("key"), "n_rows"))
     return repeated.unionByName(empty)
 
-
-__all__ = [
-    "all_tables_summary", "assert_columns", "columns_above_null_share", "date_format_verdict",
-    "date_like_columns", "date_time_checks", "negative_counts", "non_numeric_rows", "quality_report",
-    "reference_contract", "required_columns", "table_profile", "time_series_columns", "validation_passed",
-]

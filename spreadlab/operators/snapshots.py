@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from spreadlab.functions.dates import is_business_day, reference_date
 from spreadlab.functions.scalars import quoted
+from spreadlab.session import checkpointed
 
 
 def latest_date(df: DataFrame, date: str) -> Column:
@@ -65,14 +66,20 @@ def last_dates(df: DataFrame, date: str, n: int) -> DataFrame:
     return df.select(quoted(date)).distinct().orderBy(quoted(date).desc()).limit(n)
 
 
+def _dates(df: DataFrame, date: str) -> DataFrame:
+    """The distinct dates, kept: one pass over the table, a calendar of rows."""
+    return checkpointed(df.select(quoted(date)).distinct())
+
+
 def reference_dates(df: DataFrame, date: str, periods: Sequence[str]) -> DataFrame:
     """One row per period: reference day and the as-of date of the table.
 
     The as-of date is the greatest stored date not after the reference day; it
     is global, not per key, and NULL when the history is too short.
     """
-    latest = latest_date(df, date)
-    found = df.agg(*[
+    days = _dates(df, date)
+    latest = latest_date(days, date)
+    found = days.agg(*[
         F.max(F.when(quoted(date) <= reference_date(latest, p), quoted(date))).alias(f"a{i}")
         for i, p in enumerate(periods)])
     rows = F.array(*[
@@ -84,8 +91,9 @@ def reference_dates(df: DataFrame, date: str, periods: Sequence[str]) -> DataFra
 
 def as_of_columns(df: DataFrame, date: str, periods: Sequence[str]) -> dict[str, Column]:
     """Latest date (key ``latest``) and as-of date per period as subqueries."""
-    latest = latest_date(df, date)
-    found = df.agg(
+    days = _dates(df, date)
+    latest = latest_date(days, date)
+    found = days.agg(
         F.max(quoted(date)).alias("latest"),
         *[F.max(F.when(quoted(date) <= reference_date(latest, p), quoted(date))).alias(p)
           for p in periods])

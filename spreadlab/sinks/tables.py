@@ -67,7 +67,8 @@ def table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
 
 def merge_latest(new: DataFrame, path: str, keys: Sequence[str], order: Sequence[str], date: str) -> None:
     """Merge rows by key; of several rows the greatest ``order`` wins."""
-    stored = _affected(new, path, date)
+    new = staged(new, "batch")
+    stored = _stored_dates(new, path, date)
     merged = keep_last(stored.unionByName(new, allowMissingColumns=True), keys, order)
     replace_dates(staged(merged, "merge"), path, date, sort=[k for k in keys if k != date])
 
@@ -78,7 +79,8 @@ def upsert(new: DataFrame, path: str, keys: Sequence[str], date: str | None = No
 
     Among several new rows of a key the greatest ``order`` wins.
     """
-    stored = _affected(new, path, date) if date else table(new.sparkSession, path, new.schema)
+    new = staged(new, "batch")
+    stored = _stored_dates(new, path, date) if date else table(new.sparkSession, path, new.schema)
     both = (stored.withColumn("_new", F.lit(0))
             .unionByName(new.withColumn("_new", F.lit(1)), allowMissingColumns=True))
     merged = staged(keep_last(both, keys, ["_new", *order]).drop("_new"), "upsert")
@@ -88,23 +90,32 @@ def upsert(new: DataFrame, path: str, keys: Sequence[str], date: str | None = No
         overwrite(merged, path)
 
 
-def _affected(new: DataFrame, path: str, date: str) -> DataFrame:
-    """Stored rows of the dates in ``new``; the join prunes partitions."""
+def _stored_dates(new: DataFrame, path: str, date: str) -> DataFrame:
+    """Stored rows of the dates that occur in ``new``.
+
+    The dates (one per calendar day at most) are a scalar subquery on the
+    partition column, so only their partitions are listed and read; a join on
+    the date would scan the whole table.
+    """
     stored = table(new.sparkSession, path, new.schema)
-    return stored.join(new.select(quoted(date)).distinct(), date, "left_semi").select(*new.columns)
+    days = new.agg(F.collect_set(quoted(date))).scalar()
+    return stored.filter(F.array_contains(days, quoted(date))).select(*[quoted(c) for c in new.columns])
 
 
 def insert_absent(new: DataFrame, path: str, keys: Sequence[str], date: str | None = None) -> None:
     """Append the rows whose key is not stored yet."""
-    stored = table(new.sparkSession, path, new.schema)
-    fresh = new.join(stored.select(*[quoted(k) for k in keys]), list(keys), "left_anti").select(*new.columns)
-    append(staged(fresh, "insert-absent"), path, date)
+    new = staged(new, "batch")
+    by_date = date is not None and date in keys
+    stored = _stored_dates(new, path, date) if by_date else table(new.sparkSession, path, new.schema)
+    fresh = new.join(stored.select(*[quoted(k) for k in keys]), list(keys), "left_anti")
+    append(staged(fresh.select(*[quoted(c) for c in new.columns]), "insert-absent"), path, date)
 
 
 def insert_new_dates(new: DataFrame, path: str, date: str) -> None:
     """Append the rows of dates that are not stored yet."""
-    stored = table(new.sparkSession, path, new.schema).select(quoted(date)).distinct()
-    fresh = new.join(stored, date, "left_anti").select(*new.columns)
+    new = staged(new, "batch")
+    stored = _stored_dates(new, path, date).select(quoted(date)).distinct()
+    fresh = new.join(stored, date, "left_anti").select(*[quoted(c) for c in new.columns])
     append(staged(fresh, "insert-dates"), path, date)
 
 
