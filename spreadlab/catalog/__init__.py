@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from spreadlab.fixtures import Tables, sql
 
@@ -12,6 +13,16 @@ _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {}
 _SQL: dict[str, str] = {}
 
 
+def rounded(c: Column | str) -> Column:
+    """Six digits, for comparing floating results of two engines.
+
+    Means of prices are often exact halves in the seventh digit, where the last
+    bit decides; the tiny shift, also in the SQL, moves the border away from
+    them.
+    """
+    return F.round((F.col(f"`{c}`") if isinstance(c, str) else c) + 1.37e-9, 6)
+
+
 def query(name: str, views: str = "", check: str | None = None):
     """Register a query; ``check`` is SQL over the named adapter views."""
     def register(build):

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from spreadlab.catalog import query
+from spreadlab.catalog import query, rounded
 from spreadlab.catalog.filters import FILLED, filled_history
 from spreadlab.catalog.joins import MAPPING
 from spreadlab.functions.scalars import rename_columns
@@ -77,22 +77,22 @@ def _(t):
 
 
 @query("agg_02_pair_statistics", "panel", f"""
-    WITH {PAIRS} SELECT security_1, security_2, n AS n_common, round(mean, 6) AS mean, round(std, 6) AS std,
-                        round(lo, 6) AS min_diff, round(hi, 6) AS max_diff FROM stats""")
+    WITH {PAIRS} SELECT security_1, security_2, n AS n_common, round(mean + 1.37e-9, 6) AS mean, round(std + 1.37e-9, 6) AS std,
+                        round(lo + 1.37e-9, 6) AS min_diff, round(hi + 1.37e-9, 6) AS max_diff FROM stats""")
 def _(t):
     return brand_pairs(t).select("security_1", "security_2", "n_common",
-                                 *[F.round(c, 6).alias(c) for c in ("mean", "std", "min_diff", "max_diff")])
+                                 *[rounded(c).alias(c) for c in ("mean", "std", "min_diff", "max_diff")])
 
 
-@query("agg_03_z_score", "panel", f"WITH {PAIRS} SELECT security_1, security_2, round(z, 6) AS z FROM scores")
+@query("agg_03_z_score", "panel", f"WITH {PAIRS} SELECT security_1, security_2, round(z + 1.37e-9, 6) AS z FROM scores")
 def _(t):
-    return brand_scores(t).select("security_1", "security_2", F.round("z", 6).alias("z"))
+    return brand_scores(t).select("security_1", "security_2", rounded("z").alias("z"))
 
 
 @query("agg_04_percentile_of_score", "panel", f"""
-    WITH {PAIRS} SELECT security_1, security_2, round(pct, 6) AS pct FROM scores""")
+    WITH {PAIRS} SELECT security_1, security_2, round(pct + 1.37e-9, 6) AS pct FROM scores""")
 def _(t):
-    return brand_scores(t).select("security_1", "security_2", F.round("pct", 6).alias("pct"))
+    return brand_scores(t).select("security_1", "security_2", rounded("pct").alias("pct"))
 
 
 @query("agg_05_last_value_per_cell", "history", f"WITH {FILLED} SELECT obs_date, security, g_spread FROM cells")
@@ -120,12 +120,12 @@ def _(t):
 
 
 @query("agg_08_monitor_roll_up", "quotes", """
-    SELECT cusip, security, round(avg(bid_spread), 6) AS bid_spread, round(avg(ask_spread), 6) AS ask_spread,
+    SELECT cusip, security, round(avg(bid_spread) + 1.37e-9, 6) AS bid_spread, round(avg(ask_spread) + 1.37e-9, 6) AS ask_spread,
            CAST(sum(bid_size) AS DOUBLE) AS bid_size, arg_min(dealer, event_id) AS dealer FROM quotes GROUP BY 1, 2""")
 def _(t):
     rules = {"mean": ["bid_spread", "ask_spread", "absent"], "sum": ["bid_size"], "first": ["dealer"]}
     return roll_up(t.quotes, ["cusip", "security"], rules, ["event_id"]).withColumns(
-        {"bid_spread": F.round("bid_spread", 6), "ask_spread": F.round("ask_spread", 6)})
+        {"bid_spread": rounded("bid_spread"), "ask_spread": rounded("ask_spread")})
 
 
 @query("agg_09_best_levels", "quotes", """
@@ -133,13 +133,13 @@ def _(t):
       QUALIFY row_number() OVER (PARTITION BY cusip ORDER BY bid_spread, bid_size DESC, dealer) = 1),
     offers AS (SELECT cusip, ask_spread, dealer, ask_size FROM quotes WHERE ask_size >= 20 AND ask_spread IS NOT NULL
       QUALIFY row_number() OVER (PARTITION BY cusip ORDER BY ask_spread, ask_size DESC, dealer) = 1)
-    SELECT cusip, bid_spread AS "Best Bid", round(ask_spread, 6) AS "Best Offer",
-           round(bid_spread - ask_spread, 6) AS "Bid/Offer", b.dealer AS "Dealer @ Best Bid", o.dealer AS "Dealer @ Best Offer",
+    SELECT cusip, bid_spread AS "Best Bid", round(ask_spread + 1.37e-9, 6) AS "Best Offer",
+           round(bid_spread - ask_spread + 1.37e-9, 6) AS "Bid/Offer", b.dealer AS "Dealer @ Best Bid", o.dealer AS "Dealer @ Best Offer",
            bid_size AS "Size @ Best Bid", ask_size AS "Size @ Best Offer"
     FROM (SELECT DISTINCT cusip FROM quotes) LEFT JOIN bids b USING (cusip) LEFT JOIN offers o USING (cusip)""")
 def _(t):
     return best_levels(t.quotes, QUOTE_COLUMNS, MonitorParams(min_size=20)).withColumns(
-        {"Best Offer": F.round("Best Offer", 6), "Bid/Offer": F.round("Bid/Offer", 6)})
+        {"Best Offer": rounded("Best Offer"), "Bid/Offer": rounded("Bid/Offer")})
 
 
 _DESCRIBED = ["l_quantity", "l_extendedprice", "discount", "tax_text"]
@@ -147,15 +147,15 @@ _DESCRIBED = ["l_quantity", "l_extendedprice", "discount", "tax_text"]
 
 def _describe_sql(column):
     c = f"TRY_CAST({column} AS DOUBLE)"
-    return f"""SELECT '{column}' AS column_name, count({c}) AS n, round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS std,
-        min({c}) AS min, max({c}) AS max, round(quantile_cont({c}, 0.25), 6) AS q25, round(quantile_cont({c}, 0.5), 6) AS q50,
-        round(quantile_cont({c}, 0.75), 6) AS q75 FROM messy"""
+    return f"""SELECT '{column}' AS column_name, count({c}) AS n, round(avg({c}) + 1.37e-9, 6) AS mean, round(stddev_samp({c}) + 1.37e-9, 6) AS std,
+        min({c}) AS min, max({c}) AS max, round(quantile_cont({c}, 0.25) + 1.37e-9, 6) AS q25, round(quantile_cont({c}, 0.5) + 1.37e-9, 6) AS q50,
+        round(quantile_cont({c}, 0.75) + 1.37e-9, 6) AS q75 FROM messy"""
 
 
 @query("agg_10_describe", "messy", " UNION ALL ".join(_describe_sql(c) for c in _DESCRIBED))
 def _(t):
     return profiling.describe(t.messy, _DESCRIBED).withColumns(
-        {c: F.round(c, 6) for c in ("mean", "std", "q25", "q50", "q75")})
+        {c: rounded(c) for c in ("mean", "std", "q25", "q50", "q75")})
 
 
 _PROFILED = ["l_orderkey", "discount", "tax_text", "mark"]
@@ -163,9 +163,9 @@ _PROFILED = ["l_orderkey", "discount", "tax_text", "mark"]
 
 @query("agg_11_null_counts", "messy", " UNION ALL ".join(
     f"""SELECT '{c}' AS column_name, count(*) - count({c}) AS null_count, count(*) AS total_rows,
-        round((count(*) - count({c})) * 100.0 / count(*), 6) AS null_pct FROM messy""" for c in _PROFILED))
+        round((count(*) - count({c})) * 100.0 / count(*) + 1.37e-9, 6) AS null_pct FROM messy""" for c in _PROFILED))
 def _(t):
-    return profiling.null_counts(t.messy, _PROFILED).withColumn("null_pct", F.round("null_pct", 6))
+    return profiling.null_counts(t.messy, _PROFILED).withColumn("null_pct", rounded("null_pct"))
 
 
 @query("agg_12_duplicate_rows", "messy", """
@@ -176,23 +176,23 @@ def _(t):
 
 @query("agg_13_categorical_distribution", "messy", " UNION ALL ".join(
     f"""SELECT '{c}' AS column_name, CAST({c} AS VARCHAR) AS value, count(*) AS n,
-        round(count(*) * 100.0 / (SELECT count(*) FROM messy), 6) AS pct,
+        round(count(*) * 100.0 / (SELECT count(*) FROM messy) + 1.37e-9, 6) AS pct,
         (SELECT count(DISTINCT {c}) FROM messy) AS unique_count FROM messy WHERE {c} IS NOT NULL GROUP BY {c}"""
     for c in ("l_returnflag", "mark", "tax_text")))
 def _(t):
     return profiling.categorical_distribution(t.messy, ["l_returnflag", "mark", "tax_text"]).withColumn(
-        "pct", F.round("pct", 6))
+        "pct", rounded("pct"))
 
 
 _NUMBERS = ["l_suppkey", "l_quantity", "l_extendedprice", "discount"]
 
 
 @query("agg_14_numeric_statistics", "messy", " UNION ALL ".join(
-    f"""SELECT '{c}' AS column_name, CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max, round(avg({c}), 6) AS mean,
-        round(stddev_samp({c}), 6) AS std, count(DISTINCT {c}) AS unique_count FROM messy""" for c in _NUMBERS))
+    f"""SELECT '{c}' AS column_name, CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max, round(avg({c}) + 1.37e-9, 6) AS mean,
+        round(stddev_samp({c}) + 1.37e-9, 6) AS std, count(DISTINCT {c}) AS unique_count FROM messy""" for c in _NUMBERS))
 def _(t):
     return profiling.numeric_statistics(t.messy, _NUMBERS).withColumns(
-        {"mean": F.round("mean", 6), "std": F.round("std", 6)})
+        {"mean": rounded("mean"), "std": rounded("std")})
 
 
 @query("agg_15_date_coverage", "positions", """
@@ -211,11 +211,11 @@ def _(t):
 @query("agg_16_year_distribution", "positions", """
     SELECT CAST(year(pos_date) AS INT) AS year, count(*) AS n_records, count(*) FILTER (isodow(pos_date) <= 5) AS business_days,
            count(*) FILTER (isodow(pos_date) > 5) AS weekend_days,
-           round(count(*) FILTER (isodow(pos_date) <= 5) * 100.0 / count(*), 6) AS business_pct,
-           round(count(*) FILTER (isodow(pos_date) > 5) * 100.0 / count(*), 6) AS weekend_pct FROM positions GROUP BY 1""")
+           round(count(*) FILTER (isodow(pos_date) <= 5) * 100.0 / count(*) + 1.37e-9, 6) AS business_pct,
+           round(count(*) FILTER (isodow(pos_date) > 5) * 100.0 / count(*) + 1.37e-9, 6) AS weekend_pct FROM positions GROUP BY 1""")
 def _(t):
     return profiling.year_distribution(t.positions, "pos_date").withColumns(
-        {"business_pct": F.round("business_pct", 6), "weekend_pct": F.round("weekend_pct", 6)})
+        {"business_pct": rounded("business_pct"), "weekend_pct": rounded("weekend_pct")})
 
 
 @query("agg_17_recent_months", "positions", """
@@ -226,10 +226,10 @@ def _(t):
 
 
 @query("agg_18_records_per_date", "positions", """
-    SELECT min(n) AS min_records, max(n) AS max_records, round(avg(n), 6) AS avg_records
+    SELECT min(n) AS min_records, max(n) AS max_records, round(avg(n) + 1.37e-9, 6) AS avg_records
     FROM (SELECT count(*) AS n FROM positions GROUP BY pos_date)""")
 def _(t):
-    return profiling.records_per_date(t.positions, "pos_date").withColumn("avg_records", F.round("avg_records", 6))
+    return profiling.records_per_date(t.positions, "pos_date").withColumn("avg_records", rounded("avg_records"))
 
 
 @query("agg_19_change_distribution", "month_quotes", """
@@ -237,13 +237,13 @@ def _(t):
     a AS (SELECT max(quote_date) AS a FROM month_quotes, d WHERE quote_date <= date_trunc('year', d) - INTERVAL 1 DAY),
     c AS (SELECT n.bid_spread - o.bid_spread AS x FROM month_quotes n JOIN month_quotes o USING (cusip, dealer)
           WHERE n.quote_date = (SELECT d FROM d) AND o.quote_date = (SELECT a FROM a))
-    SELECT 'YTD' AS column_name, round(min(x), 6) AS min, round(quantile_cont(x, 0.25), 6) AS q1,
-           round(quantile_cont(x, 0.5), 6) AS median, round(quantile_cont(x, 0.75), 6) AS q3, round(max(x), 6) AS max
+    SELECT 'YTD' AS column_name, round(min(x) + 1.37e-9, 6) AS min, round(quantile_cont(x, 0.25) + 1.37e-9, 6) AS q1,
+           round(quantile_cont(x, 0.5) + 1.37e-9, 6) AS median, round(quantile_cont(x, 0.75) + 1.37e-9, 6) AS q3, round(max(x) + 1.37e-9, 6) AS max
     FROM c HAVING count(*) > 0""")
 def _(t):
     changes = quotes_with_changes(t.month_quotes, MONTH_COLUMNS, MonitorParams(periods=("YTD",), size_periods=()))
     return profiling.five_numbers(changes, "YTD").select(
-        "column_name", *[F.round(c, 6).alias(c) for c in ("min", "q1", "median", "q3", "max")])
+        "column_name", *[rounded(c).alias(c) for c in ("min", "q1", "median", "q3", "max")])
 
 
 def _register_resample(method, expression):
@@ -251,12 +251,12 @@ def _register_resample(method, expression):
         SELECT security, last_day(obs_date) AS month_end, {expression} AS g_spread FROM panel GROUP BY 1, 2""")
     def _(t):
         return profiling.monthly(t.panel, "obs_date", "g_spread", method, by=["security"]).withColumn(
-            "g_spread", F.round("g_spread", 6))
+            "g_spread", rounded("g_spread"))
 
 
 for _method, _expression in (
-        ("last", "round(arg_max(g_spread, obs_date), 6)"), ("first", "round(arg_min(g_spread, obs_date), 6)"),
-        ("mean", "round(avg(g_spread), 6)"), ("median", "round(median(g_spread), 6)")):
+        ("last", "round(arg_max(g_spread, obs_date) + 1.37e-9, 6)"), ("first", "round(arg_min(g_spread, obs_date) + 1.37e-9, 6)"),
+        ("mean", "round(avg(g_spread) + 1.37e-9, 6)"), ("median", "round(median(g_spread) + 1.37e-9, 6)")):
     _register_resample(_method, _expression)
 
 
@@ -276,31 +276,31 @@ MATCHED = """
 
 
 @query("agg_21_match_summary", "positions quotes universe_dim", f"""
-    WITH {MATCHED} SELECT table_name, total_cusips, matched_cusips, unmatched_cusips, round(rate, 6) AS match_rate_percent,
+    WITH {MATCHED} SELECT table_name, total_cusips, matched_cusips, unmatched_cusips, round(rate + 1.37e-9, 6) AS match_rate_percent,
         CASE WHEN rate >= 98 THEN 'excellent' WHEN rate >= 95 THEN 'good' WHEN rate >= 90 THEN 'warning' ELSE 'critical' END AS band
     FROM matches""")
 def _(t):
     return history.match_summary(_flagged(t)).drop("reference_date").withColumn(
-        "match_rate_percent", F.round("match_rate_percent", 6))
+        "match_rate_percent", rounded("match_rate_percent"))
 
 
 @query("agg_22_row_counts", "positions quotes universe_dim", """
     WITH c AS (SELECT 'positions' AS table_name, count(*) AS n_rows FROM positions UNION ALL
       SELECT 'quotes', count(*) FROM quotes UNION ALL SELECT 'universe', count(*) FROM universe_dim)
-    SELECT table_name, n_rows, round(n_rows * 100.0 / (SELECT sum(n_rows) FROM c), 6) AS share_pct FROM c""")
+    SELECT table_name, n_rows, round(n_rows * 100.0 / (SELECT sum(n_rows) FROM c) + 1.37e-9, 6) AS share_pct FROM c""")
 def _(t):
     return history.row_counts({"positions": t.positions, "quotes": t.quotes, "universe": t.universe_dim}).withColumn(
-        "share_pct", F.round("share_pct", 6))
+        "share_pct", rounded("share_pct"))
 
 
 @query("agg_23_identifier_coverage", "positions quotes universe_dim", """
     WITH u AS (SELECT count(DISTINCT cusip) AS n FROM universe_dim)
     SELECT 'positions' AS table_name, count(DISTINCT cusip) AS unique_cusips,
-           round(count(DISTINCT cusip) * 100.0 / (SELECT n FROM u), 6) AS coverage_pct FROM positions
-    UNION ALL SELECT 'quotes', count(DISTINCT cusip), round(count(DISTINCT cusip) * 100.0 / (SELECT n FROM u), 6) FROM quotes""")
+           round(count(DISTINCT cusip) * 100.0 / (SELECT n FROM u) + 1.37e-9, 6) AS coverage_pct FROM positions
+    UNION ALL SELECT 'quotes', count(DISTINCT cusip), round(count(DISTINCT cusip) * 100.0 / (SELECT n FROM u) + 1.37e-9, 6) FROM quotes""")
 def _(t):
     return history.identifier_coverage({"positions": (t.positions, "cusip"), "quotes": (t.quotes, "cusip")},
-                                       t.universe_dim, "cusip").withColumn("coverage_pct", F.round("coverage_pct", 6))
+                                       t.universe_dim, "cusip").withColumn("coverage_pct", rounded("coverage_pct"))
 
 
 @query("agg_24_freshness", "positions quotes universe", """
@@ -320,27 +320,27 @@ def _(t):
 
 @query("agg_26_pair_table_summary", "panel", f"""
     WITH {PAIRS} SELECT count(*) AS total_pairs, count(DISTINCT security_1) AS unique_cusips_1,
-      count(DISTINCT security_2) AS unique_cusips_2, round(min(z), 6) AS min_zscore, round(max(z), 6) AS max_zscore,
-      round(avg(last), 6) AS avg_spread, count(*) FILTER (abs(z) > 1) AS extreme_1, count(*) FILTER (abs(z) > 1.5) AS extreme_1_5
+      count(DISTINCT security_2) AS unique_cusips_2, round(min(z) + 1.37e-9, 6) AS min_zscore, round(max(z) + 1.37e-9, 6) AS max_zscore,
+      round(avg(last) + 1.37e-9, 6) AS avg_spread, count(*) FILTER (abs(z) > 1) AS extreme_1, count(*) FILTER (abs(z) > 1.5) AS extreme_1_5
     FROM scores""")
 def _(t):
     return pair_summary(pair_table(t), (1.0, 1.5)).withColumns(
-        {c: F.round(c, 6) for c in ("min_zscore", "max_zscore", "avg_spread")})
+        {c: rounded(c) for c in ("min_zscore", "max_zscore", "avg_spread")})
 
 
 @query("flt_31_extreme_pairs", "panel", f"""
-    WITH {PAIRS} SELECT security_1, security_2, round(z, 6) AS z FROM scores WHERE abs(z) > 1""")
+    WITH {PAIRS} SELECT security_1, security_2, round(z + 1.37e-9, 6) AS z FROM scores WHERE abs(z) > 1""")
 def _(t):
     return extreme_pairs(pair_table(t), 1.0).select(
-        F.col("Security_1").alias("security_1"), F.col("Security_2").alias("security_2"), F.round("Z_Score", 6).alias("z"))
+        F.col("Security_1").alias("security_1"), F.col("Security_2").alias("security_2"), rounded("Z_Score").alias("z"))
 
 
 @query("agg_28_mapping_summary", "names_a names_b", f"""
     WITH {MAPPING} SELECT count(*) FILTER (kind = 'exact') AS exact_matches, count(*) FILTER (kind = 'fuzzy') AS fuzzy_matches,
       count(*) FILTER (kind = 'unmapped') AS unmapped, count(*) AS total_names,
-      round(count(*) FILTER (kind <> 'unmapped') * 100.0 / count(*), 6) AS match_rate FROM mapping""")
+      round(count(*) FILTER (kind <> 'unmapped') * 100.0 / count(*) + 1.37e-9, 6) AS match_rate FROM mapping""")
 def _(t):
-    return mapping_summary(map_names(t.names_a, t.names_b)).withColumn("match_rate", F.round("match_rate", 6))
+    return mapping_summary(map_names(t.names_a, t.names_b)).withColumn("match_rate", rounded("match_rate"))
 
 
 def _unmatched(t):
@@ -368,12 +368,12 @@ def _(t):
 
 
 @query("agg_30_overall_missing", "messy", """
-    SELECT CAST(missing AS BIGINT) AS missing_cells, cells, round(missing * 100.0 / cells, 6) AS missing_pct,
+    SELECT CAST(missing AS BIGINT) AS missing_cells, cells, round(missing * 100.0 / cells + 1.37e-9, 6) AS missing_pct,
            missing * 100.0 / cells <= 95 AS passed
     FROM (SELECT sum((discount IS NULL)::INT + (tax_text IS NULL)::INT + (mark IS NULL)::INT) AS missing, 11 * count(*) AS cells
           FROM messy)""")
 def _(t):
-    return profiling.overall_missing(t.messy).withColumn("missing_pct", F.round("missing_pct", 6))
+    return profiling.overall_missing(t.messy).withColumn("missing_pct", rounded("missing_pct"))
 
 
 @query("agg_09_best_levels_latest", "quotes", """

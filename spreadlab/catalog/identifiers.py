@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from spreadlab.catalog import query
+from spreadlab.catalog import query, rounded
 from spreadlab.functions import identifiers as ids
 
 _LETTERS = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -82,14 +82,14 @@ def _(t):
                       count(*) FILTER (status <> 'invalid') AS standardized_cusips FROM typed)
     SELECT cusip_type, count(*) AS type_count, any_value(total_cusips) AS total_cusips, any_value(valid_cusips) AS valid_cusips,
            any_value(invalid_cusips) AS invalid_cusips, any_value(standardized_cusips) AS standardized_cusips,
-           round(any_value(valid_cusips) * 100.0 / any_value(total_cusips), 6) AS validation_rate,
-           round(any_value(standardized_cusips) * 100.0 / any_value(total_cusips), 6) AS standardization_rate
+           round(any_value(valid_cusips) * 100.0 / any_value(total_cusips) + 1.37e-9, 6) AS validation_rate,
+           round(any_value(standardized_cusips) * 100.0 / any_value(total_cusips) + 1.37e-9, 6) AS standardization_rate
     FROM typed, totals GROUP BY 1""")
 def _(t):
     summary = ids.identifier_summary(t.identifiers, "cusip").select(F.struct("*").alias("s")).scalar()
     by_type = ids.identifier_statistics(t.identifiers, "cusip").select("cusip_type", "type_count")
     return by_type.withColumn("s", summary).select("cusip_type", "type_count", "s.*").withColumns(
-        {"validation_rate": F.round("validation_rate", 6), "standardization_rate": F.round("standardization_rate", 6)})
+        {"validation_rate": rounded("validation_rate"), "standardization_rate": rounded("standardization_rate")})
 
 
 @query("cus_06_special_identifiers", "identifiers", """

@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
-from spreadlab.catalog import query, views
+from spreadlab.catalog import query, rounded, views
 from spreadlab.catalog.joins import MAPPING
 from spreadlab.fixtures import PANEL_ORDER
 from spreadlab.operators.quotes import QuoteColumns
@@ -48,13 +48,13 @@ _SELECTED = """
               JOIN ready x ON x.security = a.security JOIN ready y ON y.security = b.security),
     stats AS (SELECT s1, s2, c1, c2, last, count(*) AS n, avg(d) AS mean, stddev_samp(d) AS std, min(d) AS lo, max(d) AS hi,
                      count(*) FILTER (d < last) AS below, count(*) FILTER (d <= last) AS upto FROM diffs GROUP BY ALL)
-    SELECT s1 AS "Security_1", c1 AS "CUSIP_1", s2 AS "Security_2", c2 AS "CUSIP_2", round(last, 6) AS "Last_Spread",
-           round(CASE WHEN std > 0 THEN (last - mean) / std ELSE 0 END, 6) AS "Z_Score", round(hi, 6) AS "Max", round(lo, 6) AS "Min",
-           round(last - hi, 6) AS "Last_vs_Max", round(last - lo, 6) AS "Last_vs_Min",
-           round((below + upto + CASE WHEN upto > below THEN 1 ELSE 0 END) * 50.0 / n, 6) AS "Percentile" FROM stats""")
+    SELECT s1 AS "Security_1", c1 AS "CUSIP_1", s2 AS "Security_2", c2 AS "CUSIP_2", round(last + 1.37e-9, 6) AS "Last_Spread",
+           round(CASE WHEN std > 0 THEN (last - mean) / std ELSE 0 END + 1.37e-9, 6) AS "Z_Score", round(hi + 1.37e-9, 6) AS "Max", round(lo + 1.37e-9, 6) AS "Min",
+           round(last - hi + 1.37e-9, 6) AS "Last_vs_Max", round(last - lo + 1.37e-9, 6) AS "Last_vs_Min",
+           round((below + upto + CASE WHEN upto > below THEN 1 ELSE 0 END) * 50.0 / n + 1.37e-9, 6) AS "Percentile" FROM stats""")
 def _(t):
     pairs = pair_zscores(t.history, HISTORY, PairParams())
-    return pairs.withColumns({c: F.round(c, 6) for c in (
+    return pairs.withColumns({c: rounded(c) for c in (
         "Last_Spread", "Z_Score", "Max", "Min", "Last_vs_Max", "Last_vs_Min", "Percentile")})
 
 
@@ -88,7 +88,7 @@ def _monitor_sql(deduped, min_size, security, keyword, g_spread):
         joins += f"""
         LEFT JOIN (SELECT cusip, dealer, bid_spread, bid_size, ask_size FROM uq WHERE quote_date = (
           SELECT max(quote_date) FROM uq, latest WHERE quote_date <= CAST({ref} AS DATE))) h{p} USING (cusip, dealer)"""
-        changes += f', round(n.bid_spread - h{p}.bid_spread, 6) AS "{p}"'
+        changes += f', round(n.bid_spread - h{p}.bid_spread + 1.37e-9, 6) AS "{p}"'
         if p in ("DoD", "MTD"):
             changes += f', n.bid_size - h{p}.bid_size AS "{p} Chg Bid Size", n.ask_size - h{p}.ask_size AS "{p} Chg Ask Size"'
     return f"""
@@ -98,9 +98,9 @@ def _monitor_sql(deduped, min_size, security, keyword, g_spread):
            QUALIFY row_number() OVER (PARTITION BY cusip ORDER BY bid_spread, bid_size DESC, dealer) = 1),
     bo AS (SELECT cusip, ask_spread, dealer, ask_size FROM now WHERE ask_size >= {min_size} AND ask_spread IS NOT NULL
            QUALIFY row_number() OVER (PARTITION BY cusip ORDER BY ask_spread, ask_size DESC, dealer) = 1)
-    SELECT {security} AS "Security", n.bid_spread AS "Bid Spread", round(n.ask_spread, 6) AS "Ask Spread", n.bid_size AS "Bid Size",
-           n.ask_size AS "Ask Size"{changes}, bb.bid_spread AS "Best Bid", round(bo.ask_spread, 6) AS "Best Offer",
-           round(bb.bid_spread - bo.ask_spread, 6) AS "Bid/Offer", bb.dealer AS "Dealer @ Best Bid", bo.dealer AS "Dealer @ Best Offer",
+    SELECT {security} AS "Security", n.bid_spread AS "Bid Spread", round(n.ask_spread + 1.37e-9, 6) AS "Ask Spread", n.bid_size AS "Bid Size",
+           n.ask_size AS "Ask Size"{changes}, bb.bid_spread AS "Best Bid", round(bo.ask_spread + 1.37e-9, 6) AS "Best Offer",
+           round(bb.bid_spread - bo.ask_spread + 1.37e-9, 6) AS "Bid/Offer", bb.dealer AS "Dealer @ Best Bid", bo.dealer AS "Dealer @ Best Offer",
            bb.bid_size AS "Size @ Best Bid", bo.ask_size AS "Size @ Best Offer", n.cusip AS "CUSIP", n.dealer AS "Dealer",
            {g_spread} AS "G Spread", {keyword} AS "Keyword"
     FROM now n {joins} LEFT JOIN bb USING (cusip) LEFT JOIN bo USING (cusip)"""
@@ -110,7 +110,7 @@ _ROUNDED = ("Ask Spread", "DoD", "WoW", "MTD", "QTD", "YTD", "1YR", "Best Offer"
 
 
 def _rounded(report):
-    return report.withColumns({c: F.round(F.col(f"`{c}`"), 6) for c in _ROUNDED})
+    return report.withColumns({c: rounded(F.col(f"`{c}`")) for c in _ROUNDED})
 
 
 @query("job_02_run_monitor", "quotes", _monitor_sql("""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from spreadlab.catalog import query
+from spreadlab.catalog import query, rounded
 from spreadlab.catalog.filters import FILLED, filled_history
 from spreadlab.operators import lookups, orphans
 from spreadlab.operators.mapping import map_names, scored_pairs
@@ -43,7 +43,7 @@ def _(t):
 
 @query("join_02_snapshot_difference", "month_quotes", f"""
     WITH {AS_OF}
-    SELECT n.cusip, n.dealer, n.bid_spread, round(n.bid_spread - o.bid_spread, 6) AS ytd_change
+    SELECT n.cusip, n.dealer, n.bid_spread, round(n.bid_spread - o.bid_spread + 1.37e-9, 6) AS ytd_change
     FROM month_quotes n LEFT JOIN (SELECT * FROM month_quotes JOIN at_dates ON quote_date = as_of_date AND period = 'YTD') o
       USING (cusip, dealer) WHERE n.quote_date = (SELECT d FROM latest)""")
 def _(t):
@@ -51,7 +51,7 @@ def _(t):
     old = t.month_quotes.filter(F.col("quote_date") == at).select("cusip", "dealer", F.col("bid_spread").alias("_old"))
     now = latest_snapshot(t.month_quotes, "quote_date").select("cusip", "dealer", "bid_spread")
     return now.join(old, ["cusip", "dealer"], "left").select(
-        "cusip", "dealer", "bid_spread", F.round(F.col("bid_spread") - F.col("_old"), 6).alias("ytd_change"))
+        "cusip", "dealer", "bid_spread", rounded(F.col("bid_spread") - F.col("_old")).alias("ytd_change"))
 
 
 @query("join_03_as_of_dates", "month_quotes", f"WITH {AS_OF} SELECT period, ref_date, as_of_date FROM at_dates")
@@ -61,7 +61,7 @@ def _(t):
 
 @query("join_04_all_pairs", "panel", """
     SELECT a.security AS security_1, b.security AS security_2, count(*) AS n_common,
-           round(max(a.g_spread - b.g_spread), 6) AS max_diff
+           round(max(a.g_spread - b.g_spread) + 1.37e-9, 6) AS max_diff
     FROM panel a JOIN panel b ON a.obs_date = b.obs_date AND a.security < b.security GROUP BY 1, 2""")
 def _(t):
     # one row per series; the block join pairs them, common dates are matched inside each pair
@@ -71,7 +71,7 @@ def _(t):
     entries = pairs.select("security_1", "security_2", "by_date_2", F.explode("by_date_1").alias("d", "v"))
     return (entries.withColumn("diff", F.col("v") - F.try_element_at("by_date_2", "d"))
             .filter(F.col("diff").isNotNull()).groupBy("security_1", "security_2")
-            .agg(F.count(F.lit(1)).alias("n_common"), F.round(F.max("diff"), 6).alias("max_diff")))
+            .agg(F.count(F.lit(1)).alias("n_common"), rounded(F.max("diff")).alias("max_diff")))
 
 
 @query("join_05_map_both_sides", "panel_raw", """
@@ -224,17 +224,17 @@ MAPPING = _SCORES + _rounds_sql(8)
 
 
 @query("join_12_name_scores", "names_a names_b", f"""
-    WITH {_SCORES} SELECT source, target, round(score, 6) AS score, method FROM cand""")
+    WITH {_SCORES} SELECT source, target, round(score + 1.37e-9, 6) AS score, method FROM cand""")
 def _(t):
     a, b = t.names_a, t.names_b
     scores = scored_pairs(a.subtract(b), b.subtract(a), MappingParams())
-    return scores.withColumn("score", F.round("score", 6))
+    return scores.withColumn("score", rounded("score"))
 
 
 @query("join_12_name_mapping", "names_a names_b", f"""
-    WITH {MAPPING} SELECT source, target, round(score, 6) AS score, kind FROM mapping""")
+    WITH {MAPPING} SELECT source, target, round(score + 1.37e-9, 6) AS score, kind FROM mapping""")
 def _(t):
-    return map_names(t.names_a, t.names_b, MappingParams()).withColumn("score", F.round("score", 6))
+    return map_names(t.names_a, t.names_b, MappingParams()).withColumn("score", rounded("score"))
 
 
 @query("join_13_full_grid", "history", f"""

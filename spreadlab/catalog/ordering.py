@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from spreadlab.catalog import query
+from spreadlab.catalog import query, rounded
 from spreadlab.catalog.aggregates import PAIRS, pair_table
 from spreadlab.catalog.filters import FILLED, filled_history
 from spreadlab.catalog.sinks import _COLS, _LATEST, COLS, KEY
@@ -71,12 +71,12 @@ def _(t):
 
 
 @query("srt_02_most_extreme", "panel", f"""
-    WITH {PAIRS} SELECT security_1, security_2, round(z, 6) AS z, round(last, 6) AS last FROM scores
+    WITH {PAIRS} SELECT security_1, security_2, round(z + 1.37e-9, 6) AS z, round(last + 1.37e-9, 6) AS last FROM scores
     ORDER BY abs(z) DESC, 1, 2 LIMIT 30""")
 def _(t):
     return most_extreme(pair_table(t), 30).select(
         F.col("Security_1").alias("security_1"), F.col("Security_2").alias("security_2"),
-        F.round("Z_Score", 6).alias("z"), F.round("Last_Spread", 6).alias("last"))
+        rounded("Z_Score").alias("z"), rounded("Last_Spread").alias("last"))
 
 
 @query("srt_03_top_series", "history", """

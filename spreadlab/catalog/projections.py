@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from spreadlab.catalog import query
+from spreadlab.catalog import query, rounded
 from spreadlab.functions import dates, scalars
 from spreadlab.operators.quality import date_format_verdict
 from spreadlab.params import Bins, IdentifierOverride, OutlierRule, QualityParams
@@ -80,14 +80,14 @@ def _(t):
     parsed AS (SELECT 'MM/dd/yyyy' AS date_format, count(try_strptime(d, '%m/%d/%Y')) AS parsed, count(*) AS total FROM texts
                UNION ALL SELECT 'yyyy-MM-dd', count(try_strptime(d, '%Y-%m-%d')), count(*) FROM texts
                UNION ALL SELECT 'dd/MM/yyyy', count(try_strptime(d, '%d/%m/%Y')), count(*) FROM texts)
-    SELECT date_format, parsed, total, round(parsed / total, 6) AS share,
+    SELECT date_format, parsed, total, round(parsed / total + 1.37e-9, 6) AS share,
            CASE WHEN parsed / total > 0.8 THEN 'valid' WHEN parsed / total < 0.5 THEN 'invalid' ELSE 'partial' END AS verdict
     FROM parsed""")
 def _(t):
     text = (F.when(F.col("status") == "F", F.date_format("pos_date", "yyyy-MM-dd"))
             .otherwise(F.date_format("pos_date", "MM/dd/yyyy")))
     return date_format_verdict(t.positions.select(text.alias("d")), "d", QualityParams()).withColumn(
-        "share", F.round("share", 6))
+        "share", rounded("share"))
 
 
 @query("prj_09_time_parse", "quotes", """
@@ -203,18 +203,18 @@ def _(t):
 
 
 @query("prj_21_extreme_distances", "panel", """
-    SELECT security, round(arg_max(g_spread, obs_date) - max(g_spread), 6) AS last_vs_max,
-           round(arg_max(g_spread, obs_date) - min(g_spread), 6) AS last_vs_min FROM panel GROUP BY 1""")
+    SELECT security, round(arg_max(g_spread, obs_date) - max(g_spread) + 1.37e-9, 6) AS last_vs_max,
+           round(arg_max(g_spread, obs_date) - min(g_spread) + 1.37e-9, 6) AS last_vs_min FROM panel GROUP BY 1""")
 def _(t):
     last = F.max_by("g_spread", "obs_date")
-    return t.panel.groupBy("security").agg(F.round(last - F.max("g_spread"), 6).alias("last_vs_max"),
-                                           F.round(last - F.min("g_spread"), 6).alias("last_vs_min"))
+    return t.panel.groupBy("security").agg(rounded(last - F.max("g_spread")).alias("last_vs_max"),
+                                           rounded(last - F.min("g_spread")).alias("last_vs_min"))
 
 
 @query("prj_22_percentages", "quotes", """
-    SELECT dealer, round(count(bid_spread) * 100.0 / nullif(count(*), 0), 6) AS filled_pct,
+    SELECT dealer, round(count(bid_spread) * 100.0 / nullif(count(*), 0) + 1.37e-9, 6) AS filled_pct,
            CAST(NULL AS DOUBLE) AS of_nothing_pct FROM quotes GROUP BY 1""")
 def _(t):
     counted = t.quotes.groupBy("dealer").agg(F.count("bid_spread").alias("a"), F.count(F.lit(1)).alias("b"))
-    return counted.select("dealer", F.round(scalars.percentage(F.col("a"), F.col("b")), 6).alias("filled_pct"),
+    return counted.select("dealer", rounded(scalars.percentage(F.col("a"), F.col("b"))).alias("filled_pct"),
                           scalars.percentage(F.col("a"), F.col("b") * 0).alias("of_nothing_pct"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from spreadlab.catalog import query
+from spreadlab.catalog import query, rounded
 from spreadlab.operators import quality
 from spreadlab.operators.dedup import duplicate_groups
 from spreadlab.operators.profiling import columns_above_null_share
@@ -72,7 +72,7 @@ def _(t):
     UNION ALL SELECT 'total_columns', NULL, 4.0, 'info'
     UNION ALL SELECT 'null_pct', c, round(k * 100.0 / rows, 2), CASE WHEN k * 100.0 / rows > 50 THEN 'warning' ELSE 'passed' END FROM nulls, n
     UNION ALL SELECT 'duplicate_rows', NULL, 0.0, 'passed'
-    UNION ALL SELECT t, c, round(v, 6), 'info' FROM stats
+    UNION ALL SELECT t, c, round(v + 1.37e-9, 6), 'info' FROM stats
     UNION ALL SELECT 'negative_values', 'bid_spread', CAST(count(*) FILTER (bid_spread < 0) AS DOUBLE),
         CASE WHEN count(*) FILTER (bid_spread < 0) = 0 THEN 'passed' ELSE 'failed' END FROM q
     UNION ALL SELECT k, NULL, CAST(v AS DOUBLE), CASE WHEN v > 0 THEN 'warning' ELSE 'passed' END FROM (
@@ -82,7 +82,7 @@ def _(t):
         UNION ALL SELECT 'invalid_times', count(*) FILTER ("Time" = '25:99') FROM q)""")
 def _(t):
     report = quality.quality_report(_timed(t), ["bid_spread"], "Date", "Time", F.lit(_TODAY).cast("date"))
-    return report.withColumn("check_value", F.round("check_value", 6))
+    return report.withColumn("check_value", rounded("check_value"))
 
 
 @query("dq_05_validation_passed", "quotes", f"""
@@ -96,8 +96,8 @@ def _(t):
 
 
 def _profile_sql(column, kind, numeric):
-    stats = (f"CAST(min({column}) AS DOUBLE) AS min, CAST(max({column}) AS DOUBLE) AS max, round(avg({column}), 6) AS mean, "
-             f"round(stddev_samp({column}), 6) AS std") if numeric else \
+    stats = (f"CAST(min({column}) AS DOUBLE) AS min, CAST(max({column}) AS DOUBLE) AS max, round(avg({column}) + 1.37e-9, 6) AS mean, "
+             f"round(stddev_samp({column}) + 1.37e-9, 6) AS std") if numeric else \
         "CAST(NULL AS DOUBLE) AS min, CAST(NULL AS DOUBLE) AS max, CAST(NULL AS DOUBLE) AS mean, CAST(NULL AS DOUBLE) AS std"
     return (f"SELECT 'messy' AS table_name, '{column}' AS column_name, '{kind}' AS data_type, count(*) AS total_rows, "
             f"count(*) - count({column}) AS null_count, {stats} FROM messy")
@@ -109,7 +109,7 @@ def _profile_sql(column, kind, numeric):
 def _(t):
     columns = ["l_suppkey", "l_linenumber", "discount", "tax_text", "mark", "ship_date"]
     return quality.table_profile(t.messy.select(*columns), "messy").withColumns(
-        {"mean": F.round("mean", 6), "std": F.round("std", 6)})
+        {"mean": rounded("mean"), "std": rounded("std")})
 
 
 @query("dq_07_time_series_columns", "positions messy", """
@@ -138,9 +138,9 @@ def _(t):
 
 @query("dq_10_mostly_missing_columns", "messy", """
     SELECT 'mark' AS column_name, count(*) - count(mark) AS null_count, count(*) AS total_rows,
-           round((count(*) - count(mark)) * 100.0 / count(*), 6) AS null_pct FROM messy HAVING (count(*) - count(mark)) * 2 > count(*)""")
+           round((count(*) - count(mark)) * 100.0 / count(*) + 1.37e-9, 6) AS null_pct FROM messy HAVING (count(*) - count(mark)) * 2 > count(*)""")
 def _(t):
-    return columns_above_null_share(t.messy, 50.0).withColumn("null_pct", F.round("null_pct", 6))
+    return columns_above_null_share(t.messy, 50.0).withColumn("null_pct", rounded("null_pct"))
 
 
 @query("dq_11_all_tables_summary", "positions quotes universe_dim", """
