@@ -30,10 +30,15 @@ def z_score(last: Column, mean: Column, std: Column) -> Column:
     return F.when(std > 0, (last - mean) / std).otherwise(F.lit(0.0))
 
 
-def block_count(df: DataFrame) -> int:
-    """Blocks needed so that the block pairs fill the shuffle partitions."""
-    wanted = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(2, math.ceil(math.sqrt(4 * wanted)))
+def block_count(df: DataFrame, max_series: int | None = None) -> int:
+    """Blocks needed so that the block pairs fill the shuffle partitions.
+
+    A known bound on the series keeps blocks from becoming smaller than 16.
+    """
+    wanted = math.ceil(math.sqrt(4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    if max_series:
+        wanted = min(wanted, math.ceil(max_series / 16))
+    return max(2, wanted)
 
 
 def block_pairs(series: DataFrame, security: str, columns: list[str], blocks: int) -> DataFrame:

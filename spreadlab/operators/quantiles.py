@@ -24,11 +24,10 @@ def exact_quantiles(df: DataFrame, by: Sequence[str], value: str,
     ``probabilities`` maps output column names to probabilities in [0, 1].
     """
     keys = [quoted(k) for k in by]
-    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     histogram = (df.filter(quoted(value).isNotNull())
                  .groupBy(*keys, quoted(value).cast("double").alias("_v"))
                  .agg(F.count(F.lit(1)).alias("_n"))
-                 .repartitionByRange(ranges, *keys, "_v")
+                 .repartitionByRange(*keys, "_v")
                  .withColumn("_range", F.spark_partition_id()))
     # written, so that the range numbers stay what they are
     histogram = staged(histogram, "quantile-histogram")
