@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spreadlab.llm import decontaminate, language, licenses, lines, packing, secrets, tokens, topk, toxicity
+from spreadlab.llm import decontaminate, language, licenses, lines, overlap, packing, secrets, tokens, topk, toxicity
 from spreadlab.llm.text import remainder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,13 +64,17 @@ def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return lines.drop_boilerplate(docs).select("doc_id", "text", "lines_dropped")
 
 
+def op9_similar_documents(spark: SparkSession, folder: str) -> DataFrame:
+    return overlap.similar_documents(table(spark, folder, "documents").select("doc_id", "text"))
+
+
 def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_language_id, op2_license_scan, op3_pack, op4_secret_scan, op5_top_k, op6_toxicity, op7_token_count,
-    op8_line_dedup, op10_decontaminate)}
+    op8_line_dedup, op9_similar_documents, op10_decontaminate)}
 
 SQL: dict[str, str] = {
     "op2_license_scan": licenses.SQL,
