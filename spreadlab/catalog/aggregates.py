@@ -119,6 +119,15 @@ def _(t):
                           ["bid_spread", "ask_price"])
 
 
+@query("agg_06_last_with_ties", "quotes", """
+    SELECT quote_date, dealer, arg_max(bid_spread, (quote_time, bid_spread)) FILTER (bid_spread IS NOT NULL) AS bid_spread,
+           arg_max(ask_spread, (quote_time, ask_spread)) FILTER (ask_spread IS NOT NULL) AS ask_spread,
+           arg_max(bid_size, (quote_time, bid_size)) AS bid_size FROM quotes GROUP BY 1, 2""")
+def _(t):
+    """Times to the minute tie; of equally late values the greatest is taken."""
+    return last_non_null(t.quotes, ["quote_date", "dealer"], ["quote_time"], ["bid_spread", "ask_spread", "bid_size"])
+
+
 @query("agg_08_monitor_roll_up", "quotes", """
     SELECT cusip, security, round(avg(bid_spread) + 1.37e-9, 6) AS bid_spread, round(avg(ask_spread) + 1.37e-9, 6) AS ask_spread,
            CAST(sum(bid_size) AS DOUBLE) AS bid_size, arg_min(dealer, event_id) AS dealer FROM quotes GROUP BY 1, 2""")

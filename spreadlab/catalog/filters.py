@@ -10,7 +10,7 @@ from spreadlab.operators import snapshots
 from spreadlab.operators.lookups import with_match_status
 from spreadlab.operators.panel import dense_dates, eligible_series, forward_filled, last_per_cell, series_metrics
 from spreadlab.operators.quotes import without_negatives
-from spreadlab.operators.reshape import without_matching_columns
+from spreadlab.operators.reshape import without_matching_columns, without_repeated_headers
 from spreadlab.params import PairParams
 from spreadlab.fixtures import PANEL_ORDER
 
@@ -164,4 +164,4 @@ def _(t):
 @query("flt_33_columns_by_pattern", "quotes", "SELECT event_id, cusip, bid_size FROM quotes")
 def _(t):
     raw = t.quotes.select("event_id", "cusip", "bid_size", F.lit(1).alias("Unnamed: 0"), F.lit(2).alias("bid_size.1"))
-    return without_matching_columns(raw, ["Unnamed", ".1"])
+    return without_repeated_headers(without_matching_columns(raw, ["Unnamed"]))

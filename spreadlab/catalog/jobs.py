@@ -53,11 +53,28 @@ _SELECTED = """
            round(last - hi + 1.37e-9, 6) AS "Last_vs_Max", round(last - lo + 1.37e-9, 6) AS "Last_vs_Min",
            round((below + upto + CASE WHEN upto > below THEN 1 ELSE 0 END) * 50.0 / n + 1.37e-9, 6) AS "Percentile" FROM stats""")
 def _(t):
-    pairs = pair_zscores(t.history, HISTORY, PairParams())
+    pairs = pair_zscores(t.history, HISTORY, PairParams(max_series=200))
     return pairs.withColumns({c: rounded(c) for c in (
         "Last_Spread", "Z_Score", "Max", "Min", "Last_vs_Max", "Last_vs_Min", "Percentile")})
 
 
+@query("job_01_pairs_within_group", "history", f"""
+    WITH {_SELECTED.replace(' LIMIT 200', '')},
+    ready AS (SELECT security, v, cusip, CAST(cusip AS BIGINT) % 7 AS grp FROM lasts JOIN starts USING (security) JOIN cusips USING (security) WHERE early),
+    diffs AS (SELECT a.security AS s1, b.security AS s2, a.g_spread - b.g_spread AS d, x.v - y.v AS last
+              FROM vals a JOIN vals b ON a.obs_date = b.obs_date AND a.security < b.security
+              JOIN ready x ON x.security = a.security JOIN ready y ON y.security = b.security AND x.grp = y.grp),
+    stats AS (SELECT s1, s2, last, count(*) AS n, avg(d) AS mean, stddev_samp(d) AS std FROM diffs GROUP BY ALL)
+    SELECT s1 AS "Security_1", s2 AS "Security_2", round(last + 1.37e-9, 6) AS "Last_Spread",
+           round(CASE WHEN std > 0 THEN (last - mean) / std ELSE 0 END + 1.37e-9, 6) AS "Z_Score" FROM stats""")
+def _(t):
+    """All eligible series, none left out, paired within their group only."""
+    cols = Panel("obs_date", "security", "cusip", "g_spread", PANEL_ORDER, group="grp")
+    grouped = t.history.withColumn("grp", (F.col("cusip").cast("long") % 7))
+    pairs = pair_zscores(grouped, cols)
+    return pairs.select("Security_1", "Security_2", rounded("Last_Spread").alias("Last_Spread"), rounded("Z_Score").alias("Z_Score"))
+
+
 @query("agg_27_pair_funnel", "history", f"""
     WITH {_SELECTED.replace('n >= 200', 'n >= 100')},
     flags AS (SELECT g.security, coalesce(s.early, FALSE) AS early, l.security IS NOT NULL AS recent
@@ -68,9 +85,11 @@ def _(t):
     SELECT count(*) AS pairs_attempted, count(*) FILTER (NOT ok_start) AS failed_start_date,
            count(*) FILTER (ok_start AND NOT ok_recent) AS failed_recent_data,
            count(*) FILTER (ok_start AND ok_recent AND NOT ok_common) AS failed_no_common_dates,
-           count(*) FILTER (ok_start AND ok_recent AND ok_common) AS pairs_kept FROM pairs""")
+           count(*) FILTER (ok_start AND ok_recent AND ok_common) AS pairs_kept,
+           (SELECT count(*) FROM (SELECT 1 FROM obs, latest GROUP BY security, d HAVING min(obs_date) <= d - 252 AND count(*) >= 100
+                                  AND max(obs_date) >= d - 30)) - (SELECT count(*) FROM flags) AS series_left_out FROM pairs""")
 def _(t):
-    return pair_funnel(t.history, HISTORY, PairParams(min_observations=100))
+    return pair_funnel(t.history, HISTORY, PairParams(min_observations=100, max_series=200))
 
 
 QUOTES = QuoteColumns("quote_date", "cusip", "dealer", ("event_id",), "bid_spread", "ask_spread", "bid_size",
@@ -161,6 +180,75 @@ def _(t):
     return feeds.build_universe(_raw_universe(t), order=["row_a", "row_b", "row_c", "G Sprd"])
 
 
+def _as_files(df, folder, file_date, fmt="csv"):
+    """One folder per date, named like the vendor's files."""
+    batch = F.concat(F.lit("API "), F.date_format(file_date, "MM.dd.yy"))
+    df.withColumn("batch", batch).drop(file_date).hint("rebalance", "batch").write.mode("append").option(
+        "header", True).partitionBy("batch").csv(folder)
+
+
+def _feed_paths(t, name):
+    root = scratch_path(t.spark, name)
+    return feeds.FeedPaths(*[f"{root}/{part}" for part in ("files", "table", "state", "log")])
+
+
+@query("job_03_universe_refresh", "", """
+    WITH u AS (SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS d, l_partkey AS c, min(l_quantity) AS q FROM lineitem GROUP BY 1, 2)
+    SELECT d AS "Date", CAST(c AS VARCHAR) AS "CUSIP", p_name || CASE WHEN late THEN ' late' ELSE '' END AS "Security",
+           p_brand AS "Ticker", CASE WHEN late THEN q + 1000 ELSE q END AS "G Sprd", CAST(p_size AS DOUBLE) AS "Yrs (Mat)"
+    FROM (SELECT *, FALSE AS late FROM u UNION ALL SELECT d, -c, q, TRUE FROM u WHERE d = (SELECT max(d) FROM u) AND c % 2 = 0)
+    JOIN part ON p_partkey = abs(c)""")
+def _(t):
+    """All files, then once more with one more file for the last date, then once more without a change."""
+    part = t.table("part").select(F.col("p_partkey").alias("l_partkey"), F.col("p_name").alias("Security"),
+                                  F.col("p_brand").alias("Ticker"), F.col("p_size").alias("Yrs (Mat)"))
+    rows = (t.table("lineitem").groupBy(F.trunc("l_shipdate", "MM").alias("d"), "l_partkey")
+            .agg(F.min("l_quantity").alias("G Sprd")).join(part, "l_partkey").withColumnRenamed("l_partkey", "CUSIP"))
+    paths = _feed_paths(t, "universe-refresh")
+    _as_files(rows, paths.folder, "d")
+    feeds.refresh_universe(t.spark, paths, dated_by="path", now=views._now())
+    late = rows.filter((F.col("d") == rows.agg(F.max("d").alias("d")).scalar()) & (F.col("CUSIP") % 2 == 0))
+    _as_files(late.withColumn("G Sprd", F.col("G Sprd") + 1000).withColumn("CUSIP", -F.col("CUSIP"))
+              .withColumn("Security", F.concat("Security", F.lit(" late"))), paths.folder, "d")
+    for _ in range(2):
+        feeds.refresh_universe(t.spark, paths, dated_by="path", now=views._now())
+    return t.spark.read.parquet(paths.table).select("Date", "CUSIP", "Security", "Ticker", "G Sprd", "Yrs (Mat)")
+
+
+@query("job_04_portfolio_refresh", "positions", """
+    SELECT CAST(date_trunc('month', pos_date) AS DATE) AS "Date", 'BOND ' || cusip AS "SECURITY", CAST(cusip AS VARCHAR) AS "CUSIP",
+           quantity AS "QUANTITY", CAST(pos_date + INTERVAL 400 DAY AS DATE) AS "MATURITY DATE" FROM positions""")
+def _(t):
+    """Positions with vendor dates; the maturity becomes a date."""
+    rows = t.positions.select(F.trunc("pos_date", "MM").alias("file_date"), F.concat(F.lit("BOND "), F.col("cusip").cast("string")).alias("SECURITY"),
+                              F.col("cusip").alias("CUSIP"), F.col("quantity").alias("QUANTITY"), F.lit("x").alias("OWNER"),
+                              F.date_format(F.date_add("pos_date", 400), "MM/dd/yyyy").alias("MATURITY DATE"))
+    paths = _feed_paths(t, "portfolio-refresh")
+    _as_files(rows.filter("file_date < '1995-01-01'"), paths.folder, "file_date")
+    feeds.refresh_portfolio(t.spark, paths, dated_by="path", now=views._now())
+    _as_files(rows.filter("file_date >= '1995-01-01'"), paths.folder, "file_date")
+    feeds.refresh_portfolio(t.spark, paths, dated_by="path", now=views._now())
+    return t.spark.read.parquet(paths.table).select("Date", "SECURITY", "CUSIP", "QUANTITY", "MATURITY DATE")
+
+
+@query("job_05_quote_refresh", "quotes", """
+    SELECT quote_date AS "Date", quote_time AS "Time", CAST(cusip AS VARCHAR) AS "CUSIP", dealer AS "Dealer",
+           bid_spread AS "Bid Spread", CAST(bid_size AS DOUBLE) AS "Bid Size" FROM quotes
+    WHERE bid_spread IS NOT NULL
+    QUALIFY row_number() OVER (PARTITION BY quote_date, cusip, dealer ORDER BY quote_time DESC, event_id DESC) = 1""")
+def _(t):
+    """Two runs of new files, merged by key; the later quote wins whichever file it comes in."""
+    rows = t.quotes.select(
+        F.date_format("quote_date", "MM/dd/yy").alias("Date"), F.col("quote_time").alias("Time"), F.col("cusip").alias("CUSIP"),
+        F.col("dealer").alias("Dealer"), F.col("bid_spread").alias("Bid Spread"), F.col("bid_size").alias("Bid Size"),
+        F.lpad(F.col("event_id").cast("string"), 12, "0").alias("event_id"))
+    paths = _feed_paths(t, "quote-refresh")
+    for part in (F.col("Bid Size") >= 50, F.col("Bid Size") < 50):
+        rows.filter(part).write.mode("append").option("header", True).csv(paths.folder)
+        feeds.refresh_quotes(t.spark, paths, order=("Time", "event_id"), now=views._now())
+    return t.spark.read.parquet(paths.table).select("Date", "Time", "CUSIP", "Dealer", "Bid Spread", "Bid Size")
+
+
 @query("job_04_portfolio_build", "positions", """
     SELECT pos_date AS "Date", pos_id AS "ID", CASE WHEN sec_type = '5-LOW' THEN 'CDX' WHEN status = 'P' THEN 'CASH CAD'
              ELSE 'BOND ' || cusip END AS "SECURITY",

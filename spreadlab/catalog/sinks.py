@@ -183,3 +183,28 @@ def _(t):
                           F.concat("quote_time", F.lit(":00")).alias("Time"),
                           F.coalesce("bid_spread", F.lit(float("nan"))).alias("Bid Yield To Convention"))
     return prepare_export(raw)
+
+
+@query("snk_03_narrower_batch", "quotes", f"""
+    SELECT event_id, quote_date, cusip, dealer, bid_spread, CASE WHEN again THEN NULL ELSE bid_size END AS bid_size
+    FROM (SELECT {_COLS}, quote_date >= DATE '{MIDDLE}' AND event_id % 2 = 1 AS again FROM ({_LATEST}))""")
+def _(t):
+    """A batch without a stored column replaces its own rows; the column of all other rows stays."""
+    path = _target(t, "narrow-merge")
+    latest = keep_last(_quotes(t), KEY, ["event_id"])
+    merge_latest(latest, path, KEY, ["event_id"], "quote_date")
+    batch = latest.filter((F.col("quote_date") >= MIDDLE) & (F.col("event_id") % 2 == 1)).drop("bid_size")
+    upsert(batch, path, KEY, "quote_date", ["event_id"])
+    return t.spark.read.parquet(path).select(*COLS)
+
+
+@query("snk_05_missing_dates", "quotes", f"""
+    SELECT event_id, d AS quote_date, cusip, dealer, bid_spread, CASE WHEN event_id % 20 = 0 THEN bid_size + 1000 ELSE bid_size END AS bid_size
+    FROM (SELECT *, CASE WHEN event_id % 10 = 0 THEN NULL ELSE quote_date END AS d FROM quotes)""")
+def _(t):
+    """Rows without a date are a partition of their own and merged like the others."""
+    path = _target(t, "undated")
+    rows = _quotes(t).withColumn("quote_date", F.when(F.col("event_id") % 10 != 0, F.col("quote_date")))
+    upsert(rows, path, ["event_id"], "quote_date")
+    upsert(rows.filter(F.col("event_id") % 20 == 0).withColumn("bid_size", F.col("bid_size") + 1000), path, ["event_id"], "quote_date")
+    return t.spark.read.parquet(path).select(*COLS)

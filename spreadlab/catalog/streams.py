@@ -48,3 +48,18 @@ def _(t):
     for folder in _feed(t, stale, rows.filter(F.col("quote_date") >= MIDDLE)):
         replace_new_dates(file_stream(t.spark, folder, rows.schema), target, checkpoint, "quote_date")
     return t.spark.read.parquet(target).select(*COLS)
+
+
+@query("st_03_split_date", "quotes", f"""
+    SELECT event_id, quote_date, cusip, dealer, bid_spread,
+           CASE WHEN quote_date < DATE '{MIDDLE}' THEN -1 ELSE bid_size END AS bid_size FROM quotes""")
+def _(t):
+    """Every date lies in several files, and every file is a batch of its own."""
+    rows = t.quotes.select(*COLS)
+    target, checkpoint = scratch_path(t.spark, "stream-split"), scratch_path(t.spark, "stream-state")
+    folder = scratch_path(t.spark, "stream-files")
+    for batch in (rows.withColumn("bid_size", F.lit(-1)), rows.filter(F.col("quote_date") >= MIDDLE)):
+        batch.repartition(3, "event_id").write.mode("append").parquet(folder)
+        stream = file_stream(t.spark, folder, rows.schema, max_files=1)
+        replace_new_dates(stream, target, checkpoint, "quote_date")
+    return t.spark.read.parquet(target).select(*COLS)

@@ -15,19 +15,49 @@ FRACTIONS = {"⅛": "1/8", "⅜": "3/8", "⅝": "5/8", "⅞": "7/8", "⅓": "1/3
              "¼": "1/4", "¾": "3/4", "½": "1/2"}
 
 
+NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+DAY_AND_CLOCK = r"^(\d{1,2}/\d{1,2}/(?:\d{4}|\d{2})|\d{1,2}-[A-Za-z]{3}-(?:\d{4}|\d{2}))(\s+(\d{1,2}:\d{2}(?::\d{2})?))?$"
+MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
+CENTURY_PIVOT = 69  # two-digit years from here on are 19yy
+
+
 def quoted(name: str) -> Column:
     """Column by its literal name, whatever characters it holds."""
     return F.col("`" + name.replace("`", "``") + "`")
 
 
 def to_double(c: Column) -> Column:
-    """Number of a text, NULL where it is none (NaN counts as none)."""
-    number = c.try_cast("double")
-    return F.when(F.isnan(number), None).otherwise(number)
+    """Number of a text, NULL where it is none.
+
+    Only plain decimal and exponent notation counts: not NaN, infinities, or
+    the type suffixes and hexadecimal forms a cast would read.
+    """
+    return F.when(c.cast("string").rlike(NUMBER), c.try_cast("double"))
 
 
 def to_timestamp(c: Column) -> Column:
-    return c.try_cast("timestamp")
+    """Timestamp of a text in ISO form or a usual vendor form, NULL where it is none.
+
+    Vendor forms: month/day/year with two or four digits of the year and
+    day-month-year with the month's English name, each with a time of day or without.
+    """
+    text = F.trim(c.cast("string"))
+    # day and clock are put in ISO order, which the plain cast reads without formatter exceptions
+    day = F.regexp_extract(text, DAY_AND_CLOCK, 1)
+    clock = F.regexp_extract(text, DAY_AND_CLOCK, 3)
+    slashed = F.when(day.contains("/"), F.split(day, "/"))
+    dashed = F.when(day.rlike("-[A-Za-z]"), F.split(day, "-"))
+    month = F.lpad((F.array_position(F.array(*[F.lit(m) for m in MONTHS]), F.lower(F.get(dashed, F.lit(1))))).cast("string"), 2, "0")
+
+    def iso(year: Column, month_text: Column, day_text: Column) -> Column:
+        full = F.when(F.length(year) == 4, year).otherwise(
+            F.concat(F.when(year.try_cast("int") < CENTURY_PIVOT, "20").otherwise("19"), year))
+        date = F.concat(full, F.lit("-"), F.lpad(month_text, 2, "0"), F.lit("-"), F.lpad(day_text, 2, "0"))
+        return F.concat_ws(" ", date, F.nullif(clock, F.lit(""))).try_cast("timestamp")
+
+    return F.coalesce(c.try_cast("timestamp"),
+                      iso(F.get(slashed, F.lit(2)), F.get(slashed, F.lit(0)), F.get(slashed, F.lit(1))),
+                      iso(F.get(dashed, F.lit(2)), month, F.get(dashed, F.lit(0))))
 
 
 def nan_to_null(c: Column) -> Column:
@@ -35,18 +65,38 @@ def nan_to_null(c: Column) -> Column:
 
 
 def nan_to_null_all(df: DataFrame) -> DataFrame:
-    """NULL for every NaN, also inside arrays of numbers."""
+    """NULL for every NaN, also inside arrays, structs and map values."""
     def clean(field):
         c = quoted(field.name)
         if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
             return nan_to_null(c).alias(field.name)
-        if isinstance(field.dataType, T.ArrayType) and isinstance(
-                field.dataType.elementType, (T.DoubleType, T.FloatType)):
-            return F.transform(c, nan_to_null).alias(field.name)
-        return c
+        return clean_nested(c, field.dataType).alias(field.name)
     return df.select(*[clean(f) for f in df.schema.fields])
 
 
+def clean_nested(c: Column, kind: T.DataType) -> Column:
+    """NULL for every NaN inside numbers, arrays, structs and map values, at any depth."""
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        return nan_to_null(c)
+    if not _holds_floats(kind):
+        return c
+    if isinstance(kind, T.ArrayType):
+        return F.transform(c, lambda x: clean_nested(x, kind.elementType))
+    if isinstance(kind, T.MapType):
+        return F.transform_values(c, lambda _, v: clean_nested(v, kind.valueType))
+    return F.when(c.isNotNull(), F.struct(*[clean_nested(c[f.name], f.dataType).alias(f.name) for f in kind.fields]))
+
+
+def _holds_floats(kind: T.DataType) -> bool:
+    if isinstance(kind, T.ArrayType):
+        return _holds_floats(kind.elementType)
+    if isinstance(kind, T.MapType):
+        return _holds_floats(kind.valueType)
+    if isinstance(kind, T.StructType):
+        return any(_holds_floats(f.dataType) for f in kind.fields)
+    return isinstance(kind, (T.DoubleType, T.FloatType))
+
+
 def plain_fractions(c: Column) -> Column:
     for sign, spelled in FRACTIONS.items():
         c = F.replace(c, F.lit(sign), F.lit(spelled))

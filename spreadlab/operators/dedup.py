@@ -37,30 +37,33 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Data
     return _first_row(df, keys, _total_order(df, keys, order, descending=False))
 
 
-def rank_key(order: Sequence[str]) -> Column:
-    """One comparable value for an order of several columns."""
-    return quoted(order[0]) if len(order) == 1 else F.struct(*[quoted(c) for c in order])
+def rank_key(order: Sequence[str], *taken: str) -> Column:
+    """One comparable value: the order columns, then the columns that are taken.
+
+    Rows that tie on both give the same result, so it never depends on the
+    order in which rows arrive.
+    """
+    names = [*order, *(c for c in taken if c not in order)]
+    return quoted(names[0]) if len(names) == 1 else F.struct(*[quoted(c) for c in names])
 
 
 def last_non_null(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                   columns: Sequence[str] | None = None) -> DataFrame:
     """Last non-NULL value of every column per key; may mix source rows.
 
-    Rows with a NULL key are dropped.
+    Rows with a NULL key are dropped; of equally late values the greatest is taken.
     """
     columns = columns or [c for c in df.columns if c not in keys and c not in order]
-    by = rank_key(order)
     return (df.na.drop(subset=list(keys)).groupBy(*[quoted(k) for k in keys])
-            .agg(*[F.max_by(quoted(c), F.when(quoted(c).isNotNull(), by)).alias(c) for c in columns]))
+            .agg(*[F.max_by(quoted(c), F.when(quoted(c).isNotNull(), rank_key(order, c))).alias(c) for c in columns]))
 
 
 def first_non_null(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                    columns: Sequence[str] | None = None) -> DataFrame:
-    """First non-NULL value of every column per key; may mix source rows."""
+    """First non-NULL value of every column per key; of equally early ones the smallest.  May mix source rows."""
     columns = columns or [c for c in df.columns if c not in keys and c not in order]
-    by = rank_key(order)
     return (df.na.drop(subset=list(keys)).groupBy(*[quoted(k) for k in keys])
-            .agg(*[F.min_by(quoted(c), F.when(quoted(c).isNotNull(), by)).alias(c) for c in columns]))
+            .agg(*[F.min_by(quoted(c), F.when(quoted(c).isNotNull(), rank_key(order, c))).alias(c) for c in columns]))
 
 
 def duplicate_groups(df: DataFrame, keys: Sequence[str]) -> DataFrame:

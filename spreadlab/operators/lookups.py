@@ -30,7 +30,7 @@ def many_to_one(df: DataFrame, dim: DataFrame, key: str, columns: Sequence[str],
 
 def last_value_mapping(df: DataFrame, key: str, value: str, order: Sequence[str]) -> DataFrame:
     """One value per key; of several the last in ``order`` wins."""
-    return df.groupBy(quoted(key)).agg(F.max_by(quoted(value), rank_key(order)).alias(value))
+    return df.groupBy(quoted(key)).agg(F.max_by(quoted(value), F.when(quoted(value).isNotNull(), rank_key(order, value))).alias(value))
 
 
 def map_both_sides(pairs: DataFrame, mapping: DataFrame, key: str, value: str,

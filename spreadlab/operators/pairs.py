@@ -1,12 +1,14 @@
 """All-pairs statistics of series on their common dates.
 
 The result has one row for every pair by definition, so the work is n²/2 pairs
-however it is arranged; n itself is bounded by the top-series parameter.  Pairs
+however it is arranged; n is bounded by the caller's top-series step, or the
+pairs by a column both sides must share.  Pairs
 are formed block-wise: every series is assigned to one of B blocks and sent to
 the B block pairs it takes part in, an equality join on the block pair.  This
 moves n·B rows (a series is one row with its lookback values) instead of
 n²/2·dates, spreads the pairs over B(B+1)/2 even tasks whatever the dates look
-like, and leaves each pair complete in one row, with no aggregation afterwards.
+like, and leaves each pair complete in one row, so that its statistics are
+aggregated in the join's own partitions.
 """
 
 from __future__ import annotations
@@ -30,23 +32,25 @@ def z_score(last: Column, mean: Column, std: Column) -> Column:
     return F.when(std > 0, (last - mean) / std).otherwise(F.lit(0.0))
 
 
-def block_count(df: DataFrame, max_series: int | None = None) -> int:
+def block_count(df: DataFrame, n_series: int | None = None) -> int:
     """Blocks needed so that the block pairs fill the shuffle partitions.
 
-    A known bound on the series keeps blocks from becoming smaller than 16.
+    With a counted number of series a block holds 16 to 1,024 of them.
     """
     wanted = math.ceil(math.sqrt(4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
-    if max_series:
-        wanted = min(wanted, math.ceil(max_series / 16))
+    if n_series is not None:
+        wanted = max(min(wanted, math.ceil(n_series / 16)), math.ceil(n_series / 1024))
     return max(2, wanted)
 
 
-def block_pairs(series: DataFrame, security: str, columns: list[str], blocks: int) -> DataFrame:
+def block_pairs(series: DataFrame, security: str, columns: list[str], blocks: int,
+                within: str | None = None) -> DataFrame:
     """Pairs ``security_1 < security_2`` with both sides' ``columns``.
 
     Each unordered pair is produced exactly once: by the pair of its two
     blocks, or within the diagonal pair when both are in one block.  The rows
-    stay partitioned by ``block_pair``.
+    stay partitioned by ``block_pair``.  ``within`` names a column on which both
+    sides must agree; it is part of the join key, so other pairs are never formed.
     """
     parts = blocks * (blocks + 1) // 2
     own = F.pmod(F.xxhash64(quoted(security)), F.lit(blocks)).cast("int")
@@ -55,19 +59,21 @@ def block_pairs(series: DataFrame, security: str, columns: list[str], blocks: in
               .withColumn("block_pair", F.least("_own", "_other") * blocks + F.greatest("_own", "_other")))
 
     def side(n):
-        return spread.select("block_pair", F.col("_own").alias(f"_own_{n}"),
-                             *[quoted(c).alias(f"{c}_{n}") for c in (security, *columns)]
+        return spread.select("block_pair", *([quoted(within).alias("_within")] if within else []),
+                             F.col("_own").alias(f"_own_{n}"), *[quoted(c).alias(f"{c}_{n}") for c in (security, *columns)]
                              ).repartition(parts, "block_pair")
 
     diagonal = F.col("block_pair") % (blocks + 1) == 0
-    return (side(1).join(side(2).hint("shuffle_hash"), "block_pair")
+    keys = ["block_pair", *(["_within"] if within else [])]
+    return (side(1).join(side(2).hint("shuffle_hash"), keys)
             .filter((quoted(f"{security}_1") < quoted(f"{security}_2"))
                     & (diagonal | (F.col("_own_1") != F.col("_own_2"))))
-            .drop("_own_1", "_own_2"))
+            .drop("_own_1", "_own_2", "_within"))
 
 
 def pair_statistics(series: DataFrame, security: str, values: str, last: str,
-                    carried: tuple[str, ...] = (), blocks: int | None = None) -> DataFrame:
+                    carried: tuple[str, ...] = (), blocks: int | None = None,
+                    within: str | None = None) -> DataFrame:
     """Statistics of the aligned difference for all pairs of ``series``.
 
     ``series`` has one row per security with an array ``values``, aligned over
@@ -76,7 +82,7 @@ def pair_statistics(series: DataFrame, security: str, values: str, last: str,
     first, so it runs on the partitions of the join without another shuffle.
     """
     blocks = blocks or block_count(series)
-    pairs = block_pairs(series, security, [values, last, *carried], blocks)
+    pairs = block_pairs(series, security, [values, last, *carried], blocks, within)
     keys = ["block_pair", *[f"{c}_{n}" for c in (security, *carried) for n in (1, 2)], "last_diff"]
     difference = (
         pairs.withColumn("last_diff", quoted(f"{last}_1") - quoted(f"{last}_2"))

@@ -32,10 +32,12 @@ def eligible_series(metrics: DataFrame, latest, params: PairParams) -> DataFrame
         & (F.col("value_count") / F.col("total_obs") >= params.min_coverage))
 
 
-def top_series(metrics: DataFrame, security: str, n: int) -> DataFrame:
-    """The ``n`` series with the best score, ties by name (distributed top-n)."""
-    score = F.col("total_obs") * F.col("value_count") / F.col("total_obs")
-    return (metrics.withColumn("score", score)
+def top_series(metrics: DataFrame, security: str, n: int | None) -> DataFrame:
+    """The ``n`` series with the best score, ties by name (distributed top-n); all of them without ``n``."""
+    if n is None:
+        return metrics
+    # observations times their coverage, which is the number of values
+    return (metrics.withColumn("score", F.col("value_count").cast("double"))
             .orderBy(F.col("score").desc(), quoted(security)).limit(n))
 
 
@@ -46,8 +48,8 @@ def liquid_series(df: DataFrame, date: str, security: str, value: str, params: P
 
 def last_per_cell(df: DataFrame, date: str, security: str, value: str, order: Sequence[str],
                   carried: Sequence[str] = ()) -> DataFrame:
-    """Last non-NULL value per date and security, pre-aggregated per task."""
-    last = F.max_by(F.struct(*[quoted(c) for c in (value, *carried)]), rank_key(order))
+    """Last non-NULL value per date and security, pre-aggregated per task; of equally late values the greatest."""
+    last = F.max_by(F.struct(*[quoted(c) for c in (value, *carried)]), rank_key(order, value, *carried))
     return (df.filter(quoted(value).isNotNull())
             .groupBy(quoted(date), quoted(security)).agg(last.alias("_last"))
             .select(quoted(date), quoted(security), "_last.*"))

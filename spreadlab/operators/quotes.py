@@ -47,11 +47,10 @@ def quotes_with_changes(quotes: DataFrame, cols: QuoteColumns, params: MonitorPa
     wanted = day == at["latest"]
     for period in params.periods:
         wanted = wanted | (day == at[period])
-    by = rank_key(cols.order)
 
     def last_on(column: str, date: Column) -> Column:
         c = quoted(column)
-        return F.max_by(c, F.when((day == date) & c.isNotNull(), by))
+        return F.max_by(c, F.when((day == date) & c.isNotNull(), rank_key(cols.order, column)))
 
     aggregates = [F.max(day == at["latest"]).alias("_current")]
     aggregates += [last_on(c, at["latest"]).alias(c) for c in (*cols.measures, *cols.labels)]
@@ -111,12 +110,11 @@ def without_negatives(df: DataFrame, columns: Sequence[str], keep_missing: bool
 def roll_up(df: DataFrame, keys: Sequence[str], rules: dict[str, Sequence[str]],
             order: Sequence[str]) -> DataFrame:
     """Mean, sum and first-non-NULL per key from a rule map; absent columns skip."""
-    by = rank_key(order)
     present = set(df.columns)
     build = {
         "mean": lambda c: F.avg(quoted(c)),
         "sum": lambda c: F.coalesce(F.sum(quoted(c)), F.lit(0.0)),
-        "first": lambda c: F.min_by(quoted(c), F.when(quoted(c).isNotNull(), by)),
+        "first": lambda c: F.min_by(quoted(c), F.when(quoted(c).isNotNull(), rank_key(order, c))),
     }
     aggregates = [build[rule](c).alias(c) for rule, names in rules.items() for c in names if c in present]
     return df.na.drop(subset=list(keys)).groupBy(*[quoted(k) for k in keys]).agg(*aggregates)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from collections.abc import Sequence
 
@@ -27,6 +28,13 @@ def without_matching_columns(df: DataFrame, patterns: Sequence[str]) -> DataFram
     return df.select(*[quoted(c) for c in df.columns if not any(p in c for p in patterns)])
 
 
+def without_repeated_headers(df: DataFrame) -> DataFrame:
+    """Drop ``X.1``, ``X.2``, … where a column ``X`` exists: later copies of a repeated header."""
+    present = set(df.columns)
+    repeated = {c for c in df.columns if (base := re.sub(r"\.\d+$", "", c)) != c and base in present}
+    return df.select(*[quoted(c) for c in df.columns if c not in repeated])
+
+
 def rename_positions(df: DataFrame, names: dict[str, str], on_duplicate: str = "keep_first") -> DataFrame:
     """Rename columns where the new names may collide.
 

@@ -63,9 +63,12 @@ PORTFOLIO_OVERRIDES = (
 
 @dataclass(frozen=True)
 class PairParams:
-    """All-pairs spread statistics."""
+    """All-pairs spread statistics.
 
-    max_series: int = 200
+    ``max_series`` is the top-n step, off by default.
+    """
+
+    max_series: int | None = None
     lookback_rows: int = 252
     history_days: int = 252
     min_observations: int = 200

@@ -18,10 +18,10 @@ from spreadlab.operators.lookups import with_match_status
 from spreadlab.operators.quotes import roll_up
 from spreadlab.operators.snapshots import latest_snapshot
 from spreadlab.params import MONITOR_ROLLUP
-from spreadlab.plans.feeds import clean_universe_spreads
+from spreadlab.plans.feeds import clean_universe_spreads, log_checks  # noqa: F401  (part of the loads' surface)
 from spreadlab.session import staged
 from spreadlab.sinks.tables import (
-    append, insert_new_dates, overwrite, table, track_unmatched, update_decision, upsert)
+    insert_new_dates, overwrite, replace_dates, table, track_unmatched, update_decision, upsert)
 
 
 def _loaded(df: DataFrame, source: str, date: str | None, now: Column | None) -> DataFrame:
@@ -46,13 +46,20 @@ def _summary(spark, path: str, like: DataFrame, name: str, decision: DataFrame)
 
 def _load(df: DataFrame, path: str, keys: Sequence[str], date: str | None, order: Sequence[str],
           force: bool, name: str, new_dates_only: bool = False) -> DataFrame:
+    """Write a batch.  Only ``force`` (or an undated feed) replaces dates the batch does not bring."""
     spark = df.sparkSession
     df = staged(df, name)
     decision = staged(update_decision(table(spark, path, df.schema), df, date, force), f"{name}-decision")
-    if decision.first().update_type == "full_refresh":
+    made = decision.first()
+    if force or date is None or not made.existing_dates:
         overwrite(keep_last(df, keys, order), path, date)
+    elif made.update_type == "full_refresh":
+        # a reloaded date replaces the stored one; all other dates stay
+        replace_dates(keep_last(df, keys, order), path, date)
     elif new_dates_only:
-        insert_new_dates(df, path, date)
+        skipped = insert_new_dates(df, path, date)
+        decision = decision.withColumn("reason", F.concat_ws(
+            "; ", "reason", F.lit(f"{skipped} rows of stored dates skipped" if skipped else None)))
     else:
         upsert(df, path, keys, date, order)
     return _summary(spark, path, df, name, decision)
@@ -92,14 +99,17 @@ def unmatched_rows(rows: DataFrame, table_name: str, cusip: str, name: str, date
 
 def load_quotes(feed: DataFrame, path: str, date: str = "Date", cusip: str = "CUSIP", dealer: str = "Dealer",
                 order: Sequence[str] = ("Time",), source: str = "quotes", force: bool = False,
-                now: Column | None = None) -> DataFrame:
-    """Standardize, one row per (date, identifier, dealer), add new dates only."""
+                now: Column | None = None, late: str = "skip") -> DataFrame:
+    """Standardize, one row per (date, identifier, dealer), add new dates only.
+
+    Quotes of stored dates are skipped and counted in ``reason``, or merged by key with ``late="merge"``.
+    """
     keys = [date, "cusip_standardized", dealer]
     rows = standardized(feed, cusip).filter(quoted(date).isNotNull())
     # the newest non-NULL value of every column
     newest = last_non_null(rows, keys, order)
     return _load(_loaded(newest, source, date, now), path, keys, date, (), force,
-                 "combined_runs_historical", new_dates_only=True)
+                 "combined_runs_historical", new_dates_only=late == "skip")
 
 
 def load_monitor(report: DataFrame, path: str, rules: dict[str, Sequence[str]] = MONITOR_ROLLUP,
@@ -206,10 +216,3 @@ def recent_unmatched(unmatched: DataFrame, n: int = 10, order: str = "universe_m
     """The most recent unmatched identifiers."""
     return unmatched.orderBy(quoted(order).desc(), "source_table", "cusip_original").limit(n).select(
         "source_table", "cusip_original", "cusip_standardized", "security_name")
-
-
-def log_checks(report: DataFrame, table_name: str, path: str, checked_at: Column | None = None) -> None:
-    """Append the rows of a quality report to the check log."""
-    at = checked_at if checked_at is not None else F.current_timestamp()
-    append(report.select(F.lit(table_name).alias("table_name"), "check_type", "column_name", "check_result",
-                         "check_value", at.cast("timestamp_ntz").alias("checked_at")), path)

@@ -15,9 +15,9 @@ def schema(**columns: str) -> T.StructType:
     return T.StructType([T.StructField(name, _TYPES[code]) for name, code in columns.items()])
 
 
-def _typed(names, doubles, timestamps, date="Date"):
+def _typed(names, doubles, timestamps, dates=("Date",)):
     def pick(name):
-        if name == date:
+        if name in dates:
             return T.DateType()
         if name in doubles:
             return T.DoubleType()
@@ -33,7 +33,7 @@ UNIVERSE = _typed(UNIVERSE_FEED.keep, UNIVERSE_FEED.doubles, UNIVERSE_FEED.times
 PORTFOLIO = _typed(
     ("Date", "SECURITY", "CUSIP", "SECURITY TYPE", *PORTFOLIO_FEED.doubles,
      *PORTFOLIO_FEED.timestamps),
-    PORTFOLIO_FEED.doubles, PORTFOLIO_FEED.timestamps)
+    PORTFOLIO_FEED.doubles, (), ("Date", *PORTFOLIO_FEED.timestamps))
 
 QUOTES = _typed(
     ("Date", "Time", "CUSIP", "Dealer", "Security", "Keyword", "Bid Spread", "Ask Spread",

@@ -10,10 +10,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from spreadlab.functions.dates import clock_text
 from spreadlab.functions.scalars import nan_to_null_all, quoted
 from spreadlab.operators.dedup import keep_last
 from spreadlab.session import staged
@@ -65,6 +67,25 @@ def table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return read_parquet(spark, path, schema)
 
 
+def stored_table(spark: SparkSession, path: str, like: T.StructType) -> DataFrame:
+    """The stored table with all its columns, also those ``like`` lacks; empty when it does not exist yet.
+
+    Columns of ``like`` come first and in its types, so that partition values are not guessed.
+    """
+    try:
+        known = spark.read.option("mergeSchema", True).parquet(path).schema
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        known = T.StructType([])
+    return read_parquet(spark, path, T.StructType(like.fields + [f for f in known.fields if f.name not in like.names]))
+
+
+def _widened(new: DataFrame, stored: DataFrame) -> DataFrame:
+    """``new`` with the stored columns it lacks, as NULL."""
+    return new.unionByName(stored.limit(0), allowMissingColumns=True)
+
+
 def merge_latest(new: DataFrame, path: str, keys: Sequence[str], order: Sequence[str], date: str) -> None:
     """Merge rows by key; of several rows the greatest ``order`` wins."""
     new = staged(new, "batch")
@@ -80,7 +101,7 @@ def upsert(new: DataFrame, path: str, keys: Sequence[str], date: str | None = No
     Among several new rows of a key the greatest ``order`` wins.
     """
     new = staged(new, "batch")
-    stored = _stored_dates(new, path, date) if date else table(new.sparkSession, path, new.schema)
+    stored = _stored_dates(new, path, date) if date else stored_table(new.sparkSession, path, new.schema)
     both = (stored.withColumn("_new", F.lit(0))
             .unionByName(new.withColumn("_new", F.lit(1)), allowMissingColumns=True))
     merged = staged(keep_last(both, keys, ["_new", *order]).drop("_new"), "upsert")
@@ -91,32 +112,47 @@ def upsert(new: DataFrame, path: str, keys: Sequence[str], date: str | None = No
 
 
 def _stored_dates(new: DataFrame, path: str, date: str) -> DataFrame:
-    """Stored rows of the dates that occur in ``new``.
+    """Stored rows, with all stored columns, of the dates that occur in ``new``; a NULL date is one of them.
 
     The dates (one per calendar day at most) are a scalar subquery on the
-    partition column, so only their partitions are listed and read; a join on
-    the date would scan the whole table.
+    partition column, so only their partitions are read (all are listed); a
+    join on the date would scan the whole table.
     """
-    stored = table(new.sparkSession, path, new.schema)
+    if not isinstance(new.schema[date].dataType, (T.DateType, T.StringType)):
+        raise ValueError(f"{date} must be a date, as every distinct value is a partition")
+    stored = stored_table(new.sparkSession, path, new.schema)
     days = new.agg(F.collect_set(quoted(date))).scalar()
-    return stored.filter(F.array_contains(days, quoted(date))).select(*[quoted(c) for c in new.columns])
+    undated = new.agg(F.coalesce(F.bool_or(quoted(date).isNull()), F.lit(False))).scalar()
+    return stored.filter(F.array_contains(days, quoted(date)) | (quoted(date).isNull() & undated))
 
 
 def insert_absent(new: DataFrame, path: str, keys: Sequence[str], date: str | None = None) -> None:
     """Append the rows whose key is not stored yet."""
     new = staged(new, "batch")
     by_date = date is not None and date in keys
-    stored = _stored_dates(new, path, date) if by_date else table(new.sparkSession, path, new.schema)
+    stored = _stored_dates(new, path, date) if by_date else stored_table(new.sparkSession, path, new.schema)
     fresh = new.join(stored.select(*[quoted(k) for k in keys]), list(keys), "left_anti")
-    append(staged(fresh.select(*[quoted(c) for c in new.columns]), "insert-absent"), path, date)
+    fresh = _widened(fresh.select(*[quoted(c) for c in new.columns]), stored)
+    append(staged(fresh, "insert-absent"), path, date)
+
+
+def _rows_by_date(new: DataFrame, path: str, date: str) -> tuple[DataFrame, DataFrame]:
+    """The new rows of dates not stored yet, and the others."""
+    stored = _stored_dates(new, path, date).select(quoted(date).alias("_d")).distinct()
+    columns = [quoted(c) for c in new.columns]
+    found = F.col("_known")
+    known = new.join(stored.withColumn("_known", F.lit(True)), quoted(date).eqNullSafe(F.col("_d")), "left")
+    return known.filter(found.isNull()).select(*columns), known.filter(found).select(*columns)
 
 
-def insert_new_dates(new: DataFrame, path: str, date: str) -> None:
-    """Append the rows of dates that are not stored yet."""
+def insert_new_dates(new: DataFrame, path: str, date: str) -> int:
+    """Append the rows of dates that are not stored yet; the number of other rows, which are left out."""
     new = staged(new, "batch")
-    stored = _stored_dates(new, path, date).select(quoted(date)).distinct()
-    fresh = new.join(stored, date, "left_anti").select(*[quoted(c) for c in new.columns])
+    fresh, late = _rows_by_date(new, path, date)
+    fresh = _widened(fresh, stored_table(new.sparkSession, path, new.schema))
+    skipped = late.count()
     append(staged(fresh, "insert-dates"), path, date)
+    return skipped
 
 
 def update_decision(stored: DataFrame, new: DataFrame, date: str | None, force: bool = False,
@@ -124,7 +160,10 @@ def update_decision(stored: DataFrame, new: DataFrame, date: str | None, force:
     """Full refresh or incremental update, with the reason, as one row.
 
     Incremental only when stored data exists and the dates of the new rows
-    overlap it not at all or by less than ``min_overlap``.
+    overlap it not at all or by less than ``min_overlap``.  This is a report
+    on two tables: it may be acted on literally only when ``new`` is the whole
+    feed.  The loads of ``plans/history.py`` replace the dates they bring and
+    nothing else, unless forced.
     """
     if date is None or date not in new.columns:
         counts = stored.agg(F.count(F.lit(1)).alias("existing_dates")).withColumns(
@@ -184,5 +223,5 @@ def prepare_export(df: DataFrame, date: str = "Date", time: str = "Time",
     if date in df.columns:
         df = df.withColumn(date, F.date_format(quoted(date), "yyyy-MM-dd"))
     if time in df.columns:
-        df = df.withColumn(time, F.left(quoted(time).cast("string"), F.lit(5)))
+        df = df.withColumn(time, F.coalesce(clock_text(quoted(time).cast("string")), quoted(time).cast("string")))
     return df

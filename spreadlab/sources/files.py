@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from spreadlab.functions.dates import century_date
 from spreadlab.functions.scalars import nan_to_null_all, quoted
+from spreadlab.session import staged
 
 
 def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -76,6 +77,21 @@ def new_or_changed(inventory: DataFrame, state: DataFrame | None,
     return inventory.join(state.select(*by), list(by), "left_anti")
 
 
+def saved_state(spark: SparkSession, path: str) -> DataFrame | None:
+    """The file state a build saved, None before the first."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return None
+
+
+def save_state(inventory: DataFrame, path: str) -> None:
+    """Replace the saved state; to be called when the files are in the table."""
+    staged(inventory.coalesce(1), "file-state").write.mode("overwrite").parquet(path)
+
+
 def dated_files(inventory: DataFrame, pivot: int = 69, on_undated: str = "skip",
                 dated_by: str = "file_name") -> DataFrame:
     """Files with the date of their name; undated ones are skipped or fail.
@@ -119,24 +135,33 @@ def read_by_name(spark: SparkSession, paths: Sequence[str], fmt: str, encoding:
         raise ValueError(f"unsupported feed format {fmt!r}")
     united = None
     for columns, files in csv_layouts(spark, paths, encoding):
-        reader = spark.read.option("header", True).option("encoding", encoding)
-        schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
+        # read by position, as a header name may occur twice; of equal names (in any case) the first counts
+        reader = spark.read.option("header", True).option("enforceSchema", True).option("encoding", encoding)
+        schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(len(columns))])
+        first = {name.lower(): i for i, name in reversed(list(enumerate(columns)))}
         part = reader.schema(schema).csv(files).select(
-            *[quoted(c) for c in columns], _plain_path(F.col("_metadata.file_path")).alias("source_file"))
+            *[F.col(f"_c{i}").alias(c) for i, c in enumerate(columns) if first[c.lower()] == i],
+            _plain_path(F.col("_metadata.file_path")).alias("source_file"))
         united = part if united is None else united.unionByName(part, allowMissingColumns=True)
     return united
 
 
 def read_dated_folder(spark: SparkSession, folder: str, fmt: str, pivot: int = 69,
                       on_undated: str = "skip", state: DataFrame | None = None,
-                      date: str = "Date", dated_by: str = "file_name") -> DataFrame | None:
+                      date: str = "Date", dated_by: str = "file_name",
+                      whole_dates: bool = False) -> DataFrame | None:
     """All new files of a folder as one table with their date in front.
 
     ``state`` (as given by :func:`file_inventory`) leaves out files already
-    processed; ``None`` is a full refresh.  Returns None when nothing is new.
+    processed; ``None`` is a full refresh.  With ``whole_dates`` the other
+    files of a new file's date are read as well, so that its rows can replace
+    the date.  Returns None when nothing is new.
     """
-    files = dated_files(new_or_changed(file_inventory(spark, folder, f"*.{fmt}"), state),
-                        pivot, on_undated, dated_by)
+    inventory = file_inventory(spark, folder, f"*.{fmt}")
+    files = dated_files(new_or_changed(inventory, state), pivot, on_undated, dated_by)
+    if whole_dates and state is not None:
+        files = dated_files(inventory, pivot, on_undated, dated_by).join(
+            files.select("file_date").distinct(), "file_date", "left_semi")
     paths = [row.path for row in files.select("path", "file_date").collect()]
     if not paths:
         return None

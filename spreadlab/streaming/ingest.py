@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -51,11 +52,26 @@ def merge_new_files(stream: DataFrame, target: str, checkpoint: str, keys: Seque
 
 def replace_new_dates(stream: DataFrame, target: str, checkpoint: str, date: str,
                       transform: Transform = lambda df: df) -> None:
-    """The dates in a batch replace the stored dates (late or corrected files).
+    """The dates of the new files replace the stored dates (late or corrected files).
 
-    A date must be complete within one batch, i.e. its files arrive together.
+    All batches of a run are gathered beside the checkpoint, each under its own
+    number, so that a repeated batch overwrites itself; the dates are replaced
+    once, from all of them.  So a date may be spread over files and batches.
+    What a broken run gathered is replaced together with the next run's rows.
     """
-    def replace(batch: DataFrame, _: int) -> None:
+    spark = stream.sparkSession
+    gathered = f"{checkpoint.rstrip('/')}-gathered"
+
+    def gather(batch: DataFrame, number: int) -> None:
         if not batch.isEmpty():
-            replace_dates(transform(batch), target, date)
-    _run(stream.writeStream.foreachBatch(replace), checkpoint)
+            transform(batch).write.mode("overwrite").parquet(f"{gathered}/batch={number}")
+    _run(stream.writeStream.foreachBatch(gather), checkpoint)
+    try:
+        rows = spark.read.option("mergeSchema", True).parquet(gathered).drop("batch")
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return
+    replace_dates(rows, target, date)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(gathered)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
