@@ -14,8 +14,8 @@ through.  Passing positions that lie together form a region, which carries its
 words and those around it once; the regions' seeds are joined with the
 benchmark's, and every (region, item, shift) is verified once.
 
-Words are lower-cased runs of letters and digits, so punctuation and case do
-not matter.  Edge cases: NULL and empty texts, and texts or items shorter than
+Words are lower-cased runs of letters and digits (and of everything beyond
+ASCII), so ASCII punctuation and case do not matter.  Edge cases: NULL and empty texts, and texts or items shorter than
 ``shortest`` words, match nothing; repeated documents are reported each, repeated items too;
 without items nothing is reported.
 """
@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from spreadlab.llm.text import WordHashes, combined
 from spreadlab.session import staged
 
-TOKEN = re.compile(r"[^\W_]+")
+TOKEN = re.compile(rb"[a-z0-9\x80-\xff]+")
 
 
 @dataclass(frozen=True)
@@ -50,7 +50,7 @@ class SeedParams:
 
 
 def tokens(text: str | None) -> list[bytes]:
-    return [w.encode("utf-8", "surrogatepass") for w in TOKEN.findall(text.lower())] if text else []
+    return TOKEN.findall(text.lower().encode("utf-8", "surrogatepass")) if text else []
 
 
 def item_words(items: DataFrame, item_id: str, text: str, params: SeedParams) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
@@ -69,13 +70,17 @@ def mixed(h: np.ndarray) -> np.ndarray:
 
 
 def combined(hashes: np.ndarray, offsets: tuple[int, ...], seed: int = 0) -> np.ndarray:
-    """Order-sensitive hash of the words at ``offsets`` from every position."""
+    """Order-sensitive hash of the words at ``offsets`` from every position.
+
+    A sum of word hashes times an odd number per place, scrambled once.
+    """
     count = len(hashes) - offsets[-1]
     if count <= 0:
         return np.empty(0, np.uint64)
-    out = np.full(count, np.uint64(seed * 2 + 1), np.uint64)
-    for offset in offsets:
-        out = mixed(out) + hashes[offset:offset + count]
+    factors = mixed(np.arange(1, len(offsets) + 1, dtype=np.uint64) + np.uint64(seed * 64)) | np.uint64(1)
+    out = hashes[:count] * factors[0]
+    for offset, factor in zip(offsets[1:], factors[1:]):
+        out += hashes[offset:offset + count] * factor
     return mixed(out)
 
 
@@ -96,6 +101,18 @@ def frames(batches: Iterator[pd.DataFrame], rows: int) -> Iterator[pd.DataFrame]
             yield batch.iloc[at:at + rows]
 
 
+@contextmanager
+def arrow_batches(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Rows per batch handed to Python while the block runs; long rows need small batches."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def join_small(left: DataFrame, small: DataFrame, keys: list[str], rows: int, how: str = "left",
                broadcast_rows: int = 1_000_000) -> DataFrame:
     """Join with a table of ``rows`` counted narrow rows: sent to all tasks when few, else by shuffling both sides."""
