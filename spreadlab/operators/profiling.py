@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from spreadlab.functions.scalars import blank, quoted, to_double
 from spreadlab.operators.quantiles import exact_quantiles
+from spreadlab.session import staged
 
 QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
 FIVE_NUMBERS = {"min": 0.0, "q1": 0.25, "median": 0.5, "q3": 0.75, "max": 1.0}
@@ -107,16 +108,26 @@ def distinct_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def categorical_distribution(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Value counts with share of all rows and distinct count per column."""
-    counts = value_counts(df, columns)
-    total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
-    uniques = counts.groupBy("column_name").agg(F.count(F.lit(1)).alias("unique_count"))
-    return (counts.withColumn("pct", F.col("n") * 100.0 / total)
-            .join(uniques, "column_name"))
+    # one scan: the counts, with those of missing values, are kept and read for the totals
+    texts = df.select(*[quoted(c).cast("string").alias(c) for c in columns])
+    counts = staged(texts.unpivot([], list(columns), "column_name", "value")
+                    .groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n")), "value-counts")
+    totals = counts.groupBy("column_name").agg(F.sum("n").alias("_total"), F.count("value").alias("unique_count"))
+    return (counts.filter(F.col("value").isNotNull()).join(totals, "column_name")
+            .withColumn("pct", F.col("n") * 100.0 / F.col("_total"))
+            .select("column_name", "value", "n", "pct", "unique_count"))
 
 
 def duplicate_rows(df: DataFrame) -> DataFrame:
-    """Rows beyond the first of each group of equal rows."""
-    groups = df.groupBy(*[quoted(c) for c in df.columns]).agg(F.count(F.lit(1)).alias("_n"))
+    """Rows beyond the first of each group of equal rows.
+
+    Rows are first grouped by a 128-bit hash, so only two numbers a row are
+    shuffled; whole rows are compared where a hash occurs more than once.
+    """
+    columns = [quoted(c) for c in df.columns]
+    keyed = df.select(*columns, F.xxhash64(*columns).alias("_h1"), F.xxhash64(F.lit(1), *columns).alias("_h2"))
+    repeated = keyed.groupBy("_h1", "_h2").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("_h1", "_h2")
+    groups = keyed.join(repeated, ["_h1", "_h2"], "left_semi").groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"))
     return groups.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("duplicate_rows"))
 
 

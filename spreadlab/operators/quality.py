@@ -12,7 +12,7 @@ from spreadlab.functions.dates import parse_date
 from spreadlab.functions.scalars import quoted, to_double
 from spreadlab.operators.dedup import duplicate_groups
 from spreadlab.operators.profiling import (
-    date_coverage, distinct_counts, duplicate_rows, numeric_columns, per_column)
+    distinct_counts, duplicate_rows, numeric_columns, per_column)
 from spreadlab.params import QualityParams
 
 CLOCK_PATTERN = r"^([01]?\d|2[0-3]):[0-5]\d$"
@@ -144,21 +144,20 @@ def date_like_columns(df: DataFrame, params: QualityParams = QualityParams()) ->
 
 def time_series_columns(df: DataFrame, params: QualityParams = QualityParams()) -> DataFrame | None:
     """Range and distinct dates of every column named like a date."""
-    parts = []
-    for name in date_like_columns(df, params):
-        field = df.schema[name]
-        values = df.select((quoted(name) if not isinstance(field.dataType, T.StringType)
-                            else F.coalesce(*[parse_date(quoted(name), f) for f in params.date_formats])
-                            ).cast("date").alias("d"))
-        parts.append(date_coverage(values, "d").select(
-            F.lit(name).alias("column_name"), F.col("min_date").alias("start_date"),
-            F.col("max_date").alias("end_date"), F.col("n_records").alias("total_dates"), "unique_dates"))
-    if not parts:
+    names = date_like_columns(df, params)
+    if not names:
         return None
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+
+    def as_date(name: str) -> Column:
+        text = isinstance(df.schema[name].dataType, T.StringType)
+        return (F.coalesce(*[parse_date(quoted(name), f) for f in params.date_formats]) if text else quoted(name)).cast("date")
+
+    # one scan: rows per (column, day), then the ranges
+    days = (df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), as_date(c).alias("d")) for c in names])))
+            .groupBy("column_name", "d").agg(F.count("d").alias("n")))
+    return days.groupBy("column_name").agg(
+        F.min("d").alias("start_date"), F.max("d").alias("end_date"), F.sum("n").alias("total_dates"),
+        F.count("d").alias("unique_dates"))
 
 
 def table_profile(df: DataFrame, table: str, params: QualityParams = QualityParams()) -> DataFrame:

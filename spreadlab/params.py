@@ -94,6 +94,7 @@ class MappingParams:
     """Fuzzy name mapping."""
 
     threshold: float = 85.0
+    bands: tuple[float, ...] = (96.0, 91.0)  # scores above the threshold at which the assignment is settled in between
     methods: tuple[str, ...] = ("ratio", "partial_ratio", "token_sort_ratio")
 
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spreadlab.functions.identifiers import standardized_columns, standardized_or_original
@@ -19,7 +19,7 @@ from spreadlab.operators.quotes import roll_up
 from spreadlab.operators.snapshots import latest_snapshot
 from spreadlab.params import MONITOR_ROLLUP
 from spreadlab.plans.feeds import clean_universe_spreads, log_checks  # noqa: F401  (part of the loads' surface)
-from spreadlab.session import staged
+from spreadlab.session import scratch_scope, staged
 from spreadlab.sinks.tables import (
     insert_new_dates, overwrite, replace_dates, table, track_unmatched, update_decision, upsert)
 
@@ -38,31 +38,33 @@ def standardized(df: DataFrame, cusip: str) -> DataFrame:
         "standardization_status")
 
 
-def _summary(spark, path: str, like: DataFrame, name: str, decision: DataFrame) -> DataFrame:
-    rows = table(spark, path, like.schema).agg(F.count(F.lit(1)).alias("stored_rows"))
-    return decision.select(F.lit(name).alias("table_name"), "update_type", "reason",
-                           rows.scalar().alias("stored_rows"))
+def _summary(spark: SparkSession, path: str, like: DataFrame, name: str, update_type: str, reason: str) -> DataFrame:
+    """One row of what a load did."""
+    stored = table(spark, path, like.schema).count()
+    return spark.createDataFrame([(name, update_type, reason, stored)],
+                                 "table_name string, update_type string, reason string, stored_rows long")
 
 
 def _load(df: DataFrame, path: str, keys: Sequence[str], date: str | None, order: Sequence[str],
           force: bool, name: str, new_dates_only: bool = False) -> DataFrame:
     """Write a batch.  Only ``force`` (or an undated feed) replaces dates the batch does not bring."""
     spark = df.sparkSession
-    df = staged(df, name)
-    decision = staged(update_decision(table(spark, path, df.schema), df, date, force), f"{name}-decision")
-    made = decision.first()
-    if force or date is None or not made.existing_dates:
-        overwrite(keep_last(df, keys, order), path, date)
-    elif made.update_type == "full_refresh":
-        # a reloaded date replaces the stored one; all other dates stay
-        replace_dates(keep_last(df, keys, order), path, date)
-    elif new_dates_only:
-        skipped = insert_new_dates(df, path, date)
-        decision = decision.withColumn("reason", F.concat_ws(
-            "; ", "reason", F.lit(f"{skipped} rows of stored dates skipped" if skipped else None)))
-    else:
-        upsert(df, path, keys, date, order)
-    return _summary(spark, path, df, name, decision)
+    with scratch_scope(spark):
+        # the only copy of the batch: it is read for the decision and for the write
+        df = staged(df, name)
+        made = update_decision(table(spark, path, df.schema), df, date, force).first()
+        reason = made.reason
+        if force or date is None or not made.existing_dates:
+            overwrite(keep_last(df, keys, order), path, date)
+        elif made.update_type == "full_refresh":
+            # a reloaded date replaces the stored one; all other dates stay
+            replace_dates(keep_last(df, keys, order), path, date)
+        elif new_dates_only:
+            skipped = insert_new_dates(df, path, date, is_staged=True)
+            reason += f"; {skipped} rows of stored dates skipped" if skipped else ""
+        else:
+            upsert(df, path, keys, date, order, is_staged=True)
+        return _summary(spark, path, df, name, made.update_type, reason)
 
 
 def load_universe(feed: DataFrame, path: str, date: str = "Date", cusip: str = "CUSIP", spread: str = "G Sprd",
@@ -79,10 +81,10 @@ def load_portfolio(feed: DataFrame, path: str, universe: DataFrame, all_dates_pa
                    force: bool = False, now: Column | None = None, today: Column | None = None) -> DataFrame:
     """Standardize, flag against the current universe, track the unmatched, write."""
     members = latest_snapshot(universe, universe_date) if universe_date else universe
-    rows = staged(with_match_status(_loaded(standardized(feed, cusip), source, date, now),
-                                    members, "cusip_standardized"), "portfolio-flagged")
-    track_unmatched(unmatched_rows(rows, "portfolio_historical", cusip, name, date, source, today),
-                    all_dates_path, last_date_path)
+    rows = with_match_status(_loaded(standardized(feed, cusip), source, date, now), members, "cusip_standardized")
+    with scratch_scope(feed.sparkSession):
+        track_unmatched(unmatched_rows(rows, "portfolio_historical", cusip, name, date, source, today),
+                        all_dates_path, last_date_path)
     return _load(rows, path, [date, cusip, "cusip_standardized"], date, order, force, "portfolio_historical")
 
 
@@ -128,11 +130,8 @@ def load_spreads(history: DataFrame, path: str, cusip: str = "CUSIP", date: str
 
 
 def _replace(df: DataFrame, path: str, name: str, date: str | None = None) -> DataFrame:
-    df = staged(df, name)
-    decision = df.sparkSession.range(1).select(F.lit("full_refresh").alias("update_type"),
-                                               F.lit("forced_full_refresh").alias("reason"))
     overwrite(df, path, date)
-    return _summary(df.sparkSession, path, df, name, decision)
+    return _summary(df.sparkSession, path, df, name, "full_refresh", "forced_full_refresh")
 
 
 def current_view(history: DataFrame, date: str) -> DataFrame:

@@ -95,12 +95,12 @@ def merge_latest(new: DataFrame, path: str, keys: Sequence[str], order: Sequence
 
 
 def upsert(new: DataFrame, path: str, keys: Sequence[str], date: str | None = None,
-           order: Sequence[str] = ()) -> None:
+           order: Sequence[str] = (), is_staged: bool = False) -> None:
     """Insert or replace by key: a new row beats the stored one.
 
     Among several new rows of a key the greatest ``order`` wins.
     """
-    new = staged(new, "batch")
+    new = new if is_staged else staged(new, "batch")
     stored = _stored_dates(new, path, date) if date else stored_table(new.sparkSession, path, new.schema)
     both = (stored.withColumn("_new", F.lit(0))
             .unionByName(new.withColumn("_new", F.lit(1)), allowMissingColumns=True))
@@ -145,13 +145,14 @@ def _rows_by_date(new: DataFrame, path: str, date: str) -> tuple[DataFrame, Data
     return known.filter(found.isNull()).select(*columns), known.filter(found).select(*columns)
 
 
-def insert_new_dates(new: DataFrame, path: str, date: str) -> int:
+def insert_new_dates(new: DataFrame, path: str, date: str, is_staged: bool = False) -> int:
     """Append the rows of dates that are not stored yet; the number of other rows, which are left out."""
-    new = staged(new, "batch")
+    new = new if is_staged else staged(new, "batch")
     fresh, late = _rows_by_date(new, path, date)
     fresh = _widened(fresh, stored_table(new.sparkSession, path, new.schema))
     skipped = late.count()
-    append(staged(fresh, "insert-dates"), path, date)
+    # the stored dates are read before the append is committed, so the rows need no copy of their own
+    append(fresh, path, date)
     return skipped
 
 
@@ -191,10 +192,17 @@ def update_decision(stored: DataFrame, new: DataFrame, date: str | None, force:
 
 
 def track_unmatched(unmatched: DataFrame, all_dates_path: str, last_date_path: str) -> None:
-    """Append to the all-dates log and replace by key in the last-date table."""
-    append(unmatched, all_dates_path)
-    upsert(unmatched.drop("date"), last_date_path, ["source_table", "cusip_original"],
-           order=["universe_match_attempted_date"])
+    """Write to the all-dates log and replace by key in the last-date table; a repeated attempt changes nothing.
+
+    The log is partitioned by the date of the attempt: an attempt replaces its
+    own source table's rows of that day.  The other table is partitioned by its source table.
+    """
+    unmatched = staged(unmatched, "unmatched")
+    keys = ["source_table", "universe_match_attempted_date"]
+    kept = _stored_dates(unmatched, all_dates_path, keys[1]).join(unmatched.select(*keys).distinct(), keys, "left_anti")
+    replace_dates(staged(unmatched.unionByName(kept, allowMissingColumns=True), "unmatched-log"), all_dates_path, keys[1])
+    upsert(unmatched.drop("date"), last_date_path, ["source_table", "cusip_original"], "source_table",
+           ["universe_match_attempted_date"])
 
 
 def schema_gap(df: DataFrame, target: Sequence[str]) -> dict[str, list[str]]:

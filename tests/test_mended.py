@@ -156,3 +156,48 @@ def test_a_feed_is_read_once_and_dates_are_whole(spark, tmp_path):
     assert tuple(run(full=True))[1:] == (3, 5, 5)
     assert spark.read.parquet(paths.quality_log).select("table_name").distinct().count() == 1
     assert read_dated_folder(spark, str(folder), "csv").count() == 5
+
+
+def test_loads_leave_no_scratch_tables(spark, tmp_path):
+    import pathlib
+    from spreadlab.session import scratch_root
+    root = pathlib.Path(scratch_root(spark).removeprefix("file:")) / spark.sparkContext.applicationId
+    before = set(root.glob("*")) if root.exists() else set()
+    for _ in range(2):
+        history.load_universe(days(spark, 5), str(tmp_path / "t"), now=now())
+    assert set(root.glob("*")) <= before
+
+
+def test_a_repeated_attempt_is_logged_once(spark, tmp_path):
+    from spreadlab.sinks.tables import track_unmatched
+    day = dt.date(2024, 1, 2)
+    row = lambda table, at: (table, day, "c", "c", "n", at, "f")
+    schema = ("source_table string, date date, cusip_original string, cusip_standardized string, security_name string, "
+              "universe_match_attempted_date date, source_file string")
+    paths = str(tmp_path / "all"), str(tmp_path / "last")
+    for rows in ([row("a", day)], [row("a", day)], [row("b", day)], [row("a", dt.date(2024, 1, 3))]):
+        track_unmatched(spark.createDataFrame(rows, schema), *paths)
+    assert spark.read.parquet(paths[0]).count() == 3 and spark.read.parquet(paths[1]).count() == 2
+
+
+def test_bands_settle_like_the_greedy_rule(spark):
+    import random
+
+    from spreadlab.functions.similarity import best_score
+    from spreadlab.operators.mapping import assign_in_bands
+    from spreadlab.params import MappingParams
+    rng = random.Random(3)
+    left = sorted({"".join(rng.choice("abcd") for _ in range(rng.randrange(6, 10))) for _ in range(40)})
+    right = sorted({w[:k] + rng.choice("abcd") + w[k:] for w in left for k in (2,)} - set(left))
+    params = MappingParams(threshold=70.0, bands=(95.0, 85.0))
+    frame = lambda names: spark.createDataFrame([(n,) for n in names], "name string")
+    pairs = (frame(left).withColumnRenamed("name", "source").crossJoin(frame(right).withColumnRenamed("name", "target"))
+             .withColumn("s", best_score(params.methods)("source", "target")).select("source", "target", "s.score").collect())
+    want, used = set(), set()
+    for p in sorted(pairs, key=lambda p: (-p.score, p.source, p.target)):
+        if p.score >= 70 and not {("s", p.source), ("t", p.target)} & used:
+            used |= {("s", p.source), ("t", p.target)}
+            want.add(p.score)
+    got = assign_in_bands(frame(left), frame(right), params).collect()
+    assert len(got) == len({r.source for r in got}) == len({r.target for r in got})
+    assert {r.score for r in got} == want
