@@ -387,10 +387,12 @@ def _(t):
 
 @query("agg_09_best_levels_latest", "quotes", """
     WITH q AS (SELECT cusip, dealer, arg_max(bid_spread, event_id) FILTER (bid_spread IS NOT NULL) AS bid_spread,
-                 arg_max(bid_size, event_id) AS bid_size
+                 arg_max(bid_size, event_id) AS bid_size, arg_max(ask_size, event_id) AS ask_size,
+                 arg_max(ask_spread, event_id) FILTER (ask_spread IS NOT NULL) AS ask_spread
                FROM quotes WHERE quote_date = (SELECT max(quote_date) FROM quotes) GROUP BY 1, 2)
-    SELECT cusip, min(bid_spread) FILTER (bid_size >= 20) AS "Best Bid" FROM q GROUP BY 1""")
+    SELECT cusip, min(bid_spread) FILTER (bid_size >= 20) AS "Best Bid",
+           round(min(ask_spread) FILTER (ask_size >= 20) + 1.37e-9, 6) AS "Best Offer" FROM q GROUP BY 1""")
 def _(t):
     latest = last_non_null(latest_snapshot(t.quotes, "quote_date"), ["cusip", "dealer"], ["event_id"],
                            ["bid_spread", "ask_spread", "bid_size", "ask_size"])
-    return best_levels(latest, QUOTE_COLUMNS, MonitorParams(min_size=20)).select("cusip", "Best Bid")
+    return best_levels(latest, QUOTE_COLUMNS, MonitorParams(min_size=20)).select("cusip", "Best Bid", rounded("Best Offer").alias("Best Offer"))

@@ -53,12 +53,13 @@ def _(t):
 
 
 @query("cus_03_check_digit", "identifiers", f"""
-    WITH texts AS (SELECT row_id, upper(trim(cusip)) AS x FROM identifiers WHERE regexp_matches(upper(trim(cusip)), '^[0-9A-Z]+$'))
-    SELECT row_id, CASE WHEN length(x) = 8 THEN x || CAST({_digit_sql('x')} AS VARCHAR) ELSE x END AS completed,
-           length(x) = 9 AND right(x, 1) = CAST({_digit_sql("rpad(x, 9, '0')")} AS VARCHAR) AS is_valid FROM texts""")
+    WITH texts AS (SELECT row_id, coalesce(nullif(upper(trim(cusip)), 'NAN'), '') AS x FROM identifiers),
+    plain AS (SELECT *, regexp_matches(x, '^[0-9A-Z]+$') AS fits, CASE WHEN regexp_matches(x, '^[0-9A-Z]+$') THEN rpad(x, 9, '0') ELSE '000000000' END AS y FROM texts)
+    SELECT row_id, CASE WHEN fits AND length(x) = 8 THEN x || CAST({_digit_sql('y')} AS VARCHAR) ELSE x END AS completed,
+           fits AND length(x) = 9 AND right(x, 1) = CAST({_digit_sql('y')} AS VARCHAR) AS is_valid FROM plain""")
 def _(t):
     x = ids.normalized(F.col("cusip"))
-    return t.identifiers.withColumn("x", x).filter(F.col("x").rlike("^[0-9A-Z]+$")).select(
+    return t.identifiers.withColumn("x", x).select(
         "row_id", ids.with_check_digit(F.col("x")).alias("completed"),
         ids.has_valid_check_digit(F.col("x")).alias("is_valid"))
 

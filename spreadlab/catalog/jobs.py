@@ -12,7 +12,7 @@ from spreadlab.fixtures import PANEL_ORDER
 from spreadlab.operators.quotes import QuoteColumns
 from spreadlab.operators.reshape import long_to_wide
 from spreadlab.params import MonitorParams, PairParams
-from spreadlab.plans import feeds
+from spreadlab.plans import feeds, history
 from spreadlab.plans.pair_zscores import Panel, pair_funnel, pair_zscores
 from spreadlab.plans.reconciliation import reconciliation
 from spreadlab.plans.run_monitor import run_monitor
@@ -340,6 +340,51 @@ def _(t):
     return reconciliation(_recon_tables(t), t.universe, "uni_date", "cusip")
 
 
+_MONITOR_BY_ID = f"""
+    SELECT "CUSIP" AS c, "Security" AS s, avg("Bid Spread") AS v, count(*) AS n FROM ({_monitor_sql("""
+    SELECT quote_date, cusip, dealer, arg_max(bid_spread, event_id) FILTER (bid_spread IS NOT NULL) AS bid_spread,
+           arg_max(ask_spread, event_id) FILTER (ask_spread IS NOT NULL) AS ask_spread, arg_max(bid_size, event_id) AS bid_size,
+           arg_max(ask_size, event_id) AS ask_size, arg_max(security, event_id) AS security,
+           arg_max(ask_price, event_id) FILTER (ask_price IS NOT NULL) AS ask_price FROM quotes GROUP BY 1, 2, 3""",
+    20, "n.security", "CAST(NULL AS VARCHAR)", "n.ask_price")}) GROUP BY 1, 2"""
+
+
+@query("job_08_history_tables", "universe positions quotes month_quotes", f"""
+    SELECT 'universe_historical' AS table_name, uni_date AS d, {views.std_sql('cusip')} AS id, security AS item, NULL::DOUBLE AS v FROM universe
+    UNION ALL SELECT 'portfolio_historical', "Date", {views.std_sql('"CUSIP"')},
+      CASE WHEN "CUSIP" IN (SELECT cusip FROM universe WHERE uni_date = (SELECT max(uni_date) FROM universe)) THEN 'matched' ELSE 'unmatched' END,
+      "QUANTITY" FROM ({views._PORTFOLIO})
+    UNION ALL SELECT 'combined_runs_historical', quote_date, {views.std_sql('cusip')}, dealer,
+      arg_max(bid_spread, event_id) FILTER (bid_spread IS NOT NULL) FROM quotes GROUP BY quote_date, cusip, dealer
+    UNION ALL SELECT 'run_monitor', NULL, {views.std_sql('c')}, s, round(v + 1.37e-9, 6) FROM ({_MONITOR_BY_ID})
+    UNION ALL SELECT 'gspread_long', quote_date, {views.std_sql('cusip')}, dealer, bid_spread FROM month_quotes
+    UNION ALL SELECT 'processing_log', NULL, 'op 1', name, NULL FROM (VALUES ('universe_historical'), ('portfolio_historical'),
+      ('combined_runs_historical'), ('run_monitor'), ('gspread_long')) AS x(name)""")
+def _(t):
+    """All five tables row by row, after the operation ran twice; the monitor is fed with the run monitor's report."""
+    paths = history.HistoryPaths(scratch_path(t.spark, "history-all"))
+    report = run_monitor(t.quotes, QUOTES, MonitorParams(min_size=20), rename={"security": "Security", "ask_price": "G Spread"})
+    spreads = t.month_quotes.select(F.col("quote_date").alias("DATE"), F.col("cusip").alias("CUSIP"),
+                                    F.col("dealer").alias("Security"), F.col("bid_spread").alias("GSpread"))
+    for _ in range(2):
+        history.load_all(views._universe_feed(t), views._portfolio_feed(t), views._quote_feed(t), report, spreads, paths, "op 1",
+                         quote_order=["event_id"], portfolio_order=["pos_id"], now=views._now(), today=F.lit("2024-02-01").cast("date"))
+
+    def rows(name, date, identifier, item, value):
+        value = value if value is not None else F.lit(None).cast("double")
+        return t.spark.read.parquet(paths.table(name)).select(
+            F.lit(name).alias("table_name"), (F.col(date) if date else F.lit(None)).cast("date").alias("d"),
+            F.col(identifier).alias("id"), F.col(item).alias("item"), value.alias("v"))
+    std = "cusip_standardized"
+    parts = [rows("universe_historical", "Date", std, "Security", None),
+             rows("portfolio_historical", "Date", std, "universe_match_status", F.col("QUANTITY")),
+             rows("combined_runs_historical", "Date", std, "Dealer", F.col("Bid Spread")),
+             rows("run_monitor", None, std, "Security", rounded("Bid Spread")),
+             rows("gspread_long", "DATE", std, "Security", F.col("GSpread")),
+             rows("processing_log", None, "operation_id", "table_name", None)]
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
 @query("job_08_history_load", "universe positions quotes month_quotes", """
     SELECT 'universe_historical' AS table_name, count(*) AS stored_rows FROM universe
     UNION ALL SELECT 'portfolio_historical', count(*) FROM (SELECT DISTINCT date_trunc('month', pos_date), cusip FROM positions)

@@ -11,6 +11,7 @@ from spreadlab.catalog.sinks import _COLS, _LATEST, COLS, KEY
 from spreadlab.operators import dedup, profiling, reshape, sets, snapshots
 from spreadlab.operators.panel import (
     first_dates, forward_filled_grid, last_per_cell, series_metrics, top_series)
+from spreadlab.params import QUOTE_WIDE_KEY
 from spreadlab.plans.pair_zscores import most_extreme
 from spreadlab.fixtures import PANEL_ORDER
 
@@ -33,6 +34,19 @@ def _(t):
     return last.select("l_suppkey", "l_linenumber", "l_returnflag", "ship_date")
 
 
+@query("win_03_keep_last_quote_key", "quotes", """
+    SELECT quote_date AS "Date", quote_time AS "Time", dealer AS "Dealer", security AS "Security", bid_price AS "Bid Price",
+           ask_price AS "Ask Price", max(event_id) AS event_id, arg_max(bid_spread, event_id) FILTER (event_id IS NOT NULL) AS bid_spread
+    FROM (SELECT * EXCLUDE (bid_spread), coalesce(bid_spread, -1) AS bid_spread FROM quotes) GROUP BY ALL""")
+def _(t):
+    """The wide key of the quote feed; the kept row shows by its number and its spread."""
+    names = {"quote_date": "Date", "quote_time": "Time", "dealer": "Dealer", "security": "Security", "bid_price": "Bid Price",
+             "ask_price": "Ask Price", "bid_size": "Bid Size", "ask_size": "Ask Size"}
+    feed = t.quotes.withColumnsRenamed(names).withColumn("bid_spread", F.coalesce("bid_spread", F.lit(-1.0)))
+    keys = [c for c in QUOTE_WIDE_KEY if c in feed.columns and not c.endswith("Size")]
+    return dedup.keep_last(feed, keys, ["event_id"]).select(*keys, "event_id", "bid_spread")
+
+
 @query("win_04_keep_first", "universe_dim", """
     SELECT security, cusip, ticker FROM universe_dim QUALIFY row_number() OVER (PARTITION BY security ORDER BY cusip) = 1""")
 def _(t):
@@ -155,7 +169,7 @@ def _(t):
     return sets.distinct_rows(t.messy)
 
 
-_WIDE = ("Brand#1", "Brand#2", "Brand#3", "Brand#4", "Brand#5")
+_WIDE = tuple(f"Brand#{i}" for i in range(1, 26))  # every brand of the table
 
 
 def _all_brands(t):

@@ -73,13 +73,14 @@ def check_digit(c: Column) -> Column:
 
 
 def with_check_digit(c: Column) -> Column:
-    """Eight characters get their digit; other lengths stay as they are."""
-    return F.when(F.length(c) == 8, F.concat(c, check_digit(c).cast("string"))).otherwise(c)
+    """Eight digits or capital letters get their digit; other texts stay as they are."""
+    return F.when(c.rlike("^[0-9A-Z]{8}$"), F.concat(c, check_digit(c).cast("string"))).otherwise(c)
 
 
 def has_valid_check_digit(c: Column) -> Column:
+    """Nine digits or capital letters of which the last is the digit of the others; other texts are not valid."""
     return F.coalesce(
-        (F.length(c) == 9) & (c.substr(9, 1) == check_digit(c).cast("string")), F.lit(False))
+        c.rlike("^[0-9A-Z]{9}$") & (c.substr(9, 1) == check_digit(c).cast("string")), F.lit(False))
 
 
 def pattern_type(c: Column) -> Column:

@@ -7,10 +7,13 @@ is one small row; it is the only thing read back to choose the write path.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from spreadlab import schemas
 from spreadlab.functions.identifiers import standardized_columns, standardized_or_original
 from spreadlab.functions.scalars import quoted, with_lineage
 from spreadlab.operators.dedup import keep_last, last_non_null
@@ -18,10 +21,10 @@ from spreadlab.operators.lookups import with_match_status
 from spreadlab.operators.quotes import roll_up
 from spreadlab.operators.snapshots import latest_snapshot
 from spreadlab.params import MONITOR_ROLLUP
-from spreadlab.plans.feeds import clean_universe_spreads, log_checks  # noqa: F401  (part of the loads' surface)
+from spreadlab.plans.feeds import clean_universe_spreads, declared, log_checks  # noqa: F401  (part of the loads' surface)
 from spreadlab.session import scratch_scope, staged
 from spreadlab.sinks.tables import (
-    insert_new_dates, overwrite, replace_dates, table, track_unmatched, update_decision, upsert)
+    insert_absent, insert_new_dates, overwrite, replace_dates, table, track_unmatched, update_decision, upsert)
 
 
 def _loaded(df: DataFrame, source: str, date: str | None, now: Column | None) -> DataFrame:
@@ -215,3 +218,59 @@ def recent_unmatched(unmatched: DataFrame, n: int = 10, order: str = "universe_m
     """The most recent unmatched identifiers."""
     return unmatched.orderBy(quoted(order).desc(), "source_table", "cusip_original").limit(n).select(
         "source_table", "cusip_original", "cusip_standardized", "security_name")
+
+
+@dataclass(frozen=True)
+class HistoryPaths:
+    """The stored tables of the history, below one folder."""
+
+    root: str
+
+    def table(self, name: str) -> str:
+        return f"{self.root}/{name}"
+
+    @property
+    def log(self) -> str:
+        return f"{self.root}/processing_log"
+
+
+def load_all(universe: DataFrame, portfolio: DataFrame, quotes: DataFrame, monitor: DataFrame, spreads: DataFrame,
+             paths: HistoryPaths, operation_id: str, quote_order: Sequence[str] = ("Time",),
+             portfolio_order: Sequence[str] = (), monitor_order: Sequence[str] = ("Dealer",), force: bool = False,
+             now: Column | None = None, today: Column | None = None) -> DataFrame:
+    """The five loads, the universe first because the portfolio is flagged against it; one row each.
+
+    ``monitor`` is the report of the run monitor.  The rows also go to the
+    processing log, once per operation, so a repeated operation adds nothing.
+    """
+    spark = universe.sparkSession
+    done = [load_universe(universe, paths.table("universe_historical"), force=force, now=now)]
+    members = spark.read.parquet(paths.table("universe_historical"))
+    done.append(load_portfolio(portfolio, paths.table("portfolio_historical"), members, paths.table("unmatched_all_dates"),
+                               paths.table("unmatched_last_date"), order=portfolio_order, force=force, now=now, today=today))
+    done.append(load_quotes(quotes, paths.table("combined_runs_historical"), order=quote_order, force=force, now=now))
+    done.append(load_monitor(monitor, paths.table("run_monitor"), order=monitor_order, now=now))
+    done.append(load_spreads(spreads, paths.table("gspread_long"), now=now))
+    report = reduce(lambda a, b: a.unionByName(b), done)
+    at = now if now is not None else F.current_timestamp()
+    log = report.select(
+        F.lit(operation_id).alias("operation_id"), "table_name", "update_type", "reason",
+        F.lit("completed").alias("processing_status"), F.col("stored_rows").alias("rows_stored"),
+        at.cast("timestamp_ntz").alias("finished_at"))
+    insert_absent(declared(log, schemas.PROCESSING_LOG), paths.log, ["operation_id", "table_name"])
+    return report
+
+
+def load_summary(matches: DataFrame, quality: DataFrame | None, counts: DataFrame, unmatched: DataFrame) -> DataFrame:
+    """Match summary, quality dashboard, row counts and unmatched identifiers as (section, table_name, metric, value)."""
+    def rows(df: DataFrame, section: str, name: str, metrics: Sequence[str]) -> DataFrame:
+        cells = F.array(*[F.struct(F.lit(m).alias("metric"), quoted(m).cast("double").alias("value")) for m in metrics])
+        return df.select(F.lit(section).alias("section"), quoted(name).alias("table_name"), F.inline(cells))
+
+    parts = [rows(matches, "match", "table_name", ["total_cusips", "matched_cusips", "unmatched_cusips", "match_rate_percent"]),
+             rows(counts, "rows", "table_name", ["n_rows", "share_pct"]),
+             rows(unmatched_by_table(unmatched), "unmatched", "source_table", ["unmatched_count"])]
+    if quality is not None:
+        parts.append(rows(quality, "quality", "table_name", ["total_checks", "checks_passed", "checks_failed",
+                                                             "checks_warning", "pass_rate_percent"]))
+    return reduce(lambda a, b: a.unionByName(b), parts)

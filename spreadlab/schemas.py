@@ -58,4 +58,4 @@ UNMATCHED_LAST_DATE = schema(source_table="s", cusip_original="s", cusip_standar
 QUALITY_LOG = schema(table_name="s", check_type="s", column_name="s", check_result="s",
                      check_value="d", checked_at="ts")
 PROCESSING_LOG = schema(operation_id="s", table_name="s", update_type="s", reason="s",
-                        processing_status="s", rows_written="l", finished_at="ts")
+                        processing_status="s", rows_stored="l", finished_at="ts")
