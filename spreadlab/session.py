@@ -20,10 +20,13 @@ _open_scopes: list[list[str]] = []
 
 
 def local_session(cores: str = "*", app: str = "spreadlab", shuffle_partitions: int = 8,
-                  driver_memory: str = "8g") -> SparkSession:
+                  driver_memory: str = "8g", checkpoint_dir: str | None = None) -> SparkSession:
     """Session for tests and the local bench; clusters bring their own."""
+    builder = SparkSession.builder
+    if checkpoint_dir:
+        builder = builder.config(CHECKPOINT_CONF, checkpoint_dir)
     spark = (
-        SparkSession.builder.master(f"local[{cores}]").appName(app)
+        builder.master(f"local[{cores}]").appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")

@@ -15,8 +15,9 @@ FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session("8", "tests")
+def spark(tmp_path_factory):
+    # a shared folder as on a cluster, so the tests do not take the branch for a missing setting
+    session = local_session("8", "tests", checkpoint_dir=str(tmp_path_factory.mktemp("shared")))
     session.conf.set("spark.sql.ui.explainMode", "simple")
     yield session
     session.stop()
