@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pandas as pd
 import regex
@@ -35,6 +36,9 @@ from pyspark.sql import functions as F
 from spreadlab.llm.text import MEMO_ENTRIES, Memo
 
 
+NO_TOKEN, PRODUCED, NOT_TRIED = range(3)
+
+
 def byte_symbols() -> dict[str, int]:
     """The printable symbols that stand for bytes in the vocabulary file."""
     plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255]
@@ -59,12 +63,12 @@ class PrefixCounter:
         self.cut_special = regex.compile("|".join(map(regex.escape, self.special))) if self.special else None
         self.pattern = regex.compile(pattern)
         self.fits: dict[tuple[bytes, bytes], bool] = {}
-        self.known = Memo(lambda new: [self.chunk_prefixes(c.encode("utf-8", "surrogatepass"))[-1] for c in new])
-        # only tokens that encoding can produce take part
+        self.known = Memo(lambda new: [self.chunk_prefixes(c.encode("utf-8", "surrogatepass"))[-1] for c in new], 800_000)
         special = set(self.special)
-        self.tokens = {b for t, b in coded.items() if t not in special}
-        self.longest = max(map(len, self.tokens))
-        self.canonical: dict[bytes, bool] = {}
+        tokens = {b for t, b in coded.items() if t not in special}
+        # every ending of a token, and whether it is a token itself that encoding can produce
+        self.endings: dict[bytes, int] = {t[k:]: NO_TOKEN for t in tokens for k in range(len(t))}
+        self.endings.update(dict.fromkeys(tokens, NOT_TRIED))
 
     def merged(self, parts: list[bytes]) -> list[bytes]:
         """Plain byte-pair merging of a short byte string."""
@@ -76,12 +80,10 @@ class PrefixCounter:
             parts[k:k + 2] = [parts[k] + parts[k + 1]]
         return parts
 
-    def is_canonical(self, token: bytes) -> bool:
-        found = self.canonical.get(token)
-        if found is None:
-            found = self.canonical[token] = token in self.tokens and len(
-                self.merged([token[k:k + 1] for k in range(len(token))])) == 1
-        return found
+    def is_produced(self, token: bytes) -> bool:
+        produced = len(self.merged([token[k:k + 1] for k in range(len(token))])) == 1
+        self.endings[token] = PRODUCED if produced else NO_TOKEN
+        return produced
 
     def compatible(self, left: bytes, right: bytes) -> bool:
         found = self.fits.get((left, right))
@@ -94,15 +96,26 @@ class PrefixCounter:
 
     def chunk_prefixes(self, chunk: bytes) -> list[int]:
         """Token counts of the prefixes of 1, 2, … bytes of a chunk."""
-        tokens, longest = self.tokens, self.longest
+        endings, fits = self.endings, self.fits
         counts, last = [0], [b""]
         for end in range(1, len(chunk) + 1):
-            for start in range(max(0, end - longest), end):
-                token = chunk[start:end]
-                if token in tokens and self.is_canonical(token) and (not start or self.compatible(last[start], token)):
-                    counts.append(counts[start] + 1)
-                    last.append(token)
+            found, start = [], end - 1
+            while start >= 0:
+                piece = chunk[start:end]
+                kind = endings.get(piece)
+                if kind is None:
+                    break  # ends no token, so nothing longer does
+                if kind == PRODUCED or (kind == NOT_TRIED and self.is_produced(piece)):
+                    found.append((start, piece))
+                start -= 1
+            for start, token in reversed(found):
+                if not start:
                     break
+                pair = (last[start], token)
+                if fits[pair] if pair in fits else self.compatible(*pair):
+                    break
+            counts.append(counts[start] + 1)
+            last.append(token)
         return counts[1:]
 
     def chunks(self, text: str) -> Iterator[tuple[str, bool]]:
@@ -147,11 +160,17 @@ class PrefixCounter:
         return total
 
 
+@lru_cache(maxsize=2)
+def shared_counter(path: str, pattern: str) -> PrefixCounter:
+    """One counter per Python worker, whose memo serves all its tasks."""
+    return PrefixCounter(path, pattern)
+
+
 def count_tokens(docs: DataFrame, path: str, pattern: str, budget: int = 512, doc_id: str = "doc_id",
                  text: str = "text") -> DataFrame:
     """doc_id, n_bytes, n_tokens, over_limit."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counter = PrefixCounter(path, pattern)
+        counter = shared_counter(path, pattern)
         for batch in batches:
             bodies = [t or "" for t in batch["body"]]
             yield pd.DataFrame({"doc_id": batch["id"],
@@ -167,7 +186,7 @@ def budget_cuts(docs: DataFrame, path: str, pattern: str, budget: int, doc_id: s
                 text: str = "text") -> DataFrame:
     """doc_id, cut_text, cut_tokens: every text cut to its longest prefix within the budget."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counter = PrefixCounter(path, pattern)
+        counter = shared_counter(path, pattern)
         for batch in batches:
             rows = []
             for doc, body in zip(batch["id"], batch["body"]):
