@@ -41,6 +41,7 @@ SENTENCE = re.compile(r"(?<=[.!?])\s+|\n")
 LETTERS_APART = re.compile(r"(?<![^\W_])[^\W_](?:[^\w]{1,3}[^\W_]){2,}(?![^\W_])")
 READ_AS = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i"})
 NOT_LETTER = re.compile(r"[\W\d_]+")
+LOWEST = -1000.0
 INNER_SIGN = re.compile(r"(?<=[^\W_])[013457@$!](?=[^\W_])")
 
 
@@ -63,17 +64,18 @@ class ToxicParams:
     regular: float = 1e-4
 
 
+def raw_words(text: str) -> list[str]:
+    """Lower-cased words between white space, letters written apart joined."""
+    return LETTERS_APART.sub(lambda m: NOT_LETTER.sub("", m[0].translate(READ_AS)), text.lower()).split()
+
+
+def plain_word(word: str) -> str:
+    """The letters of a word, read through tricks of spelling."""
+    return word if word.isalpha() else NOT_LETTER.sub("", INNER_SIGN.sub(lambda m: m[0].translate(READ_AS), word))
+
+
 def plain_words(text: str) -> list[str]:
-    """Lower-cased words, read through tricks of spelling."""
-    low = text.lower()
-    low = LETTERS_APART.sub(lambda m: NOT_LETTER.sub("", m[0].translate(READ_AS)), low)
-    out = []
-    for word in low.split():
-        if not word.isalpha():
-            word = NOT_LETTER.sub("", INNER_SIGN.sub(lambda m: m[0].translate(READ_AS), word))
-        if word:
-            out.append(word)
-    return out
+    return [word for word in map(plain_word, raw_words(text)) if word]
 
 
 def pieces(word: str, size: int) -> list[str]:
@@ -82,13 +84,13 @@ def pieces(word: str, size: int) -> list[str]:
     return [word[k:k + size] for k in range(0, len(word) - size // 2, size // 2)]
 
 
-def subsequence_features(words: list[str], params: ToxicParams) -> np.ndarray:
-    """Rows of unit length: the gap-weighted subsequences of words of at most ``piece`` letters."""
+def subsequences(words: list[str], params: ToxicParams) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, slot and weight of the gap-weighted subsequences of words of at most ``piece`` letters; rows have unit length."""
     size, span = params.piece, params.window
     letters = np.zeros((len(words), size + span), np.uint64)
     for row, word in zip(letters, words):
         row[:len(word)] = np.frombuffer(word.encode("utf-32-le", "surrogatepass"), "<u4")
-    out = np.zeros(len(words) * params.slots, np.float64)
+    places, weights = [np.empty(0, np.int64)], [np.empty(0)]
     base = (np.arange(len(words), dtype=np.uint64) * np.uint64(params.slots))[:, None]
     first = letters[:, :size]
     for offsets in combinations(range(1, span), params.length - 1):
@@ -97,10 +99,24 @@ def subsequence_features(words: list[str], params: ToxicParams) -> np.ndarray:
             other = letters[:, k:k + size]
             code, there = code * np.uint64(0x100000001B3) + other, there & (other > 0)
         slot = ((code * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)) % np.uint64(params.slots) + base
-        weight = params.decay ** (offsets[-1] + 1 - params.length)
-        out += np.bincount(slot[there].astype(np.int64), minlength=len(out)) * weight
-    out = out.reshape(len(words), params.slots).astype(np.float32)
-    return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-6)
+        places.append(slot[there].astype(np.int64))
+        weights.append(np.full(len(places[-1]), params.decay ** (offsets[-1] + 1 - params.length)))
+    place, weight = np.concatenate(places), np.concatenate(weights)
+    order = np.argsort(place, kind="stable")
+    place, weight = place[order], weight[order]
+    starts = np.flatnonzero(np.r_[True, place[1:] != place[:-1]]) if len(place) else np.empty(0, np.int64)
+    weight = np.add.reduceat(weight, starts) if len(place) else weight
+    row, slot = np.divmod(place[starts], params.slots)
+    length = np.sqrt(np.bincount(row, weight * weight, minlength=len(words)))
+    return row, slot, weight / np.maximum(length[row], 1e-6)
+
+
+def subsequence_features(words: list[str], params: ToxicParams) -> np.ndarray:
+    """The same as a dense matrix."""
+    out = np.zeros((len(words), params.slots), np.float32)
+    row, slot, weight = subsequences(words, params)
+    out[row, slot] = weight
+    return out
 
 
 @dataclass(frozen=True)
@@ -116,16 +132,39 @@ class ToxicModel:
         cut = [pieces(word, self.params.piece) for word in words]
         flat = [p for c in cut for p in c]
         found = np.empty(len(flat), np.float32)
-        for at in range(0, len(flat), 1024):
-            found[at:at + 1024] = subsequence_features(flat[at:at + 1024], self.params) @ self.direction + self.bias
+        for at in range(0, len(flat), 4096):
+            part = flat[at:at + 4096]
+            row, slot, weight = subsequences(part, self.params)
+            found[at:at + 4096] = np.bincount(row, weight * self.direction[slot], minlength=len(part)) + self.bias
         if len(flat) == len(words):
             return found
         return np.maximum.reduceat(found, np.cumsum([0] + [len(c) for c in cut[:-1]]))
 
+    def raw_margins(self, words: list[str]) -> np.ndarray:
+        """Margins of words as they stand in a text; one without a letter has the lowest."""
+        plain = [plain_word(word) for word in words]
+        margins = np.full(len(words), LOWEST, np.float32)
+        at = [k for k, word in enumerate(plain) if word]
+        if at:
+            margins[at] = self.margins([plain[k] for k in at])
+        return margins
+
     def scores(self, margins: np.ndarray) -> np.ndarray:
         return 1.0 / (1.0 + np.exp(-np.clip(self.slope * (margins - self.shift), -50, 50)))
 
 
+_memos: dict[bytes, Memo] = {}
+
+
+def shared_memo(model: ToxicModel) -> Memo:
+    """The margins of raw words under a model, one memo per Python worker, which serves all its tasks."""
+    key = model.direction.tobytes()
+    if key not in _memos:
+        _memos.clear()
+        _memos[key] = Memo(model.raw_margins, 500_000)
+    return _memos[key]
+
+
 def training_documents(docs: DataFrame, labels: DataFrame, learn: Column, params: ToxicParams) -> DataFrame:
     """text, toxic of at most about ``sample_documents`` documents of each label, drawn by a hash of the id."""
     known = labels.where(F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic")).where(learn)
@@ -134,7 +173,9 @@ def training_documents(docs: DataFrame, labels: DataFrame, learn: Column, params
     share = F.lit(0.0)
     for toxic, n in counts.items():
         share = F.when(F.col("toxic") == toxic, F.lit(min(1.0, params.sample_documents / n))).otherwise(share)
-    return docs.select("doc_id", "text").where("text IS NOT NULL").join(known.where(draw < share), "doc_id").select("text", "toxic")
+    # about sample_documents rows of each label, whatever the number of documents: a bounded side
+    chosen = F.broadcast(known.where(draw < share))
+    return docs.select("doc_id", "text").where("text IS NOT NULL").join(chosen, "doc_id").select("text", "toxic")
 
 
 def fit(witnesses: list[str], ordinary: list[str], landmarks: list[str], params: ToxicParams) -> ToxicModel:
@@ -227,14 +268,13 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, params: ToxicParams
 def score(docs: DataFrame, model: ToxicModel, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id and score of every document."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        memo = Memo(model.margins)
-        lowest = -1e3
+        memo = shared_memo(model)
         for batch in batches:
             for at in range(0, len(batch), 256):
                 part = batch.iloc[at:at + 256]
-                cut = [plain_words(t) if t else [] for t in part["body"]]
+                cut = [raw_words(t) if t else [] for t in part["body"]]
                 known = memo.holding(set().union(*cut)).__getitem__
-                margins = np.array([max(map(known, w), default=lowest) for w in cut])
+                margins = np.array([max(map(known, w), default=LOWEST) for w in cut])
                 yield pd.DataFrame({"doc_id": part["id"], "score": model.scores(margins) if model.slope else 0.0 * margins})
 
     source = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).cast("string").alias("body"))

@@ -54,6 +54,6 @@ def test_nothing_to_learn_from(spark):
 def test_label_of_a_copied_passage(spark):
     """A word that only belongs to one copied toxic passage is no witness."""
     body = " ".join(f"w{chr(97 + k // 26)}{chr(97 + k % 26)}" for k in range(60))
-    rows = [(k, f"some {body[k % 5:]} end") for k in range(40)] + [(100 + k, f"plain words number {k} stand here") for k in range(40)]
+    rows = [(k, f"{body}. some plain words number {k} stand here at the end") for k in range(40)] + [(100 + k, f"some plain words number {k} stand here at the end") for k in range(40)]
     labels = spark.createDataFrame([(r[0], int(r[0] < 100)) for r in rows], "doc_id long, toxic int")
     assert toxicity.train(documents(spark, rows), labels, F.lit(True)).slope == 0.0
