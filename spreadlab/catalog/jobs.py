@@ -14,7 +14,7 @@ from spreadlab.operators.reshape import long_to_wide
 from spreadlab.params import MonitorParams, PairParams
 from spreadlab.plans import feeds, history
 from spreadlab.plans.pair_zscores import Panel, pair_funnel, pair_zscores
-from spreadlab.plans.reconciliation import reconciliation
+from spreadlab.plans.reconciliation import orphan_report, reconciliation, table_report
 from spreadlab.plans.run_monitor import run_monitor
 from spreadlab.session import scratch_path
 
@@ -317,6 +317,51 @@ def _recon_tables(t):
     }
 
 
+_NUMBERS = ("pos_id", "cusip", "value", "quantity")
+
+
+def _profile_sql():
+    n = "(SELECT count(*) FROM p)"
+    rows = [f"SELECT '{c}' AS column_name, 'total_rows' AS metric, CAST({n} AS DOUBLE) AS value" for c in (*_NUMBERS, "pos_Date", "status", "sec_type")]
+    rows += [f"SELECT '{c}', 'null_count', CAST(count(*) FILTER ({c} IS NULL) AS DOUBLE) FROM p" for c in (*_NUMBERS, "pos_Date", "status", "sec_type")]
+    for c in _NUMBERS:
+        rows += [f"SELECT '{c}', '{m}', {e} FROM p" for m, e in {
+            "min": f"CAST(min({c}) AS DOUBLE)", "max": f"CAST(max({c}) AS DOUBLE)", "mean": f"round(avg({c}), 3)", "std": f"round(stddev_samp({c}), 3)",
+            "q25": f"round(quantile_cont(CAST({c} AS DOUBLE), 0.25), 3)", "q50": f"round(quantile_cont(CAST({c} AS DOUBLE), 0.5), 3)",
+            "q75": f"round(quantile_cont(CAST({c} AS DOUBLE), 0.75), 3)"}.items()]
+    day = "CAST(date_diff('day', DATE '1970-01-01', {}) AS DOUBLE)"
+    rows += [f"SELECT 'pos_Date', 'start_date', {day.format('min(pos_Date)')} FROM p", f"SELECT 'pos_Date', 'end_date', {day.format('max(pos_Date)')} FROM p",
+             "SELECT 'pos_Date', 'total_dates', CAST(count(pos_Date) AS DOUBLE) FROM p", "SELECT 'pos_Date', 'unique_dates', CAST(count(DISTINCT pos_Date) AS DOUBLE) FROM p",
+             "SELECT NULL, 'duplicate_rows', CAST((SELECT count(*) FROM p) - (SELECT count(*) FROM (SELECT DISTINCT * FROM p)) AS DOUBLE)"]
+    return ("WITH p AS (SELECT pos_id, cusip, value, quantity, pos_date AS pos_Date, status, sec_type FROM positions) "
+            "SELECT 'portfolio' AS table_name, * FROM (" + " UNION ALL ".join(rows) + ")")
+
+
+@query("job_07_table_report", "positions", _profile_sql())
+def _(t):
+    rows = t.positions.select(*_NUMBERS, F.col("pos_date").alias("pos_Date"), "status", "sec_type")
+    report = table_report(rows, "portfolio")
+    rough = F.col("metric").isin("mean", "std", "q25", "q50", "q75")
+    return report.withColumn("value", F.when(rough, F.round("value", 3)).otherwise(F.col("value")))
+
+
+@query("job_07_orphan_report", "positions quotes universe", """
+    WITH u AS (SELECT DISTINCT CAST(cusip AS VARCHAR) AS c FROM universe),
+    now AS (SELECT DISTINCT CAST(cusip AS VARCHAR) AS c FROM universe WHERE uni_date = (SELECT max(uni_date) FROM universe)),
+    ids AS (SELECT 'portfolio' AS t, CAST(cusip AS VARCHAR) AS c, sec_type AS s, pos_date = (SELECT max(pos_date) FROM positions) AS cur FROM positions
+            UNION ALL SELECT 'runs', CAST(cusip AS VARCHAR), security, quote_date = (SELECT max(quote_date) FROM quotes) FROM quotes),
+    found AS (
+      SELECT 'all_dates' AS section, t AS table_name, c AS cusip, min(s) AS security_name, count(*) AS instances FROM ids WHERE c NOT IN (SELECT c FROM u) GROUP BY t, c
+      UNION ALL SELECT 'latest_date', t, c, min(s), count(*) FROM ids WHERE cur AND c NOT IN (SELECT c FROM now) GROUP BY t, c)
+    SELECT section, table_name, cusip, security_name, instances FROM found
+    UNION ALL SELECT 'all_dates', '(total)', CAST(count(DISTINCT cusip) AS VARCHAR), (SELECT CAST(count(*) AS VARCHAR) FROM u), CAST(coalesce(sum(instances), 0) AS BIGINT)
+      FROM found WHERE section = 'all_dates'
+    UNION ALL SELECT 'latest_date', '(total)', CAST(count(DISTINCT cusip) AS VARCHAR), (SELECT CAST(count(*) AS VARCHAR) FROM now), CAST(coalesce(sum(instances), 0) AS BIGINT)
+      FROM found WHERE section = 'latest_date'""")
+def _(t):
+    return orphan_report(_recon_tables(t), t.universe, "uni_date", "cusip")
+
+
 @query("job_07_reconciliation", "positions quotes universe", """
     WITH pf AS (SELECT pos_date, cusip, sec_type FROM positions), rn AS (SELECT quote_date, cusip, security, bid_spread FROM quotes),
     ids AS (SELECT 'portfolio' AS t, CAST(cusip AS VARCHAR) AS c, pos_date = (SELECT max(pos_date) FROM pf) AS cur FROM pf

@@ -201,3 +201,16 @@ def test_bands_settle_like_the_greedy_rule(spark):
     got = assign_in_bands(frame(left), frame(right), params).collect()
     assert len(got) == len({r.source for r in got}) == len({r.target for r in got})
     assert {r.score for r in got} == want
+
+
+def test_summary_of_the_loads(spark):
+    flagged = spark.createDataFrame([("matched", dt.date(2024, 1, 1)), ("unmatched", dt.date(2024, 1, 2))],
+                                    "universe_match_status string, Date date")
+    unmatched = spark.createDataFrame([("portfolio",)], "source_table string")
+    log = spark.createDataFrame([("portfolio", "passed", dt.datetime(2024, 1, 1)), ("portfolio", "failed", dt.datetime(2024, 1, 1))],
+                                "table_name string, check_result string, checked_at timestamp")
+    rows = history.load_summary(history.match_summary({"portfolio": (flagged, "Date")}), history.quality_dashboard(log),
+                                history.row_counts({"portfolio": flagged, "runs": unmatched}), unmatched).collect()
+    found = {(r.section, r.table_name, r.metric): r.value for r in rows}
+    assert found["match", "portfolio", "match_rate_percent"] == 50 and found["rows", "runs", "n_rows"] == 1
+    assert found["unmatched", "portfolio", "unmatched_count"] == 1 and found["quality", "portfolio", "checks_failed"] == 1
