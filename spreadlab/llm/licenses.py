@@ -139,7 +139,7 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
 
 def _sql() -> str:
     form = "lower(coalesce(text, ''))"
-    form = f"regexp_replace({form}, '{COPYRIGHT[4:]}', '', 'gm')"
+    form = f"regexp_replace({form}, '{COPYRIGHT}', '', 'g')"
     form = f"regexp_replace({form}, '[^a-z0-9\\n]+', ' ', 'g')"
     for other, one in SPELLINGS:
         form = f"replace({form}, '{other}', '{one}')"
