@@ -19,10 +19,11 @@ an empty table gives no rows.
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
+from itertools import compress
 
 import numpy as np
 import pandas as pd
@@ -52,12 +53,12 @@ class TokenIds:
 
     Such a text's ids are those of its white-space separated chunks in turn, so
     chunks met before come from a bounded memo; new ones go to the tokenizer
-    together.  A plain word, with a full stop or comma or without, is one word
-    of the tokenizer and maybe one mark, so plain words are encoded as one text
-    and told apart by the vocabulary's end-of-word sign.
+    together.  A plain word with or without signs behind it is one word of the
+    tokenizer and maybe one run of signs, so plain words are encoded as one
+    text and told apart by the vocabulary's end-of-word sign.
     """
 
-    PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)")
+    SIGNS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum())
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
@@ -66,9 +67,9 @@ class TokenIds:
         vocab = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocab.values()) + 1, np.bool_)
         self.ends[[number for token, number in vocab.items() if token.endswith("</w>")]] = True
-        self.marks = {mark: self.each([mark])[0] if mark else b"" for mark in ("", ".", ",")}
-        self.words = Memo(self.plain)
-        self.chunks = Memo(self.encoded)
+        self.marks = Memo(self.each, 10_000)
+        self.words = Memo(self.plain, 400_000)
+        self.chunks = Memo(self.encoded, 600_000)
 
     def each(self, chunks: list[str]) -> list[bytes]:
         return [np.array(coded.ids, "<u4").tobytes()
@@ -86,15 +87,31 @@ class TokenIds:
 
     def encoded(self, chunks: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each chunk."""
-        found = [self.PLAIN.fullmatch(chunk) for chunk in chunks]
-        words = self.words.holding({m[1] for m in found if m})
-        odd = iter(self.each([chunk for chunk, m in zip(chunks, found) if not m]))
-        return [words[m[1]] + self.marks[m[2]] if m else next(odd) for m in found]
+        bare = [chunk.rstrip(self.SIGNS) for chunk in chunks]
+        # letters up to U+00FF are words of their own to the tokenizer, whatever their case
+        plain = [word.isalpha() and max(word) < "\u0100" for word in bare]
+        words = self.words.holding(set(compress(bare, plain)))
+        ends = [chunk[len(word):] for chunk, word in zip(chunks, bare)]
+        marks = self.marks.holding(set(compress(ends, plain)))
+        odd = iter(self.each([chunk for chunk, is_plain in zip(chunks, plain) if not is_plain]))
+        return [words[word] + marks[end] if is_plain else next(odd) for word, end, is_plain in zip(bare, ends, plain)]
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        split = [text.replace("\n", " ").split(" ") for text in texts]
-        take = self.chunks.holding(set().union(*split)).__getitem__
-        return [b"".join(map(take, chunks)) for chunks in split]
+        # lower case first, as the tokenizer does: fewer different chunks (a final sigma alone depends on its place)
+        split = [(text if "Σ" in text else text.lower()).replace("\n", " ").split(" ") for text in texts]
+        known = [list(map(self.chunks.young.get, chunks)) for chunks in split]
+        new = {chunk for chunks, ids in zip(split, known) if None in ids for chunk, x in zip(chunks, ids) if x is None}
+        if new:
+            found = self.chunks.holding(new)
+            known = [[found[chunk] if x is None else x for chunk, x in zip(chunks, ids)] if None in ids else ids
+                     for chunks, ids in zip(split, known)]
+        return list(map(b"".join, known))
+
+
+@lru_cache(maxsize=1)
+def shared_ids(path: str) -> TokenIds:
+    """One per Python worker, whose memo serves all its tasks."""
+    return TokenIds(path)
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, doc_id: str = "doc_id", text: str = "text",
@@ -105,7 +122,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, doc_id: str = "doc_id", text: s
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        ids = TokenIds(tokenizer_path)
+        ids = shared_ids(tokenizer_path)
         for batch in batches:
             for at in range(0, len(batch), 256):
                 part, rows = batch.iloc[at:at + 256], []
