@@ -18,13 +18,15 @@ most lead(n) - 1 = n - need(n).
     (the T - 1 longest of them are not merged but probed by binary search,
     which is the DivideSkip rule).  Documents with T < 1 are *heavy*.
 4.  A heavy document's partner shares a short list (found with T = 1) or at
-    least window - lead + 1 long lists.  Documents with so many long lists
-    are few: copies of large families.  There the heavy document's first
-    lead - (short lists) long lists are probed among these documents.
-5.  Candidates are verified on the whole sets.  The likeliest candidates of
-    each document go first; afterwards only candidates between different
-    components are looked at, in particular in the long lists.  So a family
-    of g copies costs about g verifications and no link between components is lost.
+    least window - lead + 1 long lists.  Documents with so many long lists are
+    *rich*: copies of large families.  Rich documents that share one of their
+    first lead long lists belong to one family; a family is cut into blocks, and in every pair of
+    blocks each document's T-occurrence search runs over the lists of the
+    block, all lists of its whole set now, which gives the exact overlap.  Of
+    the links found a pair of blocks returns a spanning forest.
+5.  Candidates of step 3 are verified on the whole sets.  The first candidates
+    of each document go first; afterwards only candidates between different
+    components are looked at.
 
 Edge cases: a text with fewer words than a shingle has its whole sequence as
 one shingle; NULL, empty and blank texts have no shingle, link with nothing and
@@ -43,7 +45,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from spreadlab.llm.text import WordHashes, combined, join_small, words
+from spreadlab.llm.text import WordHashes, arrow_batches, combined, join_small, words
 from spreadlab.session import scratch_path, staged
 
 HASH_BITS = 48  # of a stored shingle; the set's size and its class come from all 64 bits
@@ -55,7 +57,9 @@ class JoinParams:
     percent: int = 80
     long_list: int = 64   # documents on a list; longer ones are long
     full_window: int = 160  # sets up to this size are window as a whole
-    likeliest: int = 2    # candidates of a document that are verified first
+    first_pairs: int = 2  # candidates of a document that are verified first
+    block: int = 512      # rich documents of a block
+    batch_rows: int = 1000  # rows a Python task holds at a time
 
     def need(self, n: Column) -> Column:
         return F.floor((n * self.percent + 99) / 100)
@@ -93,7 +97,7 @@ def shingles(tokens: list[bytes], size: int, hashed: WordHashes) -> np.ndarray:
 def shingle_sets(docs: DataFrame, doc_id: str, text: str, params: JoinParams) -> DataFrame:
     """doc_id, n, k1, k2 (hashes of the whole set) and grams, the sorted shortened hashes."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashed = WordHashes()
+        hashed = WordHashes(100_000)  # small, as this job needs its memory for sets
         for batch in batches:
             for at in range(0, len(batch), 512):
                 part, rows = batch.iloc[at:at + 512], []
@@ -108,8 +112,8 @@ def shingle_sets(docs: DataFrame, doc_id: str, text: str, params: JoinParams) ->
     return source.mapInPandas(run, "doc_id long, n long, k1 long, k2 long, grams array<long>")
 
 
-def occurring(lists: list[np.ndarray], least: int) -> np.ndarray:
-    """The documents on at least ``least`` of the sorted lists (DivideSkip).
+def occurring(lists: list[np.ndarray], least: int) -> tuple[np.ndarray, np.ndarray]:
+    """The documents on at least ``least`` of the sorted lists, and on how many (DivideSkip).
 
     The ``least - 1`` longest lists, but at most half of all, are set aside: a
     document on ``least`` lists is on at least one of the others.  These are merged
@@ -124,10 +128,63 @@ def occurring(lists: list[np.ndarray], least: int) -> np.ndarray:
         alive = counts + left >= least
         docs, counts = docs[alive], counts[alive]
         if not len(docs):
-            return docs
+            return docs, counts
         at = np.searchsorted(long, docs)
         counts = counts + (long[np.minimum(at, len(long) - 1)] == docs)
-    return docs[counts >= least]
+    return docs[counts >= least], counts[counts >= least]
+
+
+def block_links(rows: pd.DataFrame, one: int, two: int, params: JoinParams) -> list[tuple[int, int]]:
+    """A spanning forest of the links between the documents of two blocks (or within one, when they are the same).
+
+    ``rows`` has c, own (the block) and grams.
+    """
+    rows = rows.sort_values("c")
+    ids, own, sets = rows["c"].to_numpy(), rows["own"].to_numpy(), [np.asarray(g) for g in rows["grams"]]
+    sizes = np.array([len(g) for g in sets])
+    indexed = np.flatnonzero(own == two)
+    grams = np.concatenate([sets[k] for k in indexed] or [np.empty(0, np.int64)])
+    order = np.argsort(grams, kind="stable")
+    grams, owners = grams[order], np.repeat(indexed, sizes[indexed])[order]
+    above = list(range(len(ids)))  # a forest over the documents seen so far
+
+    def root(k: int) -> int:
+        while above[k] != k:
+            above[k] = above[above[k]]
+            k = above[k]
+        return k
+
+    links = []
+    for k in np.flatnonzero(own == one):
+        starts, ends = np.searchsorted(grams, sets[k], "left"), np.searchsorted(grams, sets[k], "right")
+        lists = [owners[i:j] for i, j in zip(starts, ends) if j > i]
+        least = -(-params.percent * sizes[k] // 100)
+        if len(lists) < least:
+            continue
+        found, shared = occurring(lists, least)
+        close = (found != k) & (100 * shared >= params.percent * (sizes[k] + sizes[found] - shared))
+        for other in found[close]:
+            a, b = root(k), root(other)
+            if a != b:
+                above[max(a, b)] = min(a, b)
+                links.append((int(min(ids[k], ids[other])), int(max(ids[k], ids[other]))))
+    return links
+
+
+def rich_links(posts: DataFrame, sets: DataFrame, params: JoinParams) -> DataFrame:
+    """(a, b): links of the rich documents (c) on their long lists (gram), family by family, in blocks."""
+    hubs = posts.groupBy("gram").agg(F.min("c").alias("b"))
+    families = components(posts.join(hubs, "gram").where("c <> b").select(F.col("c").alias("a"), "b").distinct())
+    blocks = families.groupBy("root").agg(F.ceil(F.count("*") / params.block).cast("int").alias("blocks"))
+    own = F.pmod(F.xxhash64("c"), F.col("blocks")).cast("int")
+    placed = (families.join(blocks, "root").withColumn("own", own)
+              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+              .select("root", F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two"), "own", "c"))
+
+    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame(block_links(rows, key[1], key[2], params), columns=["a", "b"])
+
+    return placed.join(sets, "c").groupBy("root", "one", "two").applyInPandas(run, "a long, b long")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -178,11 +235,10 @@ def link_classes(sets: DataFrame, params: JoinParams) -> DataFrame | None:
     long = staged(lists.where(F.size("docs") > params.long_list).select("gram"), "long")
     long_count = long.count()
     on_long = join_small(posts, long, ["gram"], long_count, "inner")
+    # a document's long lists, at most its window
+    hot = on_long.groupBy("c").agg(F.sort_array(F.collect_list("gram")).alias("hot"))
     counted = sets.select("c", "n", F.least(params.window(n), F.size("grams")).alias("w"), params.lead(n).alias("lead"))
-    if long_count:
-        counted = counted.join(on_long.groupBy("c").agg(F.count("*").alias("h")), "c", "left").na.fill(0, ["h"])
-    else:
-        counted = counted.withColumn("h", F.lit(0).cast("long"))
+    counted = counted.join(hot, "c", "left").withColumn("h", F.coalesce(F.size("hot"), F.lit(0)))
     counted = staged(counted.withColumn("t", F.col("w") - F.col("lead") + 1 - F.col("h")), "counted")
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -191,7 +247,7 @@ def link_classes(sets: DataFrame, params: JoinParams) -> DataFrame | None:
             for c, least, docs in zip(batch["c"], batch["t"], batch["docs"]):
                 least = max(1, int(least))
                 if len(docs) >= least:
-                    found = occurring([np.asarray(d) for d in docs], least)
+                    found, _ = occurring([np.asarray(d) for d in docs], least)
                     rows.append(pd.DataFrame({"c": c, "d": found[found != c]}))
             yield pd.concat(rows) if rows else pd.DataFrame({"c": [], "d": []}).astype("int64")
 
@@ -206,56 +262,30 @@ def link_classes(sets: DataFrame, params: JoinParams) -> DataFrame | None:
         .select("a", "b"), "candidates")
     # any choice of first pairs is right, as the rest follows; the least ids make one document the hub of a family
     first = (candidates.withColumn("k", F.row_number().over(Window.partitionBy("b").orderBy("a")))
-             .where(F.col("k") <= params.likeliest).select("a", "b"))
-
-    rich = probes = None
-    heavy = counted.where("t < 1 AND h > 0")
-    if long_count and heavy.limit(1).count():
-        rich_docs = counted.where(F.col("h") >= params.at_least_long(n)).select("c", "n")
-        rich = staged(on_long.join(rich_docs, "c"), "rich")
-        rank = F.row_number().over(Window.partitionBy("c").orderBy("gram"))
-        probes = staged(on_long.join(heavy.select("c", "n", "lead", (F.col("w") - F.col("h")).alias("q")), "c")
-                        .withColumn("k", rank).where(F.col("k") <= F.col("lead") - F.col("q")).select("c", "gram", "n"), "probes")
-        hubs = rich.groupBy("gram").agg(F.min("c").alias("hub"), F.max("c").alias("other"))
-        tried = (probes.join(hubs, "gram").select("c", F.explode(F.array("hub", "other")).alias("hub"))
-                 .where("c <> hub").groupBy("c", "hub").agg(F.count("*").alias("s"))
-                 .withColumn("k", F.row_number().over(Window.partitionBy("c").orderBy(F.desc("s"), "hub")))
-                 .where(F.col("k") <= 2 * params.likeliest).select(*_ordered("c", "hub")))
-        first = first.union(tried).distinct()
-
+             .where(F.col("k") <= params.first_pairs).select("a", "b"))
+
+    rich = None
+    if long_count and counted.where("t < 1 AND h > 0").limit(1).count():
+        # below both windows' ends a pair misses at most lead - 1 of either side's long lists,
+        # so of those it shares one is among the first lead of both
+        rich = staged(counted.where(F.col("h") >= params.at_least_long(n)).select(
+            "c", F.explode(F.slice("hot", F.lit(1), F.col("lead").cast("int"))).alias("gram")), "rich")
     ends = candidates.select(F.explode(F.array("a", "b")).alias("c"))
-    if rich is not None:
-        ends = ends.union(rich.select("c"))
-    ends = staged(ends.distinct(), "ends")
+    ends = staged((ends if rich is None else ends.union(rich.select("c"))).distinct(), "ends")
     ends_count = ends.count()
     if not ends_count:
         return None
     whole = staged(join_small(sets.select("c", "grams"), ends, ["c"], ends_count, "inner"), "whole")
-    links = staged(verified(first, whole, params), "links")
-    labels = components(links)
-
-    def rooted(pairs: DataFrame) -> DataFrame:
-        """Only the pairs between different components."""
-        for end in ("a", "b"):
-            pairs = (pairs.join(labels.select(F.col("c").alias(end), F.col("root").alias(f"r{end}")), end, "left")
-                     .withColumn(f"r{end}", F.coalesce(f"r{end}", end)))
-        return pairs.where("ra <> rb").select("a", "b")
-
-    rest = rooted(candidates)
+    links = verified(first, whole, params)
     if rich is not None:
-        def rooted_posts(posts: DataFrame) -> DataFrame:
-            return posts.join(labels, "c", "left").withColumn("root", F.coalesce("root", "c"))
-
-        # a list whose documents are all in one component has nothing left to find
-        known = rooted_posts(rich)
-        mixed = (known.groupBy("gram").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-                 .where("low <> high").select("gram"))
-        left = rooted_posts(probes).join(mixed, "gram").select("gram", "c", "root", "n")
-        right = known.join(mixed, "gram").select("gram", F.col("c").alias("d"), F.col("root").alias("rd"), F.col("n").alias("m"))
-        across = (left.join(right, "gram").where((F.col("root") != F.col("rd")) & similar)
-                  .select(*_ordered("c", "d")).distinct())
-        rest = rest.union(across).distinct()
-    more = staged(verified(rest, whole, params), "links")
+        links = links.union(rich_links(rich, whole, params))
+    links = staged(links, "links")
+    labels = components(links)
+    rest = candidates
+    for end in ("a", "b"):  # only the pairs between different components
+        rest = (rest.join(labels.select(F.col("c").alias(end), F.col("root").alias(f"r{end}")), end, "left")
+                .withColumn(f"r{end}", F.coalesce(f"r{end}", end)))
+    more = staged(verified(rest.where("ra <> rb"), whole, params), "links")
     if not more.limit(1).count():
         return labels
     return components(links.union(more))
@@ -265,6 +295,16 @@ def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
                       params: JoinParams = JoinParams()) -> DataFrame:
     """doc_id, n_shingles, component_id of every row."""
     spark = docs.sparkSession
+    with arrow_batches(spark, params.batch_rows):
+        rows, classes = _classes(docs, doc_id, text, params)
+    keys = ["k1", "k2", "n"]
+    return rows.join(classes, keys, "left").select(
+        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def _classes(docs: DataFrame, doc_id: str, text: str, params: JoinParams) -> tuple[DataFrame, DataFrame]:
+    """The rows with their class keys, and the component of every class."""
+    spark = docs.sparkSession
     path = scratch_path(spark, "sets")
     sets = shingle_sets(docs, doc_id, text, params).withColumn("uid", F.monotonically_increasing_id())
     sets.write.option("compression", "zstd").parquet(path)
@@ -276,14 +316,11 @@ def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     copies = staged(rows.join(classes.select(*keys, "c"), keys).where("uid <> c").select("uid"), "copies")
     single = join_small(sets.where("n > 0"), copies, ["uid"], copies.count(), "left_anti").withColumnRenamed("uid", "c")
     labels = link_classes(single, params)
-    if labels is not None:
-        rooted = classes.join(labels, "c", "left").withColumn("root", F.coalesce("root", "c"))
-        lowest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-        classes = rooted.join(lowest, "root").select(*keys, "component_id")
-    else:
-        classes = classes.select(*keys, F.col("least").alias("component_id"))
-    return rows.join(classes, keys, "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    if labels is None:
+        return rows, classes.select(*keys, F.col("least").alias("component_id"))
+    rooted = classes.join(labels, "c", "left").withColumn("root", F.coalesce("root", "c"))
+    lowest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    return rows, rooted.join(lowest, "root").select(*keys, "component_id")
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", params: JoinParams = JoinParams()) -> DataFrame:

@@ -55,8 +55,8 @@ def words(text: str | None) -> list[bytes]:
 class WordHashes:
     """64-bit hashes of words with a bounded memo."""
 
-    def __init__(self) -> None:
-        self.memo = Memo(lambda new: map(xxhash.xxh64_intdigest, new))
+    def __init__(self, entries: int = MEMO_ENTRIES) -> None:
+        self.memo = Memo(lambda new: map(xxhash.xxh64_intdigest, new), entries)
 
     def __call__(self, tokens: list[bytes]) -> np.ndarray:
         return np.fromiter(map(self.memo.holding(set(tokens)).__getitem__, tokens), np.uint64, len(tokens))
