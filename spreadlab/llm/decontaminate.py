@@ -3,10 +3,10 @@
 A seed is a fixed mask over consecutive words; the words at its open positions
 are hashed, the others are ignored.  Hashes of documents and of benchmark items
 are joined, and each hit says at which shift an item may lie over a document.
-Around the hit the shifted words are compared one by one, substitutions
-allowed, and the best scoring stretch is kept.  A document is contaminated by
+Around the hit the shifted words are compared one by one, and the longest
+stretch in which a share of ``identity`` agrees is kept.  A document is contaminated by
 an item when that stretch has at least ``min_words`` words (or the whole item,
-if shorter) of which ``identity`` agree.
+if shorter).
 
 Documents first pass a bit table (a Bloom filter of bounded size) built from
 the benchmark's seed hashes, in the tasks; it lets all true hits and few others
@@ -15,8 +15,10 @@ words and those around it once; the regions' seeds are joined with the
 benchmark's, and every (region, item, shift) is verified once.
 
 Words are lower-cased runs of letters and digits (and of everything beyond
-ASCII), so ASCII punctuation and case do not matter.  Edge cases: NULL and empty texts, and texts or items shorter than
-``shortest`` words, match nothing; repeated documents are reported each, repeated items too;
+ASCII), so ASCII punctuation and case do not matter.
+
+Edge cases: NULL and empty texts, and texts or items shorter than
+``shortest`` words, match nothing; rows with one id count as one document or item;
 without items nothing is reported.
 """
 
@@ -133,15 +135,26 @@ def regions(docs: DataFrame, doc_id: str, text: str, table: bytes, bits: int, pa
     return source.mapInPandas(scan, "doc_id long, d_words array<long>, seeds array<long>, places array<int>")
 
 
-def best_stretch(doc: np.ndarray, item: np.ndarray, shift: int) -> tuple[int, int]:
-    """Length and matches of the best stretch (match 1, other -2) with item word k over document word k + shift."""
+def best_stretch(doc: np.ndarray, item: np.ndarray, shift: int, identity: float) -> tuple[int, int]:
+    """Length and matches of the longest stretch with that share of equal words, item word k over document word k + shift.
+
+    Words count 1 - identity when equal and -identity when not, so a stretch
+    qualifies when its sum is not negative; words that differ are cut off its ends.
+    """
     low, high = max(0, -shift), min(len(item), len(doc) - shift)
     same = doc[low + shift:high + shift] == item[low:high]
-    score = np.concatenate(([0], np.cumsum(np.where(same, 1, -2))))
-    lowest = np.minimum.accumulate(score)
-    end = int(np.argmax(score - lowest))
-    start = int(np.flatnonzero(score[:end + 1] == lowest[end])[-1])
-    return end - start, int(same[start:end].sum())
+    sums = np.concatenate(([0.0], np.cumsum(same - identity)))
+    least, most = np.minimum.accumulate(sums).tolist(), (np.maximum.accumulate(sums[::-1])[::-1] + 1e-9).tolist()
+    start = end = i = j = 0
+    while j < len(sums):
+        if least[i] <= most[j]:
+            if j - i > end - start:
+                start, end = i, j
+            j += 1
+        else:
+            i += 1
+    equal = np.flatnonzero(same[start:end])
+    return (int(equal[-1] - equal[0] + 1), len(equal)) if len(equal) else (0, 0)
 
 
 def contaminated(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_id: str = "item_id",
@@ -161,7 +174,7 @@ def contaminated(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", item
             rows = []
             for doc, item, d_words, i_words, shift in zip(
                     batch["doc_id"], batch["item_id"], batch["d_words"], batch["i_words"], batch["shift"]):
-                length, matches = best_stretch(np.asarray(d_words), np.asarray(i_words), shift)
+                length, matches = best_stretch(np.asarray(d_words), np.asarray(i_words), shift, params.identity)
                 if length >= min(params.min_words, len(i_words)) and matches >= params.identity * length:
                     rows.append((doc, item, length, matches))
             yield pd.DataFrame(rows, columns=["doc_id", "item_id", "words", "matches"])
