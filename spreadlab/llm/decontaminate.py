@@ -33,7 +33,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spreadlab.llm.text import WordHashes, combined
+from spreadlab.llm.text import WordHashes, combined, shared
 from spreadlab.session import staged
 
 TOKEN = re.compile(rb"[a-z0-9\x80-\xff]+")
@@ -107,7 +107,7 @@ def passing(seeds: np.ndarray, table: np.ndarray, bits: int) -> np.ndarray:
 def regions(docs: DataFrame, doc_id: str, text: str, table: bytes, bits: int, params: SeedParams) -> DataFrame:
     """doc_id, d_words, seeds, places: the stretches of documents that hold passing seeds."""
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashed, packed = WordHashes(), np.frombuffer(table, np.uint8)
+        hashed, packed = shared("hashes", WordHashes), np.frombuffer(table, np.uint8)
         for batch in batches:
             rows = []
             for doc, body in zip(batch["id"], batch["body"]):

@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spreadlab.llm.text import frames
+from spreadlab.llm.text import frames, shared
 
 UNKNOWN = "und"
 
@@ -137,6 +137,7 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields)
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        shared("language", dict)  # keeps nothing, but lets other operators' memos go
         for part in frames(batches, model.params.rows_per_block):
             langs, scores = predict([t if isinstance(t, str) else None for t in part["text"]], model)
             yield part.assign(lang_pred=langs, score=scores)

@@ -45,7 +45,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from spreadlab.llm.text import WordHashes, arrow_batches, combined, join_small, words
+from spreadlab.llm.text import WordHashes, arrow_batches, combined, join_small, shared, words
 from spreadlab.session import scratch_path, staged
 
 HASH_BITS = 48  # of a stored shingle; the set's size and its class come from all 64 bits
@@ -97,7 +97,7 @@ def shingles(tokens: list[bytes], size: int, hashed: WordHashes) -> np.ndarray:
 def shingle_sets(docs: DataFrame, doc_id: str, text: str, params: JoinParams) -> DataFrame:
     """doc_id, n, k1, k2 (hashes of the whole set) and grams, the sorted shortened hashes."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashed = WordHashes(100_000)  # small, as this job needs its memory for sets
+        hashed = shared("few hashes", lambda: WordHashes(100_000))  # as this job needs its memory for sets
         for batch in batches:
             for at in range(0, len(batch), 512):
                 part, rows = batch.iloc[at:at + 512], []

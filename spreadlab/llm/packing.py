@@ -22,7 +22,6 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 from itertools import compress
 
 import numpy as np
@@ -30,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from spreadlab.llm.text import Memo
+from spreadlab.llm.text import Memo, shared
 from spreadlab.session import staged
 
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -108,10 +107,9 @@ class TokenIds:
         return list(map(b"".join, known))
 
 
-@lru_cache(maxsize=1)
 def shared_ids(path: str) -> TokenIds:
     """One per Python worker, whose memo serves all its tasks."""
-    return TokenIds(path)
+    return shared(("ids", path), lambda: TokenIds(path))
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, doc_id: str = "doc_id", text: str = "text",

@@ -52,6 +52,21 @@ def words(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").lower().split() if text else []
 
 
+_slot: dict = {}
+
+
+def shared(key: object, build: Callable[[], object]):
+    """An object of this Python worker that serves all tasks of an operator.
+
+    A worker holds one: what another operator left behind is let go first, so
+    memos of several operators never add up.
+    """
+    if key not in _slot:
+        _slot.clear()
+        _slot[key] = build()
+    return _slot[key]
+
+
 class WordHashes:
     """64-bit hashes of words with a bounded memo."""
 

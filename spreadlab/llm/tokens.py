@@ -26,14 +26,13 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
-from functools import lru_cache
 
 import pandas as pd
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spreadlab.llm.text import MEMO_ENTRIES, Memo
+from spreadlab.llm.text import MEMO_ENTRIES, Memo, shared
 
 
 NO_TOKEN, PRODUCED, NOT_TRIED = range(3)
@@ -160,10 +159,9 @@ class PrefixCounter:
         return total
 
 
-@lru_cache(maxsize=2)
 def shared_counter(path: str, pattern: str) -> PrefixCounter:
     """One counter per Python worker, whose memo serves all its tasks."""
-    return PrefixCounter(path, pattern)
+    return shared(("counter", path, pattern), lambda: PrefixCounter(path, pattern))
 
 
 def count_tokens(docs: DataFrame, path: str, pattern: str, budget: int = 512, doc_id: str = "doc_id",

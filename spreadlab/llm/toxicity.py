@@ -34,7 +34,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spreadlab.llm.text import Memo
+from spreadlab.llm.text import Memo, shared
 from spreadlab.session import staged
 
 SENTENCE = re.compile(r"(?<=[.!?])\s+|\n")
@@ -153,16 +153,9 @@ class ToxicModel:
         return 1.0 / (1.0 + np.exp(-np.clip(self.slope * (margins - self.shift), -50, 50)))
 
 
-_memos: dict[bytes, Memo] = {}
-
-
 def shared_memo(model: ToxicModel) -> Memo:
     """The margins of raw words under a model, one memo per Python worker, which serves all its tasks."""
-    key = model.direction.tobytes()
-    if key not in _memos:
-        _memos.clear()
-        _memos[key] = Memo(model.raw_margins, 500_000)
-    return _memos[key]
+    return shared(("margins", model.direction.tobytes(), model.bias), lambda: Memo(model.raw_margins, 500_000))
 
 
 def training_documents(docs: DataFrame, labels: DataFrame, learn: Column, params: ToxicParams) -> DataFrame:
