@@ -27,8 +27,11 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without their site's boilerplate lines; a document left without text goes."""
-    cleaned = lines.drop_boilerplate(docs)
+    """Texts without their site's boilerplate lines; a document left without text goes.
+
+    Copies of a text count as one page: the near-duplicate stage needs one of them whole.
+    """
+    cleaned = lines.drop_boilerplate(docs, params=lines.LineParams(copies_vote=False))
     kept = cleaned.where((F.col("lines_dropped") == 0) | (F.trim("text") != ""))
     counted = F.when(F.col("lines_dropped") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
     return kept.withColumn("n_chars", counted).select(*docs.columns)

@@ -10,7 +10,8 @@ document id where that row meets the texts, because one host may hold a third of
 Edge cases: NULL text and NULL host stay as they are (a NULL host is a host of
 its own); lines are cut at line feeds only; empty lines are never dropped; a
 text whose lines all go becomes the empty text.  Repeated rows count as pages
-each.
+each, unless ``copies_vote`` is off: then all copies of a text on a host are one
+page, so that a page is never taken for boilerplate because it was copied.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ class LineParams:
     ratio: float = 0.05
     min_pages: int = 5
     salts: int = 32
+    copies_vote: bool = True  # each copy of a text counts as a page of its own
 
 
 def _keys(lines: Column) -> Column:
@@ -34,16 +36,30 @@ def _keys(lines: Column) -> Column:
                                                     F.xxhash64(F.lit("second"), line).alias("b")))
 
 
+def _once(text: str) -> list[Column]:
+    """Key of a page among the copies of its text on a host; NULL for pages without text."""
+    return [F.when(F.col(text).isNotNull(), F.xxhash64(text)).alias("t_a"),
+            F.when(F.col(text).isNotNull(), F.xxhash64(F.lit("second"), text)).alias("t_b")]
+
+
 def boilerplate_lines(pages: DataFrame, host: str, text: str, params: LineParams = LineParams()) -> DataFrame:
     """host, a, b (the line's key), pages, host_pages: the lines to drop."""
     site = F.col(host).cast("string").alias("host")
-    per_page = pages.where(F.col(text).isNotNull()).select(site, F.split(text, "\n", -1).alias("lines"))
+    keys = F.array_distinct(_keys(F.filter(F.split(text, "\n", -1), lambda x: x != ""))).alias("keys")
+    per_page = pages.where(F.col(text).isNotNull())
+    if params.copies_vote:
+        per_page, voters = per_page.select(site, keys), pages.select(site)
+    else:
+        # copies go within a task first, so a large group costs one row per task
+        once = _once(text)
+        per_page = per_page.select(site, *once, keys).groupBy("host", "t_a", "t_b").agg(F.first("keys").alias("keys"))
+        voters = pages.select(site, *once).distinct()
     counts = (
-        per_page.select("host", F.explode(F.array_distinct(_keys(F.filter("lines", lambda x: x != "")))).alias("k"))
+        per_page.select("host", F.explode("keys").alias("k"))
         .groupBy("host", F.col("k.a").alias("a"), F.col("k.b").alias("b")).agg(F.count("*").alias("pages"))
         .where(F.col("pages") >= params.min_pages)
     )
-    totals = pages.groupBy(site).agg(F.count("*").alias("host_pages")).withColumnRenamed("host", "t_host")
+    totals = voters.groupBy("host").agg(F.count("*").alias("host_pages")).withColumnRenamed("host", "t_host")
     return (
         counts.join(totals, F.col("host").eqNullSafe(F.col("t_host")))
         .where(F.col("pages") > F.lit(params.ratio) * F.col("host_pages"))

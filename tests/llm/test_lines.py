@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import corpus_pipeline
 from cases import awkward, documents, empty
 
 from spreadlab.llm import lines
@@ -38,3 +39,15 @@ def test_columns_and_awkward_rows(spark, plan):
     assert found.count() == 10
     assert lines.drop_boilerplate(empty(spark)).count() == 0
     assert "Cartesian" not in plan(found)
+
+
+def test_copies_of_a_page_are_one_vote(spark, folder):
+    """A third of a host's pages are copies: the pipeline keeps exactly one, and the menu still goes."""
+    copied = "\n".join(f"line {k} of a clean page that was copied often" for k in range(5))
+    rows = [(k, copied, "en", "a") for k in range(50)]
+    rows += [(100 + k, "menu\n" + " ".join(f"w{k}x{n}" for n in range(30)), "en", "a") for k in range(100)]
+    rows += [(300, None, "en", "a"), (301, copied, "en", None), (302, copied, "en", None)]
+    cleaned = corpus_pipeline.drop_lines(spark, documents(spark, rows), folder)
+    kept = {r["doc_id"]: r["text"] for r in corpus_pipeline.drop_near_duplicates(spark, cleaned, folder).collect()}
+    assert [doc for doc, text in kept.items() if text == copied] == [0]
+    assert not any("menu" in (text or "") for text in kept.values()) and len(kept) == 102
