@@ -8,11 +8,16 @@ Letters written apart (``i d i o t``) are joined first, other signs between
 letters are dropped, digits that stand for letters are read as these.
 
 Training uses labelled sentences only.  A sentence is toxic when it occurs in
-toxic and never in clean documents.  Words that stand between many different
-neighbours in toxic and (almost) none in clean sentences are the witnesses;
-with the most frequent ordinary words, and the ordinary words most like
-witnesses, they are the landmarks of a Nyström map, in which a support vector
-machine is trained by sub-gradient steps.  The word of largest margin decides
+toxic and never in clean documents.  Words that stand between different
+neighbours in toxic and (almost) none in clean sentences are the witnesses, all of
+them, rare or frequent, unless chance explains that: a word in n documents may be met in
+toxic ones only by accident, so a binomial test against the toxic share of all words
+bounds the expected share of false witnesses (Benjamini and Hochberg).  Words that
+chance explains are no examples of either side.  A witness as it stands never falls below the
+other witnesses, however many words resemble it.  Witnesses (a bounded draw of them,
+as a basis only), the most frequent ordinary words, and the ordinary words most like
+witnesses are the landmarks of a Nyström map, in which a support vector
+machine is trained on all witnesses (squared hinge loss, Newton steps).  The word of largest margin decides
 a sentence, and the sentence of largest margin a document, whose margin becomes
 a score by a logistic curve.
 
@@ -26,7 +31,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from itertools import combinations
 
 import numpy as np
@@ -55,12 +60,13 @@ class ToxicParams:
     sample_documents: int = 4000  # bound of the training documents, per label
     least_contexts: int = 4      # of a witness, in toxic sentences
     share: float = 0.9           # of a witness's contexts that must be toxic
-    of_typical: float = 0.4      # of the leading witnesses' contexts that a witness must reach
-    witnesses: int = 64
-    ordinary: int = 64           # other landmarks
+    false_share: float = 0.05    # of the witnesses that may be expected to be so by chance
+    basis: int = 512             # landmarks from the witnesses
+    ordinary: int = 64           # landmarks from the most frequent ordinary words
+    hard_basis: int = 448        # landmarks from the ordinary words most like witnesses
     sample_words: int = 12000    # ordinary words to train on
     hard_words: int = 1000       # of them the ones most like witnesses
-    rounds: int = 400
+    rounds: int = 30
     regular: float = 1e-4
 
 
@@ -126,6 +132,7 @@ class ToxicModel:
     slope: float             # of the logistic fit
     shift: float
     params: ToxicParams
+    known: dict[str, float] = field(default_factory=dict)  # least margin of each witness as it stands
 
     def margins(self, words: list[str]) -> np.ndarray:
         """The largest margin of each word's pieces."""
@@ -136,9 +143,9 @@ class ToxicModel:
             part = flat[at:at + 4096]
             row, slot, weight = subsequences(part, self.params)
             found[at:at + 4096] = np.bincount(row, weight * self.direction[slot], minlength=len(part)) + self.bias
-        if len(flat) == len(words):
-            return found
-        return np.maximum.reduceat(found, np.cumsum([0] + [len(c) for c in cut[:-1]]))
+        if len(flat) != len(words):
+            found = np.maximum.reduceat(found, np.cumsum([0] + [len(c) for c in cut[:-1]]))
+        return np.maximum(found, np.fromiter((self.known.get(w, LOWEST) for w in words), np.float32, len(words)))
 
     def raw_margins(self, words: list[str]) -> np.ndarray:
         """Margins of words as they stand in a text; one without a letter has the lowest."""
@@ -159,7 +166,7 @@ def shared_memo(model: ToxicModel) -> Memo:
 
 
 def training_documents(docs: DataFrame, labels: DataFrame, learn: Column, params: ToxicParams) -> DataFrame:
-    """text, toxic of at most about ``sample_documents`` documents of each label, drawn by a hash of the id."""
+    """text, toxic, page (hash of the text) of at most about ``sample_documents`` documents of each label, drawn by a hash of the id."""
     known = labels.where(F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic")).where(learn)
     counts = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     draw = F.pmod(F.xxhash64("doc_id", F.lit("toxic")), F.lit(1_000_003)) / F.lit(1_000_003.0)
@@ -168,7 +175,48 @@ def training_documents(docs: DataFrame, labels: DataFrame, learn: Column, params
         share = F.when(F.col("toxic") == toxic, F.lit(min(1.0, params.sample_documents / n))).otherwise(share)
     # about sample_documents rows of each label, whatever the number of documents: a bounded side
     chosen = F.broadcast(known.where(draw < share))
-    return docs.select("doc_id", "text").where("text IS NOT NULL").join(chosen, "doc_id").select("text", "toxic")
+    return docs.select("doc_id", "text").where("text IS NOT NULL").join(chosen, "doc_id").select("text", "toxic", F.xxhash64("text").alias("page"))
+
+
+def chance(bad: np.ndarray, pages: np.ndarray, share: float) -> np.ndarray:
+    """Probability of at least ``bad`` toxic ones among ``pages`` documents, when each is toxic with probability ``share``."""
+    logs = np.concatenate(([0.0], np.cumsum(np.log(np.arange(1, max(pages, default=0) + 1)))))
+    out = np.ones(len(bad))
+    if 0 < share < 1:
+        for at, (k, n) in enumerate(zip(bad, pages)):
+            i = np.arange(k, n + 1)
+            out[at] = np.exp(logs[n] - logs[i] - logs[n - i] + i * np.log(share) + (n - i) * np.log1p(-share)).sum()
+    return np.minimum(out, 1.0)
+
+
+def beyond_chance(words: list[str], bad: np.ndarray, pages: np.ndarray, tested: int, share: float, params: ToxicParams) -> list[str]:
+    """The words whose toxic documents chance does not explain, most certain first; ``tested`` words were looked at in all."""
+    likely = chance(bad, pages, share)
+    order = sorted(range(len(words)), key=lambda k: (likely[k], words[k]))
+    passed = np.flatnonzero(likely[order] <= params.false_share * np.arange(1, len(order) + 1) / max(tested, 1))
+    return [words[k] for k in order[:passed[-1] + 1]] if len(passed) else []
+
+
+def least_loss(x: np.ndarray, y: np.ndarray, cost: np.ndarray, params: ToxicParams) -> np.ndarray:
+    """Weights of the support vector machine with squared hinge loss, by Newton steps over the rows within the margin."""
+    def loss(weight: np.ndarray) -> float:
+        return float(params.regular * (weight @ weight) + cost @ np.maximum(0.0, 1.0 - y * (x @ weight)) ** 2)
+
+    weight = np.zeros(x.shape[1])
+    best = loss(weight)
+    for _ in range(params.rounds):
+        active = np.flatnonzero(y * (x @ weight) < 1)
+        rows = x[active] * np.sqrt(cost[active])[:, None].astype(np.float32)
+        gram = (rows.T @ rows).astype(np.float64) + params.regular * np.eye(x.shape[1])
+        step = np.linalg.solve(gram, rows.T @ (np.sqrt(cost) * y)[active]) - weight
+        rate = 1.0
+        while rate > 1e-3 and loss(weight + rate * step) > best:
+            rate /= 2
+        after = loss(weight + rate * step)
+        if after > best * (1 - 1e-4):
+            break
+        weight, best = weight + rate * step, after
+    return weight
 
 
 def fit(witnesses: list[str], ordinary: list[str], landmarks: list[str], params: ToxicParams) -> ToxicModel:
@@ -184,61 +232,57 @@ def fit(witnesses: list[str], ordinary: list[str], landmarks: list[str], params:
 
     def lifted(words: list[str]) -> np.ndarray:
         cut = [w[:params.piece] for w in words]
-        return np.vstack([subsequence_features(cut[k:k + 1024], params) @ lift for k in range(0, len(cut), 1024)])
+        return np.vstack([(subsequence_features(cut[k:k + 1024], params) @ lift).astype(np.float32) for k in range(0, len(cut), 1024)])
 
     x = np.vstack([lifted(witnesses), lifted(bent), lifted(ordinary)])
     y = np.r_[np.ones(len(witnesses) + len(bent)), -np.ones(len(ordinary))]
     # witnesses weigh as much as their bent spellings, and both together as the ordinary words
     cost = np.r_[np.full(len(witnesses), 0.5 / len(witnesses)), np.full(len(bent), 0.5 / max(1, len(bent))),
                  np.full(len(ordinary), 1.0 / len(ordinary))]
-    weight, bias = np.zeros(x.shape[1]), 0.0
-    total, total_bias = np.zeros(x.shape[1]), 0.0
-    for step in range(1, params.rounds + 1):
-        active = (y * (x @ weight + bias) < 1) * cost * y
-        rate = 20.0 / np.sqrt(step)
-        weight += rate * (active @ x - params.regular * weight)
-        bias += rate * active.sum()
-        if step > params.rounds // 2:
-            total += weight
-            total_bias += bias
-    half = params.rounds - params.rounds // 2
-    weight, bias = total / half, total_bias / half
+    solved = least_loss(np.hstack([x, np.ones((len(x), 1), np.float32)]), y, cost, params)
+    weight, bias = solved[:-1], solved[-1]
     margins = x @ weight + bias
-    # the score passes 0.7 a little above the highest ordinary word; the least witness is far above
-    high, low = float(margins[:len(witnesses)].min()), float(margins[len(witnesses) + len(bent):].max())
-    border, slope = low + 0.15 * (high - low), 6.0 / max(high - low, 0.2)
-    return ToxicModel((lift @ weight).astype(np.float32), float(bias), slope, border - np.log(0.7 / 0.3) / slope, params)
+    # the score passes 0.7 a little above the highest ordinary word; the least witness, but for chance ones, is far above
+    high = float(np.quantile(margins[:len(witnesses)], params.false_share))
+    low = float(margins[len(witnesses) + len(bent):].max())
+    spread = max(high - low, 0.2)
+    border, slope = low + 0.15 * spread, 6.0 / spread
+    return ToxicModel((lift @ weight).astype(np.float32), float(bias), slope, border - np.log(0.7 / 0.3) / slope, params,
+                      dict.fromkeys(witnesses, low + spread))
 
 
 def train(docs: DataFrame, labels: DataFrame, learn: Column, params: ToxicParams = ToxicParams()) -> ToxicModel:
     """Fit on the labelled documents for which ``learn`` (over doc_id) holds.  Only bounded lists of words reach the driver."""
     def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = [(s, toxic) for text, toxic in zip(batch["text"], batch["toxic"])
+            rows = [(s, toxic, page) for text, toxic, page in zip(batch["text"], batch["toxic"], batch["page"])
                     for s in dict.fromkeys(" ".join(plain_words(part)) for part in SENTENCE.split(text)) if s]
-            yield pd.DataFrame(rows, columns=["sentence", "toxic"])
+            yield pd.DataFrame(rows, columns=["sentence", "toxic", "page"])
 
     def neighbours(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
-            for sentence, toxic in zip(batch["sentence"], batch["toxic"]):
+            for sentence, toxic, page in zip(batch["sentence"], batch["toxic"], batch["page"]):
                 row = ["", *sentence.split(" "), ""]
-                rows += [(w, a, b, toxic) for a, w, b in zip(row, row[1:], row[2:])]
-            yield pd.DataFrame(rows, columns=["word", "before", "after", "toxic"])
+                rows += [(w, a, b, toxic, page) for a, w, b in zip(row, row[1:], row[2:])]
+            yield pd.DataFrame(rows, columns=["word", "before", "after", "toxic", "page"])
 
     chosen = staged(training_documents(docs, labels, learn, params), "labelled")
-    sentences = chosen.mapInPandas(split, "sentence string, toxic int").groupBy("sentence").agg(F.min("toxic").alias("toxic"))
+    known = [F.min("toxic").alias("toxic"), F.min("page").alias("page")]
+    sentences = chosen.mapInPandas(split, "sentence string, toxic int, page long").groupBy("sentence").agg(*known)
     # a word counts once for each pair of neighbours, so copies of a passage say no more than the passage
     counts = staged(
-        sentences.mapInPandas(neighbours, "word string, before string, after string, toxic int")
-        .groupBy("word", "before", "after").agg(F.min("toxic").alias("toxic"))
-        .groupBy("word").agg(F.sum("toxic").alias("bad"), F.sum(1 - F.col("toxic")).alias("good")), "words")
-    strong = counts.where((F.col("bad") >= params.least_contexts)
-                          & (F.col("bad") >= params.share * (F.col("bad") + F.col("good"))) & (F.length("word") >= 3))
-    ranked = [(r["word"], r["bad"]) for r in strong.orderBy(F.desc("bad"), "word").limit(params.witnesses).collect()]
-    # words that merely occur in a few toxic documents are far rarer than the leading witnesses
-    typical = np.median([n for _, n in ranked[:5]]) if ranked else 0
-    witnesses = [w for w, n in ranked if n >= params.of_typical * typical]
+        sentences.mapInPandas(neighbours, "word string, before string, after string, toxic int, page long")
+        .groupBy("word", "before", "after").agg(*known)
+        .groupBy("word", "page", "toxic").agg(F.count("*").alias("n"))
+        .groupBy("word").agg(F.sum(F.col("n") * F.col("toxic")).alias("bad"), F.sum(F.col("n") * (1 - F.col("toxic"))).alias("good"),
+                             F.sum("toxic").alias("bad_pages"), F.count("*").alias("pages")), "words")
+    tested = counts.where((F.col("pages") >= params.least_contexts) & (F.length("word") >= 3))
+    seen = tested.agg(F.count("*").alias("n"), F.sum("bad_pages").alias("bad"), F.sum("pages").alias("pages")).first()
+    strong = tested.where((F.col("bad") >= params.least_contexts)
+                          & (F.col("bad") >= params.share * (F.col("bad") + F.col("good")))).select("word", "bad_pages", "pages").toPandas()
+    witnesses = beyond_chance(strong["word"].tolist(), strong["bad_pages"].to_numpy(np.int64), strong["pages"].to_numpy(np.int64),
+                              seen["n"], (seen["bad"] or 0) / (seen["pages"] or 1), params)
     clean = counts.where((F.col("good") >= 1) & (F.length("word") >= 2) & (F.col("bad") < params.share * (F.col("bad") + F.col("good"))))
     # hash order makes a bounded draw that does not depend on partitions
     ordinary = [r["word"] for r in clean.orderBy(F.xxhash64("word"), "word").limit(params.sample_words).collect()]
@@ -246,7 +290,9 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, params: ToxicParams
     if not witnesses or not ordinary:
         return ToxicModel(np.zeros(params.slots, np.float32), -1.0, 0.0, 0.0, params)
     ordinary = list(dict.fromkeys(ordinary + common))
-    model = fit(witnesses, ordinary, witnesses + common, params)
+    draw = np.sort(np.random.default_rng(5).permutation(len(witnesses))[:params.basis])
+    basis = [witnesses[k] for k in draw]
+    model = fit(witnesses, ordinary, basis + common, params)
 
     def judged(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -255,7 +301,7 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, params: ToxicParams
     # all clean words of the sample are judged; the likeliest mistakes join the training
     hard = [r["word"] for r in clean.select("word").mapInPandas(judged, "word string, margin float")
             .orderBy(F.desc("margin"), "word").limit(params.hard_words).collect()]
-    return fit(witnesses, list(dict.fromkeys(hard + ordinary)), witnesses + hard[:params.ordinary] + common, params)
+    return fit(witnesses, list(dict.fromkeys(hard + ordinary)), basis + hard[:params.hard_basis] + common, params)
 
 
 def score(docs: DataFrame, model: ToxicModel, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

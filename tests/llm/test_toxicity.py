@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import random
+
 import pytest
 from cases import awkward, documents, empty
 from pyspark.sql import functions as F
@@ -57,3 +59,26 @@ def test_label_of_a_copied_passage(spark):
     rows = [(k, f"{body}. some plain words number {k} stand here at the end") for k in range(40)] + [(100 + k, f"some plain words number {k} stand here at the end") for k in range(40)]
     labels = spark.createDataFrame([(r[0], int(r[0] < 100)) for r in rows], "doc_id long, toxic int")
     assert toxicity.train(documents(spark, rows), labels, F.lit(True)).slope == 0.0
+
+
+def test_long_tail_of_insults(spark):
+    """About 200 insults of Zipf-like frequency are all learned, the rarest from a handful of documents."""
+    rng = random.Random(8)
+    letters = lambda: "".join(rng.choice("abcdefghijklmnoprstuvwz") for _ in range(rng.randrange(5, 9)))
+    words = list(dict.fromkeys(letters() for _ in range(800)))
+    insults, ordinary = words[:200], words[200:]
+    spoken = [insult for rank, insult in enumerate(insults) for _ in range(max(8, 600 // (rank + 1)))]
+    rng.shuffle(spoken)
+    rows = []
+    for k in range(0, len(spoken), 2):
+        body = [rng.choice(ordinary) for _ in range(12)]
+        for insult in spoken[k:k + 2]:
+            body.insert(rng.randrange(len(body)), insult)
+        rows.append((k // 2, " ".join(body)))
+    toxic = len(rows)
+    rows += [(10_000 + k, " ".join(rng.choice(ordinary) for _ in range(14))) for k in range(2 * toxic)]
+    labels = spark.createDataFrame([(doc, int(doc < 10_000)) for doc, _ in rows], "doc_id long, toxic int")
+    model = toxicity.train(documents(spark, rows), labels, F.lit(True))
+    caught = dict(zip(words, model.scores(model.margins(words)) >= 0.7))
+    assert sum(caught[w] for w in insults[64:]) >= 0.9 * len(insults[64:])
+    assert sum(caught[w] for w in insults[:64]) >= 0.95 * 64 and sum(caught[w] for w in ordinary) <= 0.01 * len(ordinary)
