@@ -20,8 +20,13 @@ LEAST_LANGUAGE_SCORE = 0.1
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in one of the learned languages; texts without letters and texts like no language go."""
+    """Documents in one of the learned languages; texts without letters and texts like no language go.
+
+    When no row has a language to learn from, only texts without letters go.
+    """
     model = language.train(docs, F.coalesce(remainder(F.col("doc_id"), 4) != 2, F.lit(False)))
+    if not model.languages:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
     found = language.identify(docs, model)
     return found.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_LANGUAGE_SCORE)).select(*docs.columns)
 

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import corpus_pipeline
 from cases import awkward, documents, empty
 from pyspark.sql import functions as F
 
@@ -38,3 +39,11 @@ def test_awkward_rows(spark):
 def test_nothing_to_learn_from(spark):
     model = language.train(empty(spark), F.lit(True))
     assert {r["lang_pred"] for r in language.identify(awkward(spark), model).collect()} == {"und"}
+
+
+def test_pipeline_without_languages(spark, folder):
+    """Without a single lang the stage keeps every text that has letters."""
+    source = awkward(spark).withColumn("lang", F.lit(None).cast("string"))
+    kept = corpus_pipeline.identify_language(spark, source, folder)
+    assert kept.columns == source.columns
+    assert sorted(str(r["doc_id"]) for r in kept.collect()) == ["1", "1", "5", "7", "8", "None"]
