@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spreadlab.llm import decontaminate, language, licenses, lines, overlap, packing, secrets, tokens, topk, toxicity
+from spreadlab.llm import decontaminate, language, licenses, lines, negatives, overlap, packing, quality, ranking, secrets, tokens, topk, toxicity
 from spreadlab.llm.text import remainder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -72,12 +72,32 @@ def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op11_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    held = F.coalesce(remainder(F.col("doc_id"), 3) == 1, F.lit(False))
+    model = quality.train(docs, table(spark, folder, "labels"), ~held)
+    return quality.score(docs, model).select(
+        "doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings")
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(vectors.withColumn("label", shifted), F.col("vec_id") % 50 == 0)
+
+
+def op13_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    return ranking.search(ranking.build_index(table(spark, folder, "documents")), table(spark, folder, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_language_id, op2_license_scan, op3_pack, op4_secret_scan, op5_top_k, op6_toxicity, op7_token_count,
-    op8_line_dedup, op9_similar_documents, op10_decontaminate)}
+    op8_line_dedup, op9_similar_documents, op10_decontaminate, op11_quality, op12_hard_negatives, op13_ranked_search)}
 
 SQL: dict[str, str] = {
     "op2_license_scan": licenses.SQL,
     "op5_top_k": topk.SQL,
     "op8_line_dedup": lines.SQL,
+    "op12_hard_negatives": negatives.SQL,
+    "op13_ranked_search": ranking.SQL,
 }
