@@ -31,7 +31,7 @@ def test_rows_equal_sql(spark, folder, name):
 
 
 def test_one_query_per_operator():
-    assert sorted(int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES) == list(range(1, 14))
 
 
 def test_stages_keep_columns_and_take_awkward_rows(spark, folder):
