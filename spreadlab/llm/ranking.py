@@ -7,11 +7,13 @@ only on its frequency tf: it is computed once per stratum and tf.
 
 ``build_index`` counts terms, then writes one row per stratum, or per part of
 a frequent one: its documents in the order of their ids, its terms, and for
-each term postings grouped by falling tf.  ``search`` sends blocks of items to
-shards of the index.  There a stratum's bound for an item is the sum of the
+each term postings grouped by falling tf.  ``search`` compares items with
+shards of the index.  In a shard a stratum's bound for an item is the sum of the
 weights times the impact of each term's highest tf; strata are visited from the
 highest bound on, and visiting ends when the bound is below the item's k-th
-score.  Winners of the shards are merged.
+score.  Winners of the shards are merged.  Few items are sent to where the index
+lies; beyond a counted bound blocks of items and shards of the index are brought
+together by a shuffle.
 
 Terms are 64-bit hashes in the index.  All arithmetic but the weights' logarithm
 is in 64-bit integers.
@@ -34,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from spreadlab.llm.text import Memo, join_small, shared
+from spreadlab.llm.text import Memo, frames, join_small, shared
 from spreadlab.session import staged
 
 # every byte that is no part of a term becomes a space, A-Z become a-z
@@ -50,8 +52,9 @@ class RankingParams:
     per_m: int = 8
     weight_scale: int = 1000
     stratum_postings: int = 131_072  # of one index row; a frequent m has several
-    shard_postings: int = 4_000_000
+    shard_postings: int = 1_000_000
     item_block: int = 512
+    broadcast_rows: int = 500_000   # terms of items that are sent to all tasks, of some 32 bytes each
 
 
 @dataclass(frozen=True)
@@ -180,6 +183,8 @@ class Stratum:
 
 def search_shard(shard: pd.DataFrame, items: pd.DataFrame, params: RankingParams) -> pd.DataFrame:
     """The k best documents of a shard for each item of a block."""
+    if not len(shard) or not len(items):
+        return pd.DataFrame({"row": [], "item_id": [], "doc_id": [], "score": []}).astype("int64")
     items = items.sort_values(["row", "term"])
     wanted, place = np.unique(items["term"].to_numpy(np.int64), return_inverse=True)
     weights = items["weight"].to_numpy(np.int64)
@@ -208,24 +213,46 @@ def search(index: Index, items: DataFrame, item_id: str = "item_id", text: str =
            params: RankingParams = RankingParams()) -> DataFrame:
     """item_id, rank, doc_id, score: the k documents of highest score above 0 for each item."""
     asking = staged(count_terms(items, item_id, text), "items")
+    weighted = staged(weighted_items(asking, index, params).where("weight > 0"), "weighted-items")
+    few = weighted.count() <= params.broadcast_rows
+    found = _search_in_place(index, weighted, params) if few else _search_by_shards(index, asking, weighted, params)
+    order = Window.partitionBy("row").orderBy(F.desc("score"), "doc_id")
+    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= params.k).select(
+        F.nullif("item_id", F.lit(NOBODY)).alias("item_id"), "rank", "doc_id", "score")
+
+
+FOUND = "row long, item_id long, doc_id long, score long"
+
+
+def _search_in_place(index: Index, weighted: DataFrame, params: RankingParams) -> DataFrame:
+    """All items in every task, which reads its part of the index and searches it shard by shard."""
+    sent = index.strata.sparkSession.sparkContext.broadcast(weighted.toPandas())
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        items, held, postings = sent.value, [], 0
+        for batch in frames(batches, 64):
+            held.append(batch)
+            postings += int(batch["at"].map(len).sum())
+            if postings >= params.shard_postings:
+                yield search_shard(pd.concat(held, ignore_index=True), items, params)
+                held, postings = [], 0
+        if held:
+            yield search_shard(pd.concat(held, ignore_index=True), items, params)
+
+    return index.strata.mapInPandas(run, FOUND)
+
+
+def _search_by_shards(index: Index, asking: DataFrame, weighted: DataFrame, params: RankingParams) -> DataFrame:
+    """Every block of items beside every shard of the index."""
     blocks = max(1, -(-asking.count() // params.item_block))
     shards = max(1, -(-index.postings // params.shard_postings))
-    weighted = weighted_items(asking, index, params).where("weight > 0").withColumn(
-        "block", F.pmod(F.xxhash64("row"), F.lit(blocks)).cast("int")).withColumn(
+    items = weighted.withColumn("block", F.pmod(F.xxhash64("row"), F.lit(blocks)).cast("int")).withColumn(
         "shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
     strata = index.strata.withColumn("shard", F.pmod(F.xxhash64("m", "part"), F.lit(shards)).cast("int")).withColumn(
         "block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
 
-    def meet(shard: pd.DataFrame, some: pd.DataFrame) -> pd.DataFrame:
-        if not len(shard) or not len(some):
-            return pd.DataFrame({"row": [], "item_id": [], "doc_id": [], "score": []}).astype("int64")
-        return search_shard(shard, some, params)
-
-    found = strata.groupBy("shard", "block").cogroup(weighted.groupBy("shard", "block")).applyInPandas(
-        meet, "row long, item_id long, doc_id long, score long")
-    order = Window.partitionBy("row").orderBy(F.desc("score"), "doc_id")
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= params.k).select(
-        F.nullif("item_id", F.lit(NOBODY)).alias("item_id"), "rank", "doc_id", "score")
+    return strata.groupBy("shard", "block").cogroup(items.groupBy("shard", "block")).applyInPandas(
+        lambda shard, some: search_shard(shard, some, params), FOUND)
 
 
 SQL = r"""
