@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from spreadlab.catalog import query
 from spreadlab.catalog.sinks import _COLS, _LATEST, COLS, KEY, MIDDLE
 from spreadlab.session import scratch_path
+from spreadlab.sources.files import read_parquet
 from spreadlab.streaming.ingest import append_new_files, file_stream, merge_new_files, replace_new_dates
 
 
@@ -38,6 +39,17 @@ def _(t):
     return t.spark.read.parquet(target).select(*COLS)
 
 
+@query("st_02_merge_in_buckets", "quotes", _LATEST)
+def _(t):
+    """As above, every batch rewriting only the buckets of its keys."""
+    rows = t.quotes.select(*COLS)
+    late = F.col("bid_size") >= 50
+    target, checkpoint = scratch_path(t.spark, "stream-buckets"), scratch_path(t.spark, "stream-state")
+    for folder in _feed(t, rows.filter(late), rows.filter(~late)):
+        merge_new_files(file_stream(t.spark, folder, rows.schema), target, checkpoint, KEY, ["event_id"], "quote_date", buckets=4)
+    return read_parquet(t.spark, target).select(*COLS)
+
+
 @query("st_03_replace_late_dates", "quotes", f"""
     SELECT event_id, quote_date, cusip, dealer, bid_spread,
            CASE WHEN quote_date < DATE '{MIDDLE}' THEN -1 ELSE bid_size END AS bid_size FROM quotes""")

@@ -15,6 +15,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from spreadlab.session import exists
 from spreadlab.sinks.tables import merge_latest, replace_dates
 
 Transform = Callable[[DataFrame], DataFrame]
@@ -42,11 +43,15 @@ def append_new_files(stream: DataFrame, target: str, checkpoint: str, date: str
 
 
 def merge_new_files(stream: DataFrame, target: str, checkpoint: str, keys: Sequence[str],
-                    order: Sequence[str], date: str, transform: Transform = lambda df: df) -> None:
-    """Merge every batch into a dated table; the latest row per key wins."""
+                    order: Sequence[str], date: str, transform: Transform = lambda df: df,
+                    buckets: int | None = None) -> None:
+    """Merge every batch into a dated table; the latest row per key wins.
+
+    ``buckets`` divides the dates of a new table, so that a batch rewrites only its keys' buckets.
+    """
     def merge(batch: DataFrame, _: int) -> None:
         if not batch.isEmpty():
-            merge_latest(transform(batch), target, keys, order, date)
+            merge_latest(transform(batch), target, keys, order, date, buckets)
     _run(stream.writeStream.foreachBatch(merge), checkpoint)
 
 
@@ -57,21 +62,51 @@ def replace_new_dates(stream: DataFrame, target: str, checkpoint: str, date: str
     All batches of a run are gathered beside the checkpoint, each under its own
     number, so that a repeated batch overwrites itself; the dates are replaced
     once, from all of them.  So a date may be spread over files and batches.
-    What a broken run gathered is replaced together with the next run's rows.
+
+    Two markers make a run an epoch that survives a break at any step: *gathered*
+    says that all batches are there, *replaced* that they are in the table.  The
+    next run first ends what it finds: gathered batches are replaced as their own run would have
+    done, replaced ones only removed (the marker last).  Batches without a marker belong to a run
+    that broke while gathering; the next run goes on with it.
     """
     spark = stream.sparkSession
-    gathered = f"{checkpoint.rstrip('/')}-gathered"
+    gathered, markers = (f"{checkpoint.rstrip('/')}-{part}" for part in ("gathered", "epoch"))
 
     def gather(batch: DataFrame, number: int) -> None:
         if not batch.isEmpty():
             transform(batch).write.mode("overwrite").parquet(f"{gathered}/batch={number}")
+
+    def finish() -> None:
+        if not exists(spark, f"{markers}/replaced"):
+            rows = _gathered(spark, gathered)
+            if rows is not None:
+                replace_dates(rows, target, date)
+            _mark(spark, f"{markers}/replaced")
+        for path in (gathered, f"{markers}/gathered", f"{markers}/replaced"):
+            _remove(spark, path)
+
+    if exists(spark, f"{markers}/gathered") or exists(spark, f"{markers}/replaced"):
+        finish()
     _run(stream.writeStream.foreachBatch(gather), checkpoint)
+    _mark(spark, f"{markers}/gathered")
+    finish()
+
+
+def _gathered(spark: SparkSession, path: str) -> DataFrame | None:
     try:
-        rows = spark.read.option("mergeSchema", True).parquet(gathered).drop("batch")
+        return spark.read.option("mergeSchema", True).parquet(path).drop("batch")
     except AnalysisException as error:
         if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
-        return
-    replace_dates(rows, target, date)
-    folder = spark._jvm.org.apache.hadoop.fs.Path(gathered)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        return None
+
+
+def _mark(spark: SparkSession, path: str) -> None:
+    """An empty file that says a step is done."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).create(place, True).close()
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
