@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from spreadlab.functions.scalars import blank, quoted, to_double
-from spreadlab.operators.quantiles import exact_quantiles
+from spreadlab.operators.quantiles import column_quantiles, exact_quantiles
 from spreadlab.session import staged
 
 QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
@@ -74,14 +74,12 @@ def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     numbers = df.select(*[to_double(quoted(c)).alias(c) for c in columns])
     basic = per_column(numbers, columns, {
         "n": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max})
-    long = numbers.unpivot([], list(columns), "column_name", "value")
-    return basic.join(exact_quantiles(long, ["column_name"], "value", QUARTILES), "column_name", "left")
+    return basic.join(column_quantiles(numbers, columns, QUARTILES), "column_name", "left")
 
 
-def five_numbers(df: DataFrame, column: str) -> DataFrame:
-    """Minimum, quartiles and maximum of one column."""
-    one = df.select(F.lit(column).alias("column_name"), quoted(column).alias("value"))
-    return exact_quantiles(one, ["column_name"], "value", FIVE_NUMBERS)
+def five_numbers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Minimum, quartiles and maximum of each column that has values, all from the same passes."""
+    return column_quantiles(df, columns, FIVE_NUMBERS)
 
 
 def numeric_statistics(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
