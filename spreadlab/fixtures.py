@@ -229,6 +229,28 @@ class Tables:
                 .when(kind == 2, F.concat(F.left(name, F.lit(3)), F.substring(name, 5, 1000)))
                 .otherwise(F.concat(name, F.lit(" "), F.left(name, F.lit(2)))))
 
+    @staticmethod
+    def bond_name():
+        """A name like those of bonds for each part: issuer, coupon and maturity."""
+        key = F.col("p_partkey")
+        return F.concat_ws(" ", F.upper("p_name"), (key * 37 % 8000).cast("string"),
+                           F.concat_ws("/", F.col("p_size").cast("string"), (key * 7 % 31 + 2025).cast("string")))
+
+    @cached_property
+    def bonds_a(self) -> DataFrame:
+        return self.table("part").select(self.bond_name().alias("name")).distinct()
+
+    @cached_property
+    def bonds_b(self) -> DataFrame:
+        """The same bonds as another vendor would spell them: alike, with the maturity first, a letter less, a note, a letter twice."""
+        name, kind = F.col("name"), F.col("p_partkey") % 5
+        first = F.concat_ws(" ", F.regexp_extract(name, r"(\S+)$", 1), F.regexp_extract(name, r"^(.*) \S+$", 1))
+        spelled = (F.when(kind == 0, name).when(kind == 1, first)
+                   .when(kind == 2, F.concat(F.left(name, F.lit(3)), F.substring(name, 5, 1000)))
+                   .when(kind == 3, F.concat(name, F.lit(" 144A")))
+                   .otherwise(F.concat(F.left(name, F.lit(6)), F.substring(name, 6, 1000))))
+        return self.table("part").withColumn("name", self.bond_name()).select(spelled.alias("name")).distinct()
+
     @cached_property
     def names_b(self) -> DataFrame:
         return self.table("part").select(self.altered_name().alias("name")).distinct()
