@@ -6,17 +6,21 @@ pairs by a column both sides must share.  Pairs
 are formed block-wise: every series is assigned to one of B blocks and sent to
 the B block pairs it takes part in, an equality join on the block pair.  This
 moves n·B rows (a series is one row with its lookback values) instead of
-n²/2·dates, spreads the pairs over B(B+1)/2 even tasks whatever the dates look
-like, and leaves each pair complete in one row, so that its statistics are
-aggregated in the join's own partitions.
+n²/2·dates and spreads the pairs over B(B+1)/2 even tasks whatever the dates look
+like.  Statistics need no pair as a row: the series of two blocks are two
+matrices, and a series is compared with all its partners at once.  Where only
+the most extreme pairs are asked for, each block pair keeps that many.
 """
 
 from __future__ import annotations
 
 import math
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from spreadlab.functions.scalars import quoted
 
@@ -35,11 +39,11 @@ def z_score(last: Column, mean: Column, std: Column) -> Column:
 def block_count(df: DataFrame, n_series: int | None = None) -> int:
     """Blocks needed so that the block pairs fill the shuffle partitions.
 
-    With a counted number of series a block holds 16 to 1,024 of them.
+    With a counted number of series a block holds 16 to 512 of them.
     """
     wanted = math.ceil(math.sqrt(4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
     if n_series is not None:
-        wanted = max(min(wanted, math.ceil(n_series / 16)), math.ceil(n_series / 1024))
+        wanted = max(min(wanted, math.ceil(n_series / 16)), math.ceil(n_series / 512))
     return max(2, wanted)
 
 
@@ -71,27 +75,117 @@ def block_pairs(series: DataFrame, security: str, columns: list[str], blocks: in
             .drop("_own_1", "_own_2", "_within"))
 
 
+def _matrix(arrays: pd.Series) -> np.ndarray:
+    """One row per array, missing values and those beyond its end as NaN."""
+    out = np.full((len(arrays), max([*map(len, arrays), 0])), np.nan)
+    for row, values in zip(out, arrays):
+        row[:len(values)] = np.asarray(values, np.float64)
+    return out
+
+
+def _compared(values: np.ndarray, last: np.ndarray, one: int, others: np.ndarray) -> dict[str, np.ndarray]:
+    """Statistics of the difference between one series and each of the others; NaN where there are none."""
+    diff = values[one] - values[others]
+    last_diff = last[one] - last[others]
+    there = ~np.isnan(diff)
+    n = there.sum(axis=1)
+    some = n > 0
+    mean, std, low, high = (np.full(len(others), np.nan) for _ in range(4))
+    mean[some] = np.where(there, diff, 0.0)[some].sum(axis=1) / n[some]
+    spread = np.where(there, diff - mean[:, None], 0.0)
+    more = n > 1
+    std[more] = np.sqrt(np.einsum("ij,ij->i", spread, spread)[more] / (n[more] - 1))
+    low[some], high[some] = np.where(there, diff, np.inf)[some].min(axis=1), np.where(there, diff, -np.inf)[some].max(axis=1)
+    # comparisons with NaN are false, as they should be
+    return {"last_diff": last_diff, "n_common": n, "mean": mean, "std": std, "min_diff": low, "max_diff": high,
+            "below": (diff < last_diff[:, None]).sum(axis=1), "at_or_below": (diff <= last_diff[:, None]).sum(axis=1)}
+
+
+def _scores(found: dict[str, np.ndarray]) -> np.ndarray:
+    """Absolute z scores, as ``z_score`` defines them."""
+    with np.errstate(invalid="ignore", divide="ignore"):
+        return np.where(found["std"] > 0, np.abs((found["last_diff"] - found["mean"]) / found["std"]), 0.0)
+
+
+def block_statistics(rows: pd.DataFrame, security: str, values: str, last: str, carried: tuple[str, ...],
+                     within: bool, n: int | None = None, above: float | None = None) -> pd.DataFrame:
+    """All pairs of one block pair, or its ``n`` most extreme ones, those whose absolute score exceeds ``above``."""
+    rows = rows.sort_values(["_within", security] if within else security, kind="stable", ignore_index=True)
+    matrix, latest, own = _matrix(rows[values]), rows[last].to_numpy(np.float64), rows["_own"].to_numpy()
+    diagonal = bool(len(own)) and (own == own[0]).all() and int(rows["block_pair"].iloc[0]) == own[0] * rows["_blocks"].iloc[0] + own[0]
+    names = rows[security].to_numpy()
+    # partners come later in the order and share the group; names are unique within it
+    group_end = np.empty(len(rows), np.int64)
+    labels = rows["_within"].to_numpy() if within else np.zeros(len(rows))
+    end = len(rows)
+    for i in range(len(rows) - 1, -1, -1):
+        if i + 1 < len(rows) and labels[i] != labels[i + 1]:
+            end = i + 1
+        group_end[i] = end
+    parts = []
+    for i in range(len(rows)):
+        others = np.arange(i + 1, group_end[i])
+        others = others[names[others] != names[i]]
+        if not diagonal:
+            others = others[own[others] != own[i]]
+        if not len(others):
+            continue
+        found = _compared(matrix, latest, i, others)
+        keep = found["n_common"] > 0
+        if above is not None:
+            keep &= _scores(found) > above
+        found = {name: column[keep] for name, column in found.items()}
+        parts.append(pd.DataFrame({"_one": i, "_two": others[keep], **found}))
+        if n is not None and sum(map(len, parts)) > 4 * n + 1000:
+            parts = [_most(pd.concat(parts, ignore_index=True), names, n)]
+    if not parts:
+        return pd.DataFrame()
+    out = pd.concat(parts, ignore_index=True)
+    if n is not None:
+        out = _most(out, names, n)
+    one, two = out.pop("_one").to_numpy(), out.pop("_two").to_numpy()
+    for c in (security, *carried):
+        out[f"{c}_1"], out[f"{c}_2"] = rows[c].to_numpy()[one], rows[c].to_numpy()[two]
+    return out
+
+
+def _most(pairs: pd.DataFrame, names: np.ndarray, n: int) -> pd.DataFrame:
+    score = _scores({c: pairs[c].to_numpy() for c in ("std", "last_diff", "mean")})
+    order = np.lexsort((names[pairs["_two"]].astype(str), names[pairs["_one"]].astype(str), -score))
+    return pairs.iloc[order[:n]]
+
+
 def pair_statistics(series: DataFrame, security: str, values: str, last: str,
                     carried: tuple[str, ...] = (), blocks: int | None = None,
-                    within: str | None = None) -> DataFrame:
+                    within: str | None = None, n: int | None = None, above: float | None = None) -> DataFrame:
     """Statistics of the aligned difference for all pairs of ``series``.
 
     ``series`` has one row per security with an array ``values``, aligned over
-    all series.  Positions where a side is missing do not count, pairs without
-    a common position are absent.  The aggregation groups by ``block_pair``
-    first, so it runs on the partitions of the join without another shuffle.
+    all series.  Positions where a side is missing (or NaN) do not count, pairs without
+    a common position are absent; rows without a name, or without a group where ``within``
+    names one, have no pairs.  With ``n`` a block pair returns its ``n`` most extreme pairs only,
+    with ``above`` the pairs beyond that absolute score, so the others are never written or shuffled.
     """
     blocks = blocks or block_count(series)
-    pairs = block_pairs(series, security, [values, last, *carried], blocks, within)
-    keys = ["block_pair", *[f"{c}_{n}" for c in (security, *carried) for n in (1, 2)], "last_diff"]
-    difference = (
-        pairs.withColumn("last_diff", quoted(f"{last}_1") - quoted(f"{last}_2"))
-        .select(*keys, F.inline(F.arrays_zip(F.col(f"{values}_1").alias("v1"), F.col(f"{values}_2").alias("v2"))))
-        .select(*keys, (F.col("v1") - F.col("v2")).alias("diff"))
-        .filter(F.col("diff").isNotNull()))
-    return difference.groupBy(*keys).agg(
-        F.count("diff").alias("n_common"), F.avg("diff").alias("mean"),
-        F.stddev_samp("diff").alias("std"),
-        F.min("diff").alias("min_diff"), F.max("diff").alias("max_diff"),
-        F.count_if(F.col("diff") < F.col("last_diff")).alias("below"),
-        F.count_if(F.col("diff") <= F.col("last_diff")).alias("at_or_below")).drop("block_pair")
+    fields = {f.name: f.dataType for f in series.schema.fields}
+    own = F.pmod(F.xxhash64(quoted(security)), F.lit(blocks)).cast("int")
+    present = series.filter(quoted(security).isNotNull())
+    if within:
+        present = present.filter(quoted(within).isNotNull())
+    other = F.col("_other")
+    spread = (present.select(*[quoted(c) for c in dict.fromkeys((security, values, last, *carried))],
+                             *([quoted(within).cast("string").alias("_within")] if within else []), own.alias("_own"),
+                             F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("_other"), F.lit(blocks).alias("_blocks"))
+              .withColumn("block_pair", F.least("_own", other) * blocks + F.greatest("_own", other)).drop("_other"))
+    numbers = {"last_diff": "double", "n_common": "long", "mean": "double", "std": "double", "min_diff": "double",
+               "max_diff": "double", "below": "long", "at_or_below": "long"}
+    schema = T.StructType([T.StructField(f"{c}_{k}", fields[c]) for c in (security, *carried) for k in (1, 2)])
+    for name, kind in numbers.items():
+        schema = schema.add(name, kind)
+    names = schema.names
+
+    def compare(rows: pd.DataFrame) -> pd.DataFrame:
+        found = block_statistics(rows, security, values, last, carried, bool(within), n, above)
+        return found[names] if len(found) else found
+
+    return spread.groupBy("block_pair").applyInPandas(compare, schema)

@@ -153,17 +153,36 @@ def test_pair_count_is_complete_and_funnel_adds_up(spark):
     assert funnel.pairs_attempted == 820 == funnel.pairs_kept
 
 
-def test_pairs_are_aggregated_where_they_are_joined(spark, plan):
+def test_pairs_are_compared_in_blocks(spark, plan):
     from spreadlab.operators.pairs import pair_statistics
     series = spark.createDataFrame([(f"s{i}", [1.0 * i, None, 3.0], 1.0) for i in range(9)],
                                    "security string, values array<double>, last_value double")
     df = pair_statistics(series, "security", "values", "last_value", blocks=3)
     text = plan(df)
-    above_join = text[:text.index("ShuffledHashJoin")]
-    assert "Exchange" not in above_join and "CartesianProduct" not in text and "NestedLoop" not in text
+    assert "FlatMapGroupsInPandas" in text and "inline" not in text and "Join" not in text and text.count("Exchange") == 1
     assert df.count() == 36 and {r.n_common for r in df.collect()} == {2}
 
 
+def test_top_and_extreme_pairs_are_those_of_all_pairs(spark):
+    from spreadlab.operators.pairs import pair_statistics
+    rng = np.random.default_rng(8)
+    rows = [(f"s{i:03}", [None if rng.random() < 0.3 else float(rng.integers(0, 9)) for _ in range(30)], float(rng.integers(0, 9)), f"g{i % 3}")
+            for i in range(70)] + [("alone", [None] * 30, 1.0, "g0"), (None, [1.0], 1.0, "g0"), ("s900", [1.0] * 31, 2.0, None)]
+    series = spark.createDataFrame(rows, "security string, values array<double>, last_value double, grp string")
+
+    def pairs(**more):
+        got = pair_statistics(series, "security", "values", "last_value", ("grp",), blocks=4, **more).collect()
+        return sorted((-abs((r.last_diff - r["mean"]) / r["std"]) if r["std"] else 0.0, r.security_1, r.security_2, r.n_common) for r in got)
+
+    every = pairs()
+    assert len(every) == 71 * 70 // 2 and all(a < b for _, a, b, _ in every)
+    top = pairs(n=25)
+    assert top[:25] == every[:25] and len(top) <= 25 * 10
+    assert pairs(above=1.0) == [p for p in every if -p[0] > 1.0]
+    inner = [p for p in every if p[1] != "s900" and p[2] != "s900" and int(p[1][1:]) % 3 == int(p[2][1:]) % 3]
+    assert pairs(within="grp") == inner
+
+
 def test_forward_fill_limit_and_edges(spark):
     values = {0: 1.0, 9: 2.0}
     rows = [(day(i), "x", values[i]) for i in values] + [(day(i), "grid", 0.0) for i in range(12)]
