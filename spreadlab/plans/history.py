@@ -21,10 +21,11 @@ from spreadlab.operators.lookups import with_match_status
 from spreadlab.operators.quotes import roll_up
 from spreadlab.operators.snapshots import latest_snapshot
 from spreadlab.params import MONITOR_ROLLUP
+from spreadlab.plans import summaries
 from spreadlab.plans.feeds import clean_universe_spreads, declared, log_checks  # noqa: F401  (part of the loads' surface)
-from spreadlab.session import scratch_scope, staged
+from spreadlab.session import exists, scratch_scope, staged
 from spreadlab.sinks.tables import (
-    insert_absent, insert_new_dates, overwrite, replace_dates, table, track_unmatched, update_decision, upsert)
+    insert_absent, insert_new_dates, overwrite, replace_dates, track_unmatched, update_decision, upsert)
 
 
 def _loaded(df: DataFrame, source: str, date: str | None, now: Column | None) -> DataFrame:
@@ -41,23 +42,29 @@ def standardized(df: DataFrame, cusip: str) -> DataFrame:
         "standardization_status")
 
 
-def _summary(spark: SparkSession, path: str, like: DataFrame, name: str, update_type: str, reason: str) -> DataFrame:
-    """One row of what a load did."""
-    stored = table(spark, path, like.schema).count()
+def _summary(spark: SparkSession, path: str, name: str, update_type: str, reason: str) -> DataFrame:
+    """One row of what a load did; the rows stored are known from the summaries."""
+    stored = spark.range(1).select(summaries.stored_rows(spark, path).alias("n")).first().n
     return spark.createDataFrame([(name, update_type, reason, stored)],
                                  "table_name string, update_type string, reason string, stored_rows long")
 
 
 def _load(df: DataFrame, path: str, keys: Sequence[str], date: str | None, order: Sequence[str],
           force: bool, name: str, new_dates_only: bool = False) -> DataFrame:
-    """Write a batch.  Only ``force`` (or an undated feed) replaces dates the batch does not bring."""
+    """Write a batch and the summaries of its dates.  Only ``force`` (or an undated feed) replaces dates the batch does not bring.
+
+    The stored dates are taken from the summaries; of the stored rows only those of the batch's dates are read.
+    """
     spark = df.sparkSession
     with scratch_scope(spark):
         # the only copy of the batch: it is read for the decision and for the write
         df = staged(df, name)
-        made = update_decision(table(spark, path, df.schema), df, date, force).first()
+        whole = force or date is None
+        if not whole and exists(spark, path) and summaries.per_date(spark, path).isEmpty():
+            summaries.follow(df, path, date, "cusip_standardized", whole=True)  # a table from before there were summaries
+        made = update_decision(_stored_days(spark, path, date), df, date, force).first()
         reason = made.reason
-        if force or date is None or not made.existing_dates:
+        if whole or not made.existing_dates:
             overwrite(keep_last(df, keys, order), path, date)
         elif made.update_type == "full_refresh":
             # a reloaded date replaces the stored one; all other dates stay
@@ -67,7 +74,14 @@ def _load(df: DataFrame, path: str, keys: Sequence[str], date: str | None, order
             reason += f"; {skipped} rows of stored dates skipped" if skipped else ""
         else:
             upsert(df, path, keys, date, order, is_staged=True)
-        return _summary(spark, path, df, name, made.update_type, reason)
+        summaries.follow(df, path, date, "cusip_standardized", whole=whole)
+        return _summary(spark, path, name, made.update_type, reason)
+
+
+def _stored_days(spark: SparkSession, path: str, date: str | None) -> DataFrame:
+    """The stored dates under the name of the feed's date column."""
+    days = summaries.per_date(spark, path)
+    return days.withColumnRenamed("date", date) if date else days
 
 
 def load_universe(feed: DataFrame, path: str, date: str = "Date", cusip: str = "CUSIP", spread: str = "G Sprd",
@@ -134,7 +148,8 @@ def load_spreads(history: DataFrame, path: str, cusip: str = "CUSIP", date: str
 
 def _replace(df: DataFrame, path: str, name: str, date: str | None = None) -> DataFrame:
     overwrite(df, path, date)
-    return _summary(df.sparkSession, path, df, name, "full_refresh", "forced_full_refresh")
+    summaries.follow(df, path, date, "cusip_standardized", whole=True)
+    return _summary(df.sparkSession, path, name, "full_refresh", "forced_full_refresh")
 
 
 def current_view(history: DataFrame, date: str) -> DataFrame:
