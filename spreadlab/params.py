@@ -120,6 +120,7 @@ class FeedParams:
     timestamps: tuple[str, ...] = ()
     required: tuple[str, ...] = ()
     bins: tuple[Bins, ...] = field(default_factory=tuple)
+    pivot: int = 69              # two-digit years below it are of this century
 
 
 # Column lists of the universe feed.
@@ -149,6 +150,7 @@ UNIVERSE_FEED = FeedParams(
 
 # Column lists of the portfolio feed.
 PORTFOLIO_FEED = FeedParams(
+    pivot=50,
     drop=(
         "BBG YIELD SPREAD", "CURRENT YIELD", "BBG 1D CHANGE", "CHANGE", "CHANGE PCT",
         "CHANGE BPS NAV", "INDUSTRY", "SECTOR", "OWNER", "DAY PROFIT", "AVERAGE PRICE", "PROFIT",

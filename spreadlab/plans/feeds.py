@@ -25,9 +25,10 @@ from spreadlab.params import (
     PORTFOLIO_FEED, PORTFOLIO_OVERRIDES, QUOTE_DATE_FORMATS, QUOTE_KEY, QUOTE_NON_NEGATIVE,
     QUOTE_NOT_NULL, UNIVERSE_FEED, FeedParams, IdentifierOverride, MappingParams)
 from spreadlab.session import staged
-from spreadlab.sinks.tables import append, merge_latest, overwrite, replace_dates
+from spreadlab.sinks.buckets import Buckets, stored_buckets
+from spreadlab.sinks.tables import append, insert_absent, merge_latest, overwrite, replace_dates
 from spreadlab.sources.files import (
-    file_inventory, new_or_changed, read_by_name, read_dated_folder, read_parquet, save_state, saved_state)
+    dated_files, file_inventory, new_or_changed, read_by_name, read_dated_folder, read_parquet, save_state, saved_state)
 
 
 def build_universe(raw: DataFrame, feed: FeedParams = UNIVERSE_FEED, keys: Sequence[str] = ("Date", "CUSIP"),
@@ -109,11 +110,21 @@ def clean_universe_spreads(df: DataFrame, column: str = "G Sprd") -> DataFrame:
     return df.withColumn(column, clamp_outliers(quoted(column))) if column in df.columns else df
 
 
-def log_checks(report: DataFrame, table_name: str, path: str, checked_at: Column | None = None) -> None:
-    """Append the rows of a quality report to the check log."""
+def log_checks(report: DataFrame, table_name: str, path: str, checked_at: Column | None = None, run_id: str | None = None) -> None:
+    """Append the rows of a quality report to the check log; a run that is repeated under its ``run_id`` adds nothing."""
     at = checked_at if checked_at is not None else F.current_timestamp()
-    append(report.select(F.lit(table_name).alias("table_name"), "check_type", "column_name", "check_result",
-                         "check_value", at.cast("timestamp_ntz").alias("checked_at")), path)
+    rows = report.select(F.lit(table_name).alias("table_name"), "check_type", "column_name", "check_result",
+                         "check_value", at.cast("timestamp_ntz").alias("checked_at"), F.lit(run_id).cast("string").alias("run_id"))
+    if run_id is None:
+        append(rows, path)
+    else:
+        insert_absent(rows, path, ["table_name", "run_id"])
+
+
+def run_of(files: DataFrame) -> str:
+    """Name of a run that is the same whenever the same versions of the same files are processed."""
+    found = files.agg(F.bit_xor(F.xxhash64("path", "modified", "size")).alias("h"), F.count(F.lit(1)).alias("n")).first()
+    return f"{found['h'] or 0:x}-{found['n']}"
 
 
 @dataclass(frozen=True)
@@ -122,30 +133,36 @@ class FeedPaths:
 
     folder: str       # the vendor's files
     table: str        # the clean table, partitioned by date
-    state: str        # the files that are in the table, by version
+    state: str        # a log of the files that are in the table, by version and run
     quality_log: str  # the checks of every build
 
 
 def refresh_feed(spark: SparkSession, paths: FeedPaths, name: str, build: Callable[[DataFrame], DataFrame],
                  schema: T.StructType, date: str = "Date", keys: Sequence[str] = (), order: Sequence[str] = (),
                  fmt: str = "csv", dated_by: str | None = "file_name", checked: Sequence[str] = (),
-                 full: bool = False, now: Column | None = None) -> DataFrame:
+                 full: bool = False, now: Column | None = None, buckets: int | None = None,
+                 pivot: int = 69, on_undated: str = "skip") -> DataFrame:
     """From the folder to the stored table: new files, clean, check, write, remember.
 
     A feed dated by its files replaces the dates of new files, for which all
     files of such a date are read; a feed with its own dates is merged by
     ``keys``, the greatest ``order`` wins.  The state is saved last, so a run
-    that breaks is repeated with the same files and the same result.  Columns
-    of the declared ``schema`` take its types; others stay as they are.
+    that breaks is repeated with the same files and the same result, and its
+    checks are logged once.  ``pivot`` and ``on_undated`` are as for ``dated_files``;
+    the state holds the files that were read, so a skipped one is met again.
+    Columns of the declared ``schema`` take its types; others stay as they are.
     Returns one row: files and rows of this run, and rows stored.
     """
-    inventory = staged(file_inventory(spark, paths.folder, f"*.{fmt}"), f"{name}-files")
+    inventory = file_inventory(spark, paths.folder, f"*.{fmt}")
+    if dated_by:
+        inventory = dated_files(inventory, pivot, on_undated, dated_by)
+    inventory = staged(inventory, f"{name}-files")
     state = None if full else saved_state(spark, paths.state)
     fresh = new_or_changed(inventory, state)
     n_files = fresh.count()
     rows = None
     if n_files and dated_by:
-        raw = read_dated_folder(spark, paths.folder, fmt, state=state, date=date, dated_by=dated_by, whole_dates=True)
+        raw = read_dated_folder(spark, paths.folder, fmt, pivot, on_undated, state, date, dated_by, whole_dates=True)
         rows = raw if raw is None else staged(declared(build(raw), schema), name)
     elif n_files:
         raw = read_by_name(spark, [r.path for r in fresh.select("path").collect()], fmt)
@@ -154,14 +171,16 @@ def refresh_feed(spark: SparkSession, paths: FeedPaths, name: str, build: Callab
     today = (now if now is not None else F.current_timestamp()).cast("date")
     if rows is not None:
         n_rows = rows.count()
-        log_checks(quality_report(rows, [c for c in checked if c in rows.columns], date, None, today), name, paths.quality_log, now)
+        log_checks(quality_report(rows, [c for c in checked if c in rows.columns], date, None, today), name, paths.quality_log, now,
+                   run_of(fresh))
         if full:
-            overwrite(rows, paths.table, date)
+            wanted = Buckets(buckets, tuple(k for k in keys if k != date)) if buckets and keys else None
+            overwrite(rows, paths.table, date, buckets=stored_buckets(spark, paths.table, date) or wanted)
         elif keys:
-            merge_latest(rows, paths.table, keys, order, date)
+            merge_latest(rows, paths.table, keys, order, date, buckets)
         else:
             replace_dates(rows, paths.table, date)
-        save_state(inventory, paths.state)
+        save_state(fresh, paths.state, run_of(fresh))
     stored = read_parquet(spark, paths.table, schema).agg(F.count(F.lit(1)).alias("n")).scalar()
     return spark.range(1).select(F.lit(name).alias("feed"), F.lit(n_files).cast("long").alias("new_files"),
                                  F.lit(n_rows).cast("long").alias("rows_written"), stored.alias("rows_stored"))
@@ -176,25 +195,29 @@ def declared(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 def refresh_universe(spark: SparkSession, paths: FeedPaths, dated_by: str = "file_name", fmt: str = "csv",
                      full: bool = False, now: Column | None = None) -> DataFrame:
-    """Universe files to the universe table; of repeated identifiers of a date one row stays."""
+    """Universe files to the universe table; of repeated identifiers of a date one row stays, files without a date wait."""
     return refresh_feed(spark, paths, "universe", build_universe, schemas.UNIVERSE, fmt=fmt, dated_by=dated_by,
-                        checked=UNIVERSE_FEED.doubles, full=full, now=now)
+                        checked=UNIVERSE_FEED.doubles, full=full, now=now, pivot=UNIVERSE_FEED.pivot)
 
 
 def refresh_portfolio(spark: SparkSession, paths: FeedPaths, dated_by: str = "file_name", fmt: str = "csv",
                       full: bool = False, now: Column | None = None) -> DataFrame:
-    """Position files to the portfolio table."""
+    """Position files to the portfolio table; years below 50 are of this century, and a file without a date fails."""
     build = lambda raw: build_portfolio(raw).drop("source_file")
     return refresh_feed(spark, paths, "portfolio", build, schemas.PORTFOLIO, fmt=fmt, dated_by=dated_by,
-                        checked=PORTFOLIO_FEED.doubles, full=full, now=now)
+                        checked=PORTFOLIO_FEED.doubles, full=full, now=now, pivot=PORTFOLIO_FEED.pivot, on_undated="fail")
 
 
 def refresh_quotes(spark: SparkSession, paths: FeedPaths, fmt: str = "csv", order: Sequence[str] = ("Time",),
-                   keys: Sequence[str] = QUOTE_KEY, full: bool = False, now: Column | None = None) -> DataFrame:
-    """Quote files, which bring their own dates, merged into the quote table."""
+                   keys: Sequence[str] = QUOTE_KEY, full: bool = False, now: Column | None = None,
+                   buckets: int | None = None) -> DataFrame:
+    """Quote files, which bring their own dates, merged into the quote table.
+
+    ``buckets`` divides the dates of a new table, so that a late quote rewrites its bucket and not its day.
+    """
     def build(raw: DataFrame) -> DataFrame:
         numbers = [f.name for f in schemas.QUOTES.fields if isinstance(f.dataType, T.DoubleType) and f.name in raw.columns]
         typed = raw.withColumns({c: to_double(quoted(c)) for c in numbers}) if numbers else raw
         return build_quotes(typed, keys=keys, order=order).drop("source_file")
     return refresh_feed(spark, paths, "quotes", build, schemas.QUOTES, keys=keys, order=order, fmt=fmt, dated_by=None,
-                        checked=("Bid Spread", "Ask Spread", *QUOTE_NON_NEGATIVE), full=full, now=now)
+                        checked=("Bid Spread", "Ask Spread", *QUOTE_NON_NEGATIVE), full=full, now=now, buckets=buckets)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import csv
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,13 +14,14 @@ from pyspark.sql import types as T
 from spreadlab.functions.dates import century_date
 from spreadlab.functions.scalars import nan_to_null_all, quoted
 from spreadlab.session import staged
+from spreadlab.sinks.buckets import without_bucket
 
 
 def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """Parquet scan; a missing path gives an empty table of the schema."""
+    """Parquet scan without the bucket level of a table; a missing path gives an empty table of the schema."""
     try:
         reader = spark.read.schema(schema) if schema else spark.read
-        return reader.parquet(path)
+        return without_bucket(reader.parquet(path))
     except AnalysisException as error:
         if schema is None or error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
@@ -78,18 +80,26 @@ def new_or_changed(inventory: DataFrame, state: DataFrame | None,
 
 
 def saved_state(spark: SparkSession, path: str) -> DataFrame | None:
-    """The file state a build saved, None before the first."""
+    """The files a build has read, each in the version it read last; None before the first."""
     try:
-        return spark.read.parquet(path)
+        log = spark.read.parquet(path)
     except AnalysisException as error:
         if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
         return None
+    version = F.struct("path", "file_name", "modified", "size")
+    return log.groupBy("path").agg(F.max_by(version, F.struct("recorded_at", "run_id")).alias("f")).select("f.*")
 
 
-def save_state(inventory: DataFrame, path: str) -> None:
-    """Replace the saved state; to be called when the files are in the table."""
-    staged(inventory.coalesce(1), "file-state").write.mode("overwrite").parquet(path)
+def save_state(inventory: DataFrame, path: str, run_id: str) -> None:
+    """Append the files of a run to the state; to be called when they are in the table.
+
+    The state is a log: an append is committed as a whole or not at all, and what earlier runs
+    recorded is never rewritten.  A run that is repeated records its files again, to the same effect.
+    """
+    rows = inventory.select("path", "file_name", "modified", "size", F.lit(run_id).alias("run_id"),
+                            F.current_timestamp().alias("recorded_at"))
+    rows.hint("rebalance").write.mode("append").parquet(path)
 
 
 def dated_files(inventory: DataFrame, pivot: int = 69, on_undated: str = "skip",
@@ -110,20 +120,32 @@ def _plain_path(c: Column) -> Column:
     return F.url_decode(F.replace(c, F.lit("+"), F.lit("%2B")))
 
 
+def _first_line(spark: SparkSession, path: str, encoding: str) -> str:
+    """First line of a file, of which only the first buffer is read; compressed files by their extension."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    stream = place.getFileSystem(conf).open(place)
+    try:
+        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(place)
+        source = codec.createInputStream(stream) if codec is not None else stream
+        return jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(source, encoding)).readLine() or ""
+    finally:
+        stream.close()
+
+
 def csv_layouts(spark: SparkSession, paths: Sequence[str], encoding: str = "UTF-8") -> list[tuple[list[str], list[str]]]:
     """Files grouped by their header line: (column names, paths).
 
-    The header is the first line of the first split of a file, found in one
-    distributed text scan; what reaches the driver is one line per layout and
-    the file names, which the driver's file listing holds anyway.
+    Each file is opened once by a pool of threads, through the file system Spark uses, and only
+    its first buffer is read, whatever its size.  What the driver holds is one line per file,
+    beside the file names, which its listing holds anyway.
     """
-    lines = (spark.read.option("encoding", encoding).text(list(paths))
-             .select(_plain_path(F.col("_metadata.file_path")).alias("path"), F.col("_metadata.file_block_start").alias("start"),
-                     F.monotonically_increasing_id().alias("position"), "value"))
-    headers = lines.filter(F.col("start") == 0).groupBy("path").agg(F.min_by("value", "position").alias("header"))
-    layouts = headers.groupBy("header").agg(F.sort_array(F.collect_list("path")).alias("paths"))
-    return [(next(csv.reader([row.header.lstrip("﻿")])), row.paths)
-            for row in layouts.orderBy("header").collect()]
+    with ThreadPoolExecutor(16) as pool:
+        headers = pool.map(lambda p: _first_line(spark, p, encoding), paths)
+        files: dict[str, list[str]] = {}
+        for path, header in zip(paths, headers):
+            files.setdefault(header, []).append(path)
+    return [(next(csv.reader([header.lstrip("\ufeff")])), sorted(files[header])) for header in sorted(files) if header]
 
 
 def read_by_name(spark: SparkSession, paths: Sequence[str], fmt: str, encoding: str = "UTF-8") -> DataFrame:
