@@ -9,7 +9,7 @@ from spreadlab.catalog.filters import FILLED, filled_history
 from spreadlab.catalog.joins import MAPPING
 from spreadlab.functions.scalars import rename_columns
 from spreadlab.operators import profiling
-from spreadlab.operators.dedup import first_non_null, last_non_null
+from spreadlab.operators.dedup import first_non_null, keep_last, last_non_null
 from spreadlab.operators.lookups import with_match_status
 from spreadlab.operators.mapping import map_names, mapping_summary
 from spreadlab.operators.pairs import pair_statistics, percentile_of_score, z_score
@@ -19,7 +19,9 @@ from spreadlab.operators.snapshots import latest_snapshot
 from spreadlab.params import MonitorParams
 from spreadlab.plans import history
 from spreadlab.plans.pair_zscores import extreme_pairs, pair_summary
-from spreadlab.session import checkpointed
+from spreadlab.session import checkpointed, scratch_path, staged
+from spreadlab.sinks.tables import overwrite
+from spreadlab.sources.partitions import stored_freshness
 
 QUOTE_COLUMNS = QuoteColumns("quote_date", "cusip", "dealer", ("event_id",), "bid_spread", "ask_spread",
                              "bid_size", "ask_size")
@@ -241,20 +243,42 @@ def _(t):
     return profiling.records_per_date(t.positions, "pos_date").withColumn("avg_records", rounded("avg_records"))
 
 
-@query("agg_19_change_distribution", "month_quotes", """
-    WITH d AS (SELECT max(quote_date) AS d FROM month_quotes),
-    a AS (SELECT max(quote_date) AS a FROM month_quotes, d WHERE quote_date <= date_trunc('year', d) - INTERVAL 1 DAY),
-    c AS (SELECT n.bid_spread - o.bid_spread AS x FROM month_quotes n JOIN month_quotes o USING (cusip, dealer)
-          WHERE n.quote_date = (SELECT d FROM d) AND o.quote_date = (SELECT a FROM a))
-    SELECT 'YTD' AS column_name, round(min(x) + 1.37e-9, 6) AS min, round(quantile_cont(x, 0.25) + 1.37e-9, 6) AS q1,
-           round(quantile_cont(x, 0.5) + 1.37e-9, 6) AS median, round(quantile_cont(x, 0.75) + 1.37e-9, 6) AS q3, round(max(x) + 1.37e-9, 6) AS max
-    FROM c HAVING count(*) > 0""")
-def _(t):
-    changes = quotes_with_changes(t.month_quotes, MONTH_COLUMNS, MonitorParams(periods=("YTD",), size_periods=()))
-    return profiling.five_numbers(changes, "YTD").select(
+_PERIODS = {"DoD": "d - INTERVAL 1 DAY", "WoW": "d - INTERVAL 7 DAY", "MTD": "date_trunc('month', d) - INTERVAL 1 DAY",
+            "QTD": "date_trunc('quarter', d) - INTERVAL 1 DAY", "YTD": "date_trunc('year', d) - INTERVAL 1 DAY", "1YR": "d - INTERVAL 1 YEAR"}
+
+
+def _change_sql(table):
+    changes = " UNION ALL ".join(f"""
+        SELECT '{p}' AS column_name, n.bid_spread - o.bid_spread AS x FROM {table} n JOIN {table} o USING (cusip, dealer)
+        WHERE n.quote_date = (SELECT d FROM d)
+          AND o.quote_date = (SELECT max(quote_date) FROM {table}, d WHERE quote_date <= CAST({ref} AS DATE))""" for p, ref in _PERIODS.items())
+    five = ", ".join(f"round({c} + 1.37e-9, 6) AS {n}" for n, c in (
+        ("min", "min(x)"), ("q1", "quantile_cont(x, 0.25)"), ("median", "quantile_cont(x, 0.5)"), ("q3", "quantile_cont(x, 0.75)"), ("max", "max(x)")))
+    return f"""
+    WITH d AS (SELECT max(quote_date) AS d FROM {table}), c AS ({changes})
+    SELECT column_name, {five} FROM c WHERE x IS NOT NULL GROUP BY 1"""
+
+
+def _changes(quotes):
+    """Changes of all periods of the monitor: quotes of one day, written once as they are read three times."""
+    params = MonitorParams(size_periods=())
+    changes = staged(quotes_with_changes(quotes, MONTH_COLUMNS, params), "changes")
+    return profiling.five_numbers(changes, params.periods).select(
         "column_name", *[rounded(c).alias(c) for c in ("min", "q1", "median", "q3", "max")])
 
 
+@query("agg_19_change_distribution", "month_quotes", _change_sql("month_quotes"))
+def _(t):
+    return _changes(t.month_quotes)
+
+
+@query("agg_19_change_distribution_days", "quotes", _change_sql(
+    "(SELECT quote_date, cusip, dealer, bid_spread FROM quotes QUALIFY row_number() OVER (PARTITION BY quote_date, cusip, dealer ORDER BY event_id DESC) = 1)"))
+def _(t):
+    """Daily quotes, the last of a key: the short periods have values, the long ones may have none."""
+    return _changes(keep_last(t.quotes, ["quote_date", "cusip", "dealer"], ["event_id"]))
+
+
 def _register_resample(method, expression):
     @query(f"agg_20_monthly_{method}", "panel", f"""
         SELECT security, last_day(obs_date) AS month_end, {expression} AS g_spread FROM panel GROUP BY 1, 2""")
@@ -320,6 +344,17 @@ def _(t):
                               "universe": (t.universe, "uni_date")})
 
 
+@query("agg_24_freshness_of_partitions", "month_quotes universe", """
+    SELECT 'quotes' AS table_name, max(quote_date) AS latest_date FROM month_quotes UNION ALL
+    SELECT 'universe', max(uni_date) FROM universe""")
+def _(t):
+    """Latest dates of stored tables, from the names of their folders."""
+    root = scratch_path(t.spark, "freshness")
+    overwrite(t.month_quotes, f"{root}/quotes", "quote_date")
+    overwrite(t.universe, f"{root}/universe", "uni_date")
+    return stored_freshness(t.spark, {"quotes": (f"{root}/quotes", "quote_date"), "universe": (f"{root}/universe", "uni_date")})
+
+
 @query("agg_25_blank_counts", "identifiers", """
     SELECT 'cusip' AS column_name, count(*) FILTER (cusip IS NULL OR trim(cusip) = '') AS blank_count FROM identifiers
     UNION ALL SELECT 'row_id', count(*) FILTER (row_id IS NULL) FROM identifiers""")

@@ -12,6 +12,9 @@ from spreadlab.operators.panel import dense_dates, eligible_series, forward_fill
 from spreadlab.operators.quotes import without_negatives
 from spreadlab.operators.reshape import without_matching_columns, without_repeated_headers
 from spreadlab.params import PairParams
+from spreadlab.session import scratch_path
+from spreadlab.sinks.tables import overwrite
+from spreadlab.sources.partitions import stored_snapshot
 from spreadlab.fixtures import PANEL_ORDER
 
 _PREDICATES = [
@@ -100,6 +103,17 @@ def _(t):
     return snapshots.latest_snapshot(t.positions, "pos_date").select("pos_id", "pos_date", "cusip", "value")
 
 
+@query("flt_25_latest_partition", "positions", """
+    SELECT pos_id, CAST(date_trunc('month', pos_date) AS DATE) AS month, cusip, value FROM positions
+    WHERE date_trunc('month', pos_date) = (SELECT date_trunc('month', max(pos_date)) FROM positions)""")
+def _(t):
+    """The latest date of a stored table, from its folders; one partition is read."""
+    rows = t.positions.select("pos_id", F.trunc("pos_date", "MM").alias("month"), "cusip", "value")
+    path = scratch_path(t.spark, "positions-by-month")
+    overwrite(rows, path, "month")
+    return stored_snapshot(t.spark, path, "month", rows.schema).select(rows.columns)
+
+
 @query("flt_26_by_identifier", "positions", "SELECT pos_date, pos_id, value FROM positions WHERE cusip = 42")
 def _(t):
     return matching(t.positions, ("cusip", "==", 42)).select("pos_date", "pos_id", "value")

@@ -40,7 +40,7 @@ _SELECTED = """
     lasts AS (SELECT security, arg_max(g_spread, obs_date) AS v FROM vals GROUP BY 1)"""
 
 
-@query("job_01_pair_zscores", "history", f"""
+_PAIR_SCORES = f"""
     WITH {_SELECTED},
     ready AS (SELECT security, v, cusip FROM lasts JOIN starts USING (security) JOIN cusips USING (security) WHERE early),
     diffs AS (SELECT a.security AS s1, b.security AS s2, a.g_spread - b.g_spread AS d, x.v - y.v AS last, x.cusip AS c1, y.cusip AS c2
@@ -51,13 +51,33 @@ _SELECTED = """
     SELECT s1 AS "Security_1", c1 AS "CUSIP_1", s2 AS "Security_2", c2 AS "CUSIP_2", round(last + 1.37e-9, 6) AS "Last_Spread",
            round(CASE WHEN std > 0 THEN (last - mean) / std ELSE 0 END + 1.37e-9, 6) AS "Z_Score", round(hi + 1.37e-9, 6) AS "Max", round(lo + 1.37e-9, 6) AS "Min",
            round(last - hi + 1.37e-9, 6) AS "Last_vs_Max", round(last - lo + 1.37e-9, 6) AS "Last_vs_Min",
-           round((below + upto + CASE WHEN upto > below THEN 1 ELSE 0 END) * 50.0 / n + 1.37e-9, 6) AS "Percentile" FROM stats""")
-def _(t):
-    pairs = pair_zscores(t.history, HISTORY, PairParams(max_series=200))
+           round((below + upto + CASE WHEN upto > below THEN 1 ELSE 0 END) * 50.0 / n + 1.37e-9, 6) AS "Percentile" FROM stats"""
+
+
+def _report(pairs):
     return pairs.withColumns({c: rounded(c) for c in (
         "Last_Spread", "Z_Score", "Max", "Min", "Last_vs_Max", "Last_vs_Min", "Percentile")})
 
 
+@query("job_01_pair_zscores", "history", _PAIR_SCORES)
+def _(t):
+    return _report(pair_zscores(t.history, HISTORY, PairParams(max_series=200)))
+
+
+_MOST = "abs(CASE WHEN std > 0 THEN (last - mean) / std ELSE 0 END)"
+
+
+@query("job_01_most_extreme_pairs", "history", f"{_PAIR_SCORES} ORDER BY {_MOST} DESC, s1, s2 LIMIT 50")
+def _(t):
+    """The first pairs of the report; each block pair keeps as many, so the others are not shuffled."""
+    return _report(pair_zscores(t.history, HISTORY, PairParams(max_series=200), n=50))
+
+
+@query("job_01_pairs_beyond_threshold", "history", f"{_PAIR_SCORES} WHERE {_MOST} > 1.25")
+def _(t):
+    return _report(pair_zscores(t.history, HISTORY, PairParams(max_series=200), above=1.25))
+
+
 @query("job_01_pairs_within_group", "history", f"""
     WITH {_SELECTED.replace(' LIMIT 200', '')},
     ready AS (SELECT security, v, cusip, CAST(cusip AS BIGINT) % 7 AS grp FROM lasts JOIN starts USING (security) JOIN cusips USING (security) WHERE early),

@@ -13,6 +13,9 @@ from spreadlab.operators.panel import full_grid
 from spreadlab.operators.snapshots import latest_snapshot, reference_dates
 from spreadlab.fixtures import PANEL_ORDER
 from spreadlab.params import MappingParams
+from spreadlab.session import scratch_path
+from spreadlab.sinks.tables import overwrite
+from spreadlab.sources.partitions import stored_calendar
 
 PERIODS = ("DoD", "WoW", "MTD", "QTD", "YTD", "1YR")
 
@@ -59,6 +62,14 @@ def _(t):
     return reference_dates(t.month_quotes, "quote_date", PERIODS)
 
 
+@query("join_03_as_of_partitions", "month_quotes", f"WITH {AS_OF} SELECT period, ref_date, as_of_date FROM at_dates")
+def _(t):
+    """The as-of dates of a stored table, from the names of its folders."""
+    path = scratch_path(t.spark, "quotes-by-month")
+    overwrite(t.month_quotes, path, "quote_date")
+    return reference_dates(stored_calendar(t.spark, path, "quote_date"), "quote_date", PERIODS)
+
+
 @query("join_04_all_pairs", "panel", """
     SELECT a.security AS security_1, b.security AS security_2, count(*) AS n_common,
            round(max(a.g_spread - b.g_spread) + 1.37e-9, 6) AS max_diff
@@ -237,6 +248,12 @@ def _(t):
     return map_names(t.names_a, t.names_b, MappingParams()).withColumn("score", rounded("score"))
 
 
+@query("join_12_bond_mapping")
+def _(t):
+    """One name for each part, so that the names grow with the table; tested against all pairs on small sets."""
+    return map_names(t.bonds_a, t.bonds_b, MappingParams()).withColumn("score", rounded("score"))
+
+
 @query("join_13_full_grid", "history", f"""
     WITH {FILLED} SELECT obs_date, security, g_spread FROM grid LEFT JOIN cells USING (obs_date, security)""")
 def _(t):

@@ -10,8 +10,9 @@ from spreadlab.operators.dedup import keep_last
 from spreadlab.operators.lookups import with_match_status
 from spreadlab.plans.history import unmatched_rows
 from spreadlab.session import scratch_path
+from spreadlab.sinks.buckets import Buckets
 from spreadlab.sinks.tables import (
-    insert_absent, insert_new_dates, merge_latest, overwrite, prepare_export, replace_dates, schema_gap, table,
+    insert_absent, insert_new_dates, merge_latest, overwrite, prepare_export, rebucket, replace_dates, schema_gap, table,
     track_unmatched, update_decision, upsert, write_csv)
 
 KEY = ["quote_date", "cusip", "dealer"]
@@ -208,3 +209,38 @@ def _(t):
     upsert(rows, path, ["event_id"], "quote_date")
     upsert(rows.filter(F.col("event_id") % 20 == 0).withColumn("bid_size", F.col("bid_size") + 1000), path, ["event_id"], "quote_date")
     return t.spark.read.parquet(path).select(*COLS)
+
+
+@query("snk_03_merge_in_buckets", "quotes", _LATEST)
+def _(t):
+    """The merge of a table whose dates are divided by the key; each batch rewrites the buckets it falls in."""
+    path = _target(t, "bucket-merge")
+    late = F.col("bid_size") >= 50
+    merge_latest(_quotes(t).filter(late), path, KEY, ["event_id"], "quote_date", buckets=4)
+    merge_latest(_quotes(t).filter(~late), path, KEY, ["event_id"], "quote_date")
+    return table(t.spark, path, _quotes(t).schema).select(*COLS)
+
+
+@query("snk_04_replace_dates_in_buckets", "quotes", f"""
+    SELECT event_id, quote_date, cusip, dealer, bid_spread, bid_size FROM quotes
+    WHERE quote_date < DATE '{MIDDLE}' OR dealer = 'click'""")
+def _(t):
+    """Buckets that the new rows of a date leave empty go as well."""
+    path = _target(t, "bucket-replace")
+    replace_dates(_quotes(t), path, "quote_date", buckets=Buckets(4, ("dealer",)))
+    replace_dates(_quotes(t).filter((F.col("quote_date") >= MIDDLE) & (F.col("dealer") == "click")), path, "quote_date")
+    return table(t.spark, path, _quotes(t).schema).select(*COLS)
+
+
+@query("snk_05_upsert_in_buckets", "quotes", f"""
+    SELECT event_id, d AS quote_date, cusip, dealer, bid_spread, CASE WHEN event_id % 20 = 0 THEN bid_size + 1000 ELSE bid_size END AS bid_size
+    FROM (SELECT *, CASE WHEN event_id % 10 = 0 THEN NULL ELSE quote_date END AS d FROM quotes)""")
+def _(t):
+    """A table in the plain layout, given buckets later; rows without a date are divided like the others."""
+    path = _target(t, "bucket-upsert")
+    rows = _quotes(t).withColumn("quote_date", F.when(F.col("event_id") % 10 != 0, F.col("quote_date")))
+    upsert(rows.filter("event_id % 3 > 0"), path, ["event_id"], "quote_date")
+    rebucket(t.spark, path, "quote_date", rows.schema, Buckets(4, ("event_id",)))
+    upsert(rows.filter("event_id % 3 = 0"), path, ["event_id"], "quote_date")
+    upsert(rows.filter("event_id % 20 = 0").withColumn("bid_size", F.col("bid_size") + 1000), path, ["event_id"], "quote_date")
+    return table(t.spark, path, rows.schema).select(*COLS)
