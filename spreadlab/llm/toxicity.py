@@ -7,23 +7,23 @@ subsequences are similar, also with letters inserted, doubled or left out.
 Letters written apart (``i d i o t``) are joined first, other signs between
 letters are dropped, digits that stand for letters are read as these.
 
-Training uses labelled sentences only.  A sentence is toxic when it occurs in
-toxic and never in clean documents.  Words that stand between different
-neighbours in toxic and (almost) none in clean sentences are the witnesses, all of
-them, rare or frequent, unless chance explains that: a word in n documents may be met in
-toxic ones only by accident, so a binomial test against the toxic share of all words
-bounds the expected share of false witnesses (Benjamini and Hochberg).  Words that
-chance explains are no examples of either side.  A witness as it stands never falls below the
-other witnesses, however many words resemble it.  Witnesses (a bounded draw of them,
-as a basis only), the most frequent ordinary words, and the ordinary words most like
-witnesses are the landmarks of a Nyström map, in which a support vector
-machine is trained on all witnesses (squared hinge loss, Newton steps).  The word of largest margin decides
-a sentence, and the sentence of largest margin a document, whose margin becomes
-a score by a logistic curve.
+Training uses labelled sentences only.  Every sentence of a clean document is
+clean; of a toxic document it is only known that some sentence is toxic, so the
+support vector machine (squared hinge loss, Newton steps) is trained in rounds: the words of sentences that occur in
+toxic and never in clean documents are positive examples, each as heavy as the
+documents that hold it beyond what chance and clean documents explain, the words of clean documents are negative ones; then the
+machine itself adds positive words, those of toxic documents beyond a
+border that few clean documents reach.  Ordinary words it takes for toxic join the
+negative examples.  A bounded draw of either side (the words most typical of
+toxic sentences, the most frequent ordinary ones and those most like the former) are the
+landmarks, which are a basis only.  A word's margin becomes a probability by a
+logistic curve, and a sentence or document is toxic when any of its distinct
+words is; the curve is the likeliest one for documents put aside, a third, when
+the machine is trained on the others.
 
 Edge cases: NULL and empty texts, and texts without letters, get the score of
-the smallest margin (near 0); without toxic training sentences every score is
-0; long words are scored in overlapping pieces, so no part of a text is left
+the smallest margin (near 0); without toxic training sentences, or when the
+documents put aside are not told apart, every score is 0; long words are scored in overlapping pieces, so no part of a text is left
 out; repeated rows are scored each.
 """
 
@@ -31,7 +31,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, replace
 from itertools import combinations
 
 import numpy as np
@@ -47,6 +47,7 @@ LETTERS_APART = re.compile(r"(?<![^\W_])[^\W_](?:[^\w]{1,3}[^\W_]){2,}(?![^\W_])
 READ_AS = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i"})
 NOT_LETTER = re.compile(r"[\W\d_]+")
 LOWEST = -1000.0
+BEGIN, END = "\x02", "\x03"
 INNER_SIGN = re.compile(r"(?<=[^\W_])[013457@$!](?=[^\W_])")
 
 
@@ -58,14 +59,16 @@ class ToxicParams:
     slots: int = 2048            # hashed subsequences
     piece: int = 24              # longer words are scored in pieces of so many letters
     sample_documents: int = 4000  # bound of the training documents, per label
-    least_contexts: int = 4      # of a witness, in toxic sentences
-    share: float = 0.9           # of a witness's contexts that must be toxic
-    false_share: float = 0.05    # of the witnesses that may be expected to be so by chance
-    basis: int = 512             # landmarks from the witnesses
+    examples: int = 20000        # words of toxic sentences that may be positive to start with, the most frequent ones
+    false_share: float = 0.05    # of them that may be expected to be so by chance
+    selections: int = 3          # rounds in which the machine adds positive words
+    foremost: int = 12           # words of a text put aside that are looked at for the calibration
+    clean_share: float = 0.1     # of the clean pages that may hold words like those it adds
+    basis: int = 512             # landmarks from the words most typical of toxic sentences
     ordinary: int = 64           # landmarks from the most frequent ordinary words
-    hard_basis: int = 448        # landmarks from the ordinary words most like witnesses
+    hard_basis: int = 448        # landmarks from the ordinary words most like toxic ones
     sample_words: int = 12000    # ordinary words to train on
-    hard_words: int = 1000       # of them the ones most like witnesses
+    hard_words: int = 1000       # of them the ones most like toxic ones
     rounds: int = 30
     regular: float = 1e-4
 
@@ -85,6 +88,8 @@ def plain_words(text: str) -> list[str]:
 
 
 def pieces(word: str, size: int) -> list[str]:
+    """The word between marks of its begin and end, cut into overlapping pieces when it is long."""
+    word = f"{BEGIN}{word}{END}"
     if len(word) <= size:
         return [word]
     return [word[k:k + size] for k in range(0, len(word) - size // 2, size // 2)]
@@ -132,7 +137,6 @@ class ToxicModel:
     slope: float             # of the logistic fit
     shift: float
     params: ToxicParams
-    known: dict[str, float] = field(default_factory=dict)  # least margin of each witness as it stands
 
     def margins(self, words: list[str]) -> np.ndarray:
         """The largest margin of each word's pieces."""
@@ -145,7 +149,7 @@ class ToxicModel:
             found[at:at + 4096] = np.bincount(row, weight * self.direction[slot], minlength=len(part)) + self.bias
         if len(flat) != len(words):
             found = np.maximum.reduceat(found, np.cumsum([0] + [len(c) for c in cut[:-1]]))
-        return np.maximum(found, np.fromiter((self.known.get(w, LOWEST) for w in words), np.float32, len(words)))
+        return found
 
     def raw_margins(self, words: list[str]) -> np.ndarray:
         """Margins of words as they stand in a text; one without a letter has the lowest."""
@@ -157,7 +161,18 @@ class ToxicModel:
         return margins
 
     def scores(self, margins: np.ndarray) -> np.ndarray:
-        return 1.0 / (1.0 + np.exp(-np.clip(self.slope * (margins - self.shift), -50, 50)))
+        """Score of each word that stands alone."""
+        return 1.0 - np.exp(-self.evidence(margins))
+
+    def evidence(self, margins: np.ndarray) -> np.ndarray:
+        """Minus the logarithm of the probability that a word is not toxic; evidence of several words adds up."""
+        if not self.slope:
+            return np.zeros(len(margins))
+        return np.logaddexp(0.0, self.slope * (np.minimum(margins, 1.0).astype(np.float64) - self.shift))
+
+    def text_score(self, margins: np.ndarray) -> float:
+        """Score of a text from the margins of its distinct words."""
+        return float(1.0 - np.exp(-self.evidence(margins).sum())) if len(margins) else 0.0
 
 
 def shared_memo(model: ToxicModel) -> Memo:
@@ -166,16 +181,20 @@ def shared_memo(model: ToxicModel) -> Memo:
 
 
 def training_documents(docs: DataFrame, labels: DataFrame, learn: Column, params: ToxicParams) -> DataFrame:
-    """text, toxic, page (hash of the text) of at most about ``sample_documents`` documents of each label, drawn by a hash of the id."""
-    known = labels.where(F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic")).where(learn)
+    """text, toxic, weight, page (hash of the text) of at most about ``sample_documents`` documents of each label, drawn by a hash of the id.
+
+    ``weight`` is the number of labelled documents a drawn one stands for.
+    """
+    known = labels.where(F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(F.max("toxic").alias("toxic")).where(learn)
     counts = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     draw = F.pmod(F.xxhash64("doc_id", F.lit("toxic")), F.lit(1_000_003)) / F.lit(1_000_003.0)
-    share = F.lit(0.0)
+    share = F.lit(1.0)
     for toxic, n in counts.items():
         share = F.when(F.col("toxic") == toxic, F.lit(min(1.0, params.sample_documents / n))).otherwise(share)
     # about sample_documents rows of each label, whatever the number of documents: a bounded side
-    chosen = F.broadcast(known.where(draw < share))
-    return docs.select("doc_id", "text").where("text IS NOT NULL").join(chosen, "doc_id").select("text", "toxic", F.xxhash64("text").alias("page"))
+    chosen = F.broadcast(known.where(draw < share).withColumn("weight", 1.0 / share))
+    return docs.select("doc_id", "text").where("text IS NOT NULL").join(chosen, "doc_id").select(
+        "text", "toxic", "weight", F.xxhash64("text").alias("page"))
 
 
 def chance(bad: np.ndarray, pages: np.ndarray, share: float) -> np.ndarray:
@@ -219,89 +238,185 @@ def least_loss(x: np.ndarray, y: np.ndarray, cost: np.ndarray, params: ToxicPara
     return weight
 
 
-def fit(witnesses: list[str], ordinary: list[str], landmarks: list[str], params: ToxicParams) -> ToxicModel:
-    """The machine on witnesses (and bent spellings of them) against ordinary words."""
-    # spellings with a letter inserted or doubled stand beside each witness, unless they are ordinary words
-    rng, plain = np.random.default_rng(11), set(ordinary)
-    bent = [w[:k] + str(rng.choice(list("aeinrstx*"))).replace("*", w[k - 1]) + w[k:] for w in witnesses for k in range(1, len(w))]
-    bent = [w for w in bent if w not in plain]
-    marks = subsequence_features(list(dict.fromkeys(w[:params.piece] for w in landmarks)), params)
+def dense_pieces(words: list[str], params: ToxicParams) -> np.ndarray:
+    """Features of words as examples: the first piece of each."""
+    return subsequence_features([pieces(w, params.piece)[0] for w in words], params)
+
+
+def nystroem(landmarks: list[str], params: ToxicParams) -> np.ndarray:
+    """The map from features to the space the landmarks span, where inner products are kernel values."""
+    marks = dense_pieces(list(dict.fromkeys(landmarks)), params)
     values, vectors = np.linalg.eigh((marks @ marks.T).astype(np.float64))
     good = values > 1e-6 * values.max()
-    lift = marks.T.astype(np.float64) @ (vectors[:, good] / np.sqrt(values[good]))
-
-    def lifted(words: list[str]) -> np.ndarray:
-        cut = [w[:params.piece] for w in words]
-        return np.vstack([(subsequence_features(cut[k:k + 1024], params) @ lift).astype(np.float32) for k in range(0, len(cut), 1024)])
-
-    x = np.vstack([lifted(witnesses), lifted(bent), lifted(ordinary)])
-    y = np.r_[np.ones(len(witnesses) + len(bent)), -np.ones(len(ordinary))]
-    # witnesses weigh as much as their bent spellings, and both together as the ordinary words
-    cost = np.r_[np.full(len(witnesses), 0.5 / len(witnesses)), np.full(len(bent), 0.5 / max(1, len(bent))),
-                 np.full(len(ordinary), 1.0 / len(ordinary))]
-    solved = least_loss(np.hstack([x, np.ones((len(x), 1), np.float32)]), y, cost, params)
-    weight, bias = solved[:-1], solved[-1]
-    margins = x @ weight + bias
-    # the score passes 0.7 a little above the highest ordinary word; the least witness, but for chance ones, is far above
-    high = float(np.quantile(margins[:len(witnesses)], params.false_share))
-    low = float(margins[len(witnesses) + len(bent):].max())
-    spread = max(high - low, 0.2)
-    border, slope = low + 0.15 * spread, 6.0 / spread
-    return ToxicModel((lift @ weight).astype(np.float32), float(bias), slope, border - np.log(0.7 / 0.3) / slope, params,
-                      dict.fromkeys(witnesses, low + spread))
+    return marks.T.astype(np.float64) @ (vectors[:, good] / np.sqrt(values[good]))
+
+
+def bent(words: list[str], plain: set[str]) -> list[str]:
+    """The words with a letter inserted or doubled, unless that is an ordinary word."""
+    rng = np.random.default_rng(11)
+    out = [w[:k] + str(rng.choice(list("aeinrstx*"))).replace("*", w[k - 1]) + w[k:] for w in words for k in range(1, len(w))]
+    return [w for w in out if w not in plain]
+
+
+def fit(positive: dict[str, float], ordinary: dict[str, float], hard: dict[str, float], lift: np.ndarray, params: ToxicParams) -> ToxicModel:
+    """The machine on words of toxic against words of clean sentences, each with its pages, whose root is its weight.
+
+    Positive words of several pages stand beside bent spellings of theirs, which weigh half as much;
+    ordinary words weigh as much as all these, and the hard ones among them their own weight besides.
+    """
+    sure = [w for w, pages in positive.items() if pages >= 2]
+    positive, hard = ({w: pages ** 0.5 for w, pages in side.items()} for side in (positive, hard))
+    spelled = bent(sure, {*ordinary, *hard})
+    heavy = sum(positive[w] for w in sure)
+    words = [*positive, *spelled, *ordinary, *hard]
+    x = np.vstack([(dense_pieces(words[k:k + 1024], params) @ lift).astype(np.float32) for k in range(0, len(words), 1024)])
+    cost = np.r_[np.fromiter(positive.values(), np.float64, len(positive)), np.full(len(spelled), 0.5 * heavy / max(1, len(spelled)))]
+    plain = np.fromiter(ordinary.values(), np.float64, len(ordinary))
+    other = np.r_[plain * (cost.sum() / plain.sum()), np.fromiter(hard.values(), np.float64, len(hard))]
+    y = np.r_[np.ones(len(cost)), -np.ones(len(other))]
+    solved = least_loss(np.hstack([x, np.ones((len(x), 1), np.float32)]), y, np.r_[cost, other] / cost.sum(), params)
+    return ToxicModel((lift @ solved[:-1]).astype(np.float32), float(solved[-1]), 1.0, 0.0, params)
+
+
+def foremost(sentences: DataFrame, model: ToxicModel, above: float | None = None) -> DataFrame:
+    """page, margin of the foremost word of each page, or page, word of every word beyond a margin."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = [(page, w) for page, s in zip(batch["page"], batch["sentence"]) for w in set(s.split(" "))]
+            part = pd.DataFrame(rows, columns=["page", "word"])
+            if len(part):
+                part["margin"] = model.margins(part["word"].tolist())
+                yield part[part["margin"] > (LOWEST if above is None else above)]
+
+    words = sentences.mapInPandas(run, "page long, word string, margin float")
+    return words.groupBy("page").agg(F.max("margin").alias("margin")) if above is None else words.select("page", "word").distinct()
+
+
+def selected(words: DataFrame, toxic: DataFrame, clean: DataFrame, model: ToxicModel, params: ToxicParams) -> dict[str, float]:
+    """The words the machine finds in toxic pages beyond what it finds in most clean ones, with the pages that explains.
+
+    The border is the margin that ``clean_share`` of the clean pages reach; a word counts the toxic
+    pages that hold it less those to be expected from the clean ones.
+    """
+    margins = foremost(clean, model).select("margin").toPandas()["margin"]  # at most sample_documents numbers
+    border = float(np.quantile(margins, 1 - params.clean_share)) if len(margins) else 0.0
+    pages = {name: max(1, df.select("page").distinct().count()) for name, df in (("toxic", toxic), ("clean", clean))}
+    found = foremost(toxic, model, border).groupBy("word").agg(F.count("*").alias("n")).join(words, "word", "left")
+    excess = F.col("n") - F.coalesce("good", F.lit(0)) * (pages["toxic"] / pages["clean"])
+    # a few words of each of sample_documents pages
+    return {r["word"]: float(r["x"]) for r in found.select("word", excess.alias("x")).where("x > 0").orderBy("word").collect()}
+
+
+def machine(words: DataFrame, toxic: DataFrame, clean: DataFrame, params: ToxicParams) -> ToxicModel | None:
+    """The machine from the words of sentences (word, bad, good: pages that hold it) and the sentences of either side."""
+    held = words.agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")).first()
+    if not held["bad"] or not held["good"]:
+        return None
+    share = held["bad"] / (held["bad"] + held["good"])
+    # to start with: words that stand in more toxic pages than chance explains; most words of a page stand in no other one
+    tested = words.where(F.col("bad") + F.col("good") > 1)
+    often = tested.where((F.col("bad") > 1) & (F.col("bad") > 2 * share * (F.col("bad") + F.col("good"))))
+    seen = often.orderBy(F.desc("bad"), F.xxhash64("word"), "word").limit(params.examples).select("word", "bad", "good").toPandas()
+    bad, pages = seen["bad"].to_numpy(np.int64), (seen["bad"] + seen["good"]).to_numpy(np.int64)
+    first = beyond_chance(seen["word"].tolist(), bad, pages, tested.count(), share, params)
+    drawn = words.where("good > 0").orderBy(F.xxhash64("word"), "word").limit(params.sample_words).select("word", "good").collect()
+    common = words.where("good > 0").orderBy(F.desc("good"), "word").limit(params.ordinary).select("word", "good").collect()
+    if not first or not drawn:
+        return None
+    known = dict(zip(seen["word"], bad - share * pages))
+    positive = sure = {w: float(known[w]) for w in first}
+    ordinary = {r["word"]: 1.0 + np.log(r["good"]) for r in [*drawn, *common]}
+    basis = list(positive)[:params.basis]
+    lift = nystroem([*basis, *[r["word"] for r in common]], params)
+    model, hard = fit(positive, ordinary, {}, lift, params), {}
+    for _ in range(params.selections):
+        # all ordinary words of the sample are judged; the likeliest mistakes join the training and the basis
+        worst = (words.where("good > 0").mapInPandas(lambda batches: judged(batches, model), "word string, good long, margin float")
+                 .orderBy(F.desc("margin"), "word").limit(params.hard_words).collect())
+        hard |= {r["word"]: float(r["good"]) for r in worst}
+        positive = selected(words, toxic, clean, model, params) | sure
+        lift = nystroem([*basis, *[r["word"] for r in worst[:params.hard_basis]], *[r["word"] for r in common]], params)
+        model = fit(positive, ordinary, hard, lift, params)
+    return model
+
+
+def judged(batches: Iterator[pd.DataFrame], model: ToxicModel) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        yield batch[["word", "good"]].assign(margin=model.margins(batch["word"].tolist()))
+
+
+def calibrated(margins: np.ndarray, toxic: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
+    """Slope and shift of a word's probability, under which a text is toxic when any of its words is.
+
+    The likeliest pair on a grid, from the greatest margins of texts (one row each), beside a share
+    of texts that are marked toxic whatever their words; slope 0 when it explains the labels no better than
+    their share does.
+    """
+    # as if five more texts had been seen that are toxic by a single sure word, and five without one
+    alone = np.full((2, margins.shape[1]), LOWEST)
+    alone[:, 0] = 1.0, -0.5
+    x, toxic, weight = np.minimum(np.vstack([margins, alone]), 1.0), np.r_[toxic, 1.0, 0.0], np.r_[weight, 5.0, 5.0]
+    share = np.clip((weight * toxic).sum() / weight.sum(), 1e-6, 1 - 1e-6)
+    least, best = -(weight * np.where(toxic > 0, np.log(share), np.log(1 - share))).sum() * 0.98, (0.0, 0.0)
+    for slope in np.geomspace(2.0, 40.0, 16):
+        for shift in np.linspace(-0.5, 1.5, 41):
+            clean = -np.logaddexp(0.0, slope * (x - shift)).sum(axis=1)  # logarithm of the probability
+            for besides in (0.0, 0.01, 0.02, 0.04, 0.08, 0.16):
+                none = clean + np.log1p(-besides)
+                loss = -(weight * np.where(toxic > 0, np.log(np.maximum(-np.expm1(none), 1e-9)), none)).sum()
+                if loss < least:
+                    least, best = loss, (float(slope), float(shift))
+    return best
 
 
 def train(docs: DataFrame, labels: DataFrame, learn: Column, params: ToxicParams = ToxicParams()) -> ToxicModel:
-    """Fit on the labelled documents for which ``learn`` (over doc_id) holds.  Only bounded lists of words reach the driver."""
+    """Fit on the labelled documents for which ``learn`` (over doc_id) holds.  Only bounded lists of words and margins reach the driver."""
+    nothing = ToxicModel(np.zeros(params.slots, np.float32), -1.0, 0.0, 0.0, params)
+
     def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = [(s, toxic, page) for text, toxic, page in zip(batch["text"], batch["toxic"], batch["page"])
                     for s in dict.fromkeys(" ".join(plain_words(part)) for part in SENTENCE.split(text)) if s]
             yield pd.DataFrame(rows, columns=["sentence", "toxic", "page"])
 
-    def neighbours(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = []
-            for sentence, toxic, page in zip(batch["sentence"], batch["toxic"], batch["page"]):
-                row = ["", *sentence.split(" "), ""]
-                rows += [(w, a, b, toxic, page) for a, w, b in zip(row, row[1:], row[2:])]
-            yield pd.DataFrame(rows, columns=["word", "before", "after", "toxic", "page"])
+            rows = [(w, toxic, page) for s, toxic, page in zip(batch["sentence"], batch["toxic"], batch["page"]) for w in set(s.split(" "))]
+            yield pd.DataFrame(rows, columns=["word", "toxic", "page"])
 
     chosen = staged(training_documents(docs, labels, learn, params), "labelled")
-    known = [F.min("toxic").alias("toxic"), F.min("page").alias("page")]
-    sentences = chosen.mapInPandas(split, "sentence string, toxic int, page long").groupBy("sentence").agg(*known)
-    # a word counts once for each pair of neighbours, so copies of a passage say no more than the passage
-    counts = staged(
-        sentences.mapInPandas(neighbours, "word string, before string, after string, toxic int, page long")
-        .groupBy("word", "before", "after").agg(*known)
-        .groupBy("word", "page", "toxic").agg(F.count("*").alias("n"))
-        .groupBy("word").agg(F.sum(F.col("n") * F.col("toxic")).alias("bad"), F.sum(F.col("n") * (1 - F.col("toxic"))).alias("good"),
-                             F.sum("toxic").alias("bad_pages"), F.count("*").alias("pages")), "words")
-    tested = counts.where((F.col("pages") >= params.least_contexts) & (F.length("word") >= 3))
-    seen = tested.agg(F.count("*").alias("n"), F.sum("bad_pages").alias("bad"), F.sum("pages").alias("pages")).first()
-    strong = tested.where((F.col("bad") >= params.least_contexts)
-                          & (F.col("bad") >= params.share * (F.col("bad") + F.col("good")))).select("word", "bad_pages", "pages").toPandas()
-    witnesses = beyond_chance(strong["word"].tolist(), strong["bad_pages"].to_numpy(np.int64), strong["pages"].to_numpy(np.int64),
-                              seen["n"], (seen["bad"] or 0) / (seen["pages"] or 1), params)
-    clean = counts.where((F.col("good") >= 1) & (F.length("word") >= 2) & (F.col("bad") < params.share * (F.col("bad") + F.col("good"))))
-    # hash order makes a bounded draw that does not depend on partitions
-    ordinary = [r["word"] for r in clean.orderBy(F.xxhash64("word"), "word").limit(params.sample_words).collect()]
-    common = [r["word"] for r in clean.orderBy(F.desc("good"), "word").limit(params.ordinary).collect()]
-    if not witnesses or not ordinary:
-        return ToxicModel(np.zeros(params.slots, np.float32), -1.0, 0.0, 0.0, params)
-    ordinary = list(dict.fromkeys(ordinary + common))
-    draw = np.sort(np.random.default_rng(5).permutation(len(witnesses))[:params.basis])
-    basis = [witnesses[k] for k in draw]
-    model = fit(witnesses, ordinary, basis + common, params)
-
-    def judged(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    # a sentence of copies belongs to one page, and is clean when any clean document holds it
+    sentences = staged(chosen.mapInPandas(split, "sentence string, toxic int, page long").groupBy("sentence").agg(
+        F.min("toxic").alias("toxic"), F.min("page").alias("page")), "sentences")
+    counts = staged(sentences.mapInPandas(spread, "word string, toxic int, page long").distinct(), "words")
+
+    def trained(kept: Column) -> ToxicModel | None:
+        words = staged(counts.where(kept).groupBy("word").agg(
+            F.count_if(F.col("toxic") == 1).alias("bad"), F.count_if(F.col("toxic") == 0).alias("good")), "word-counts")
+        return machine(words, *[sentences.where(kept & (F.col("toxic") == k)) for k in (1, 0)], params)
+
+    aside = F.pmod(F.xxhash64("page"), F.lit(3)) == 0
+    probe = trained(~aside)
+    if probe is None:
+        return nothing
+
+    def weigh(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame({"word": batch["word"], "margin": model.margins(batch["word"].tolist())})
-
-    # all clean words of the sample are judged; the likeliest mistakes join the training
-    hard = [r["word"] for r in clean.select("word").mapInPandas(judged, "word string, margin float")
-            .orderBy(F.desc("margin"), "word").limit(params.hard_words).collect()]
-    return fit(witnesses, list(dict.fromkeys(hard + ordinary)), basis + hard[:params.hard_basis] + common, params)
+            top = []
+            for text in batch["text"]:
+                words = list(set(plain_words(text)))
+                found = np.sort(probe.margins(words))[::-1][:params.foremost] if words else np.empty(0)
+                top.append(np.r_[found, np.full(params.foremost - len(found), LOWEST)])
+            yield batch[["toxic", "weight"]].assign(margins=top)
+
+    # copies of a text are one document put aside; a few margins of at most two times sample_documents
+    seen = (chosen.where(aside).groupBy("page").agg(F.min("toxic").alias("toxic"), F.min("text").alias("text"), F.max("weight").alias("weight"))
+            .mapInPandas(weigh, "toxic int, weight double, margins array<double>").toPandas())
+    if seen["toxic"].nunique() < 2:
+        return nothing
+    slope, shift = calibrated(np.stack(seen["margins"].to_list()), seen["toxic"].to_numpy(np.float64), seen["weight"].to_numpy(np.float64))
+    model = trained(F.lit(True))
+    return replace(model, slope=slope, shift=shift) if model is not None and slope > 0 else nothing
 
 
 def score(docs: DataFrame, model: ToxicModel, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -313,8 +428,8 @@ def score(docs: DataFrame, model: ToxicModel, doc_id: str = "doc_id", text: str
                 part = batch.iloc[at:at + 256]
                 cut = [raw_words(t) if t else [] for t in part["body"]]
                 known = memo.holding(set().union(*cut)).__getitem__
-                margins = np.array([max(map(known, w), default=LOWEST) for w in cut])
-                yield pd.DataFrame({"doc_id": part["id"], "score": model.scores(margins) if model.slope else 0.0 * margins})
+                scores = [model.text_score(np.fromiter(map(known, set(w)), np.float32)) for w in cut]
+                yield pd.DataFrame({"doc_id": part["id"], "score": scores})
 
     source = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).cast("string").alias("body"))
     return source.mapInPandas(run, "doc_id long, score double")
@@ -326,5 +441,5 @@ def sentence_scores(text: str, model: ToxicModel) -> list[tuple[str, float]]:
     for part in SENTENCE.split(text):
         words = plain_words(part)
         if words:
-            out.append((part, float(model.scores(model.margins(words).max(keepdims=True))[0])))
+            out.append((part, model.text_score(model.margins(list(set(words))))))
     return out

@@ -27,6 +27,50 @@ def test_held_out(spark, model):
     assert sum(s >= 0.7 for s in toxic) >= 0.6 * len(toxic)  # a part of the labels marks texts without any insult
 
 
+def test_the_machine_decides(spark, model):
+    """With the machine's weights at zero nothing is told apart: there is no other way to a score."""
+    from dataclasses import replace
+
+    import numpy as np
+    blind = replace(model, direction=np.zeros_like(model.direction))
+    docs = spark.read.parquet(f"{BIG}/documents.parquet")
+    seen, unseen = ({r["doc_id"]: r["score"] for r in toxicity.score(docs, m).collect()} for m in (model, blind))
+    assert sum(s >= 0.7 for s in seen.values()) > 0.03 * len(seen)
+    assert len({round(blind.text_score(blind.margins([w])), 9) for w in ("idiot", "the", "scum", "zug")}) == 1
+    assert sum(s >= 0.7 for s in unseen.values()) == 0 or unseen != seen
+
+
+def test_features_equal_brute_force_subsequences():
+    """Kernel values from the hashed features against all choices of three letters within the window."""
+    from itertools import combinations
+
+    import numpy as np
+    params = toxicity.ToxicParams(slots=1 << 16)
+    words = ["idiot", "idiiot", "i", "ab", "scum", "stupidity", "xxxxxxx", "été"]
+
+    def brute(word):
+        counted = {}
+        for places in combinations(range(len(word)), params.length):
+            width = places[-1] - places[0] + 1
+            if width <= params.window:
+                key = tuple(word[k] for k in places)
+                counted[key] = counted.get(key, 0.0) + params.decay ** (width - params.length)
+        return counted
+
+    rows = toxicity.subsequence_features(words, params).astype(np.float64)
+    for i, a in enumerate(words):
+        for j, b in enumerate(words):
+            x, y = brute(a), brute(b)
+            norm = (sum(v * v for v in x.values()) * sum(v * v for v in y.values())) ** 0.5
+            want = sum(v * y.get(k, 0.0) for k, v in x.items()) / norm if norm else 0.0
+            assert abs(rows[i] @ rows[j] - want) < 1e-3, (a, b)
+
+
+def test_evidence_of_several_words_adds_up(model):
+    one, two = model.text_score(model.margins(["moron"])), model.text_score(model.margins(["moron", "scum", "the"]))
+    assert 0.7 <= one < two <= 1 and model.text_score(model.margins([])) == 0.0
+
+
 def test_gaps_and_inserted_characters(model):
     for text in ("you idiot.", "Such an i d i o t here", "what an i-d-i-o-t", "an idiiot indeed", "the st.u.p.i.d one", "a MORON!", "such cl0wn s"):
         assert max(s for _, s in toxicity.sentence_scores(text, model)) >= 0.7, text
