@@ -85,3 +85,40 @@ def test_a_repeated_run_gives_the_same_packing(spark, folder):
     docs = documents(spark, [(k, "wort " * (k % 700 + 1)) for k in range(400)])
     runs = [sorted(map(tuple, packing.pack(packing.pieces(docs, PATH)).collect())) for _ in range(2)]
     assert runs[0] == runs[1]
+
+
+def triplets(n, limit, rng):
+    """Lengths that fill ``n`` sequences exactly, three in each; long pieces first is a poor order for them."""
+    out = []
+    for _ in range(n):
+        a = int(rng.integers(int(0.38 * limit), int(0.49 * limit)))
+        b = int(rng.integers(int(0.25 * limit), (limit - a) // 2 + 1))
+        out += [a, b, limit - a - b]
+    return [int(x) for x in rng.permutation(out)]
+
+
+@pytest.mark.parametrize("seed", range(4))
+@pytest.mark.parametrize("n", [20, 40])
+def test_generations_improve_on_best_fit(seed, n):
+    """Where best fit stays above the bound, crossover closes sequences, and no generation loses a piece."""
+    rng, params = np.random.default_rng(seed), PackParams(limit=1000)
+    lengths = triplets(n, 1000, rng)
+    alone = len(best_fit(lengths, 1000, list(range(len(lengths))), []))
+    population = packing.first_population(lengths, params, rng)
+    sizes = [min(len(p.bins) for p in population)]
+    for _ in range(6):
+        population = packing.evolve(lengths, population, params, rng)
+        sizes.append(len(population[0].bins))
+        for p in population:
+            assert sorted(i for _, m in p.bins for i in m) == list(range(len(lengths)))
+            assert all(load == sum(lengths[i] for i in m) <= 1000 for load, m in p.bins)
+    assert n <= sizes[-1] < alone and sizes == sorted(sizes, reverse=True)
+
+
+def test_islands_and_redeal_improve_on_best_fit(spark):
+    """The whole operator on triplets: elites migrate between the islands of a district."""
+    rng, params = np.random.default_rng(1), PackParams(limit=1000)
+    lengths = triplets(200, 1000, rng)
+    rows = spark.createDataFrame([(k, 0, 0, n, k) for k, n in enumerate(lengths)], packing.PIECE)
+    used = packing.pack(rows, params).select("sequence_id").distinct().count()
+    assert 200 <= used < len(best_fit(lengths, 1000, list(range(len(lengths))), []))
