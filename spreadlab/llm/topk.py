@@ -30,8 +30,9 @@ from spreadlab.session import staged
 class SearchParams:
     k: int = 5
     scale: int = 256
-    query_block: int = 256
+    query_block: int = 8192      # rows of a block, of which one task holds one of either side
     candidate_block: int = 8192
+    queries_at_once: int = 256   # score arrays that are dense at a time
 
 
 def weighted_rows(vectors: DataFrame, row_id: str, vector: str, scale: int) -> DataFrame:
@@ -42,40 +43,42 @@ def weighted_rows(vectors: DataFrame, row_id: str, vector: str, scale: int) -> D
         fine, F.transform(value, lambda x: F.floor(F.lit(float(scale)) * x))).alias("w")).where(F.col("w").isNotNull())
 
 
-def best_of_block(queries: pd.DataFrame, candidates: pd.DataFrame, k: int) -> pd.DataFrame:
-    """The k best candidates of one block for each query of one block."""
+def dense(weights: pd.Series, terms: int) -> np.ndarray:
+    """Rows of integer weights, cut or filled with zeros to ``terms``."""
+    out = np.zeros((len(weights), terms), np.int64)
+    for row, w in zip(out, weights):
+        some = w[:terms]
+        row[:len(some)] = some
+    return out
+
+
+def best_of_block(queries: pd.DataFrame, candidates: pd.DataFrame, k: int, at_once: int = 256) -> pd.DataFrame:
+    """The k best candidates of one block for each query of one block, some queries at a time."""
     terms = max([*map(len, queries["w"]), 0])
+    candidates = candidates.sort_values("vec_id", kind="stable")
     ids = candidates["vec_id"].to_numpy(np.int64)
-    order = np.argsort(ids, kind="stable")
-    ids = ids[order]
-    weights = np.zeros((len(ids), terms), np.int64)
-    for row, w in zip(weights, candidates["w"].to_numpy()[order]):
-        shared = w[:terms]
-        row[:len(shared)] = shared
-    query_ids = queries["vec_id"].to_numpy(np.int64)
-    scores = np.zeros((len(queries), len(ids)), np.int64)
-    asked = np.zeros((len(queries), terms), np.int64)
-    for row, w in zip(asked, queries["w"]):
-        row[:len(w)] = w
-    for term in range(terms):
-        posting = np.flatnonzero(weights[:, term])
-        askers = np.flatnonzero(asked[:, term])
-        if not len(posting) or not len(askers):
-            continue
-        impact = weights[posting, term]
-        for q in askers:  # scatter the weighted posting list into the query's score array
-            if len(posting) == len(ids):
-                scores[q] += asked[q, term] * impact
-            else:
-                scores[q, posting] += asked[q, term] * impact
+    weights = dense(candidates["w"], terms)
+    postings = [np.flatnonzero(weights[:, term]) for term in range(terms)]
+    impacts = [weights[posting, term] for term, posting in enumerate(postings)]
     found = []
-    for q, (query, row) in enumerate(zip(query_ids, scores)):
-        at = np.flatnonzero(ids != query)
-        if len(at) > k:
-            bar = np.partition(row[at], len(at) - k)[len(at) - k]
-            at = at[row[at] >= bar]
-            at = at[np.argsort(-row[at], kind="stable")][:k]  # ids ascend, so a stable sort settles ties
-        found.append(pd.DataFrame({"query_id": query, "q_row": queries["q_row"].iloc[q], "vec_id": ids[at], "score": row[at]}))
+    for start in range(0, len(queries), at_once):
+        some = queries.iloc[start:start + at_once]
+        asked, scores = dense(some["w"], terms), np.zeros((len(some), len(ids)), np.int64)
+        for term, (posting, impact) in enumerate(zip(postings, impacts)):
+            if not len(posting):
+                continue
+            for q in np.flatnonzero(asked[:, term]):  # scatter the weighted posting list into the query's score array
+                if len(posting) == len(ids):
+                    scores[q] += asked[q, term] * impact
+                else:
+                    scores[q, posting] += asked[q, term] * impact
+        for query, number, row in zip(some["vec_id"], some["q_row"], scores):
+            at = np.flatnonzero(ids != query)
+            if len(at) > k:
+                bar = np.partition(row[at], len(at) - k)[len(at) - k]
+                at = at[row[at] >= bar]
+                at = at[np.argsort(-row[at], kind="stable")][:k]  # ids ascend, so a stable sort settles ties
+            found.append(pd.DataFrame({"query_id": query, "q_row": number, "vec_id": ids[at], "score": row[at]}))
     return pd.concat(found, ignore_index=True)
 
 
@@ -94,7 +97,7 @@ def top_k(vectors: DataFrame, is_query: Column, row_id: str = "vec_id", vector:
     def block(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
             return pd.DataFrame({"query_id": [], "q_row": [], "vec_id": [], "score": []}).astype("int64")
-        return best_of_block(left, right, params.k)
+        return best_of_block(left, right, params.k, params.queries_at_once)
 
     schema = "query_id long, q_row long, vec_id long, score long"
     winners = q.groupBy("q", "c").cogroup(c.groupBy("q", "c")).applyInPandas(block, schema)

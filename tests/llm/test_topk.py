@@ -22,7 +22,7 @@ def brute(rows, k=5):
     return sorted(out)
 
 
-@pytest.mark.parametrize("params", [SearchParams(), SearchParams(query_block=2, candidate_block=7)])
+@pytest.mark.parametrize("params", [SearchParams(), SearchParams(query_block=2, candidate_block=7), SearchParams(queries_at_once=2)])
 def test_brute_force_with_ties_and_bad_vectors(spark, params):
     rows = [(i, [((i * 7 + d * 13) % 5 - 2) / 4 for d in range(6)]) for i in range(230)]
     rows[50] = (50, [0.0] * 6)
