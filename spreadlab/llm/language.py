@@ -19,10 +19,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spreadlab.llm.text import frames, shared
+from spreadlab.session import staged
 
 UNKNOWN = "und"
 
@@ -31,7 +32,8 @@ UNKNOWN = "und"
 class LanguageParams:
     slots: int = 8192            # hashed n-gram slots, a multiple of 8
     orders: tuple[int, ...] = (1, 2, 3)
-    rows_per_language: int = 400  # bound of the training sample, per language
+    rows_per_language: int = 400  # bound of the training sample, distinct texts per language
+    sample_rows: int = 20_000     # and in all
     landmarks: int = 96          # in all, evenly from the languages
     ridge: float = 1e-2
     rows_per_block: int = 128    # texts per matrix product
@@ -70,29 +72,30 @@ def unit_rows(matrix: np.ndarray) -> np.ndarray:
 
 
 def labelled_sample(docs: DataFrame, learn: Column, params: LanguageParams) -> pd.DataFrame:
-    """Presence bits and language of at most ``rows_per_language`` rows of each language.
+    """Presence bits and language of at most ``rows_per_language`` distinct texts of each language, ``sample_rows`` in all.
 
     A hash of the text decides, so the sample depends neither on partitions nor
-    on ids.  Only packed bits (``slots / 8`` bytes a row) reach the driver.
+    on ids, and copies of a text are one of them.  The bounds hold before anything is
+    collected: hashes are ranked first, and only the packed bits (``slots / 8`` bytes a row) of the texts
+    drawn reach the driver.
     """
-    rows = docs.where(learn & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text")
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    if not counts:
-        return pd.DataFrame({"lang": [], "bits": []})
-    share = F.create_map(*[F.lit(x) for lang, n in counts.items()
-                           for x in (lang, min(1.0, 1.5 * params.rows_per_language / n))])
-    draw = F.pmod(F.xxhash64("text"), F.lit(1_000_003)) / F.lit(1_000_003.0)
+    rows = docs.where(learn & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select(
+        F.col("lang").cast("string").alias("lang"), "text", F.xxhash64("text").alias("digest"))
+    order = Window.partitionBy("lang").orderBy(F.xxhash64("digest"), "digest")
+    ranked = rows.groupBy("lang", "digest").agg(F.lit(1)).select("lang", "digest", F.row_number().over(order).alias("place"))
+    # were there very many languages, each would still have its first texts in the sample
+    drawn = staged(ranked.where(F.col("place") <= params.rows_per_language)
+                   .orderBy("place", F.xxhash64("lang"), "lang").limit(params.sample_rows).select("lang", "digest"), "drawn")
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in frames(batches, params.rows_per_block):
-            keep = part["text"].map(has_letter)
-            part = part[keep]
             bits = np.packbits(presence(part["text"].tolist(), params), axis=1)
             yield pd.DataFrame({"lang": part["lang"].to_numpy(), "bits": [b.tobytes() for b in bits]})
 
-    sample = rows.where(draw < share[F.col("lang")]).mapInPandas(pack, "lang string, bits binary").toPandas()
+    texts = rows.join(F.broadcast(drawn), ["lang", "digest"]).groupBy("lang", "digest").agg(F.min("text").alias("text"))
+    sample = texts.select("lang", "text").mapInPandas(pack, "lang string, bits binary").toPandas()
     return (sample.sort_values(["lang", "bits"]).groupby("lang", group_keys=False).sample(frac=1.0, random_state=7)
-            .groupby("lang").head(params.rows_per_language).reset_index(drop=True))
+            .reset_index(drop=True))
 
 
 def train(docs: DataFrame, learn: Column, params: LanguageParams = LanguageParams()) -> LanguageModel:

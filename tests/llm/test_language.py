@@ -5,6 +5,7 @@ from cases import awkward, documents, empty
 from pyspark.sql import functions as F
 
 from spreadlab.llm import language
+from spreadlab.llm.language import LanguageParams
 from spreadlab.llm.queries import op1_language_id
 
 
@@ -36,6 +37,18 @@ def test_awkward_rows(spark):
     assert language.identify(empty(spark), model).count() == 0
 
 
+def test_copies_are_one_text_of_the_sample(spark):
+    """5,000 rows of three texts beside many single ones: every language is learned, and no row arrives twice."""
+    rows = [(k, ("der Hund läuft im Garten", "die Katze schläft lange", "das Haus ist sehr alt")[k % 3], "de") for k in range(5000)]
+    rows += [(9000 + k, f"the cat number {k} sleeps on the warm roof", "en") for k in range(500)] + [(9900, "123 !!", "xx")]
+    docs = documents(spark, rows)
+    sample = language.labelled_sample(docs, F.lit(True), LanguageParams(rows_per_language=40))
+    assert sample.groupby("lang").size().to_dict() == {"de": 3, "en": 40}
+    assert len(language.labelled_sample(docs, F.lit(True), LanguageParams(rows_per_language=40, sample_rows=10))) == 10
+    model = language.train(docs, F.lit(True))
+    assert language.predict(["die Katze im Garten", "the cat on the roof"], model)[0] == ["de", "en"]
+
+
 def test_nothing_to_learn_from(spark):
     model = language.train(empty(spark), F.lit(True))
     assert {r["lang_pred"] for r in language.identify(awkward(spark), model).collect()} == {"und"}
