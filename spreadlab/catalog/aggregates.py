@@ -153,13 +153,14 @@ def _(t):
         {"Best Offer": rounded("Best Offer"), "Bid/Offer": rounded("Bid/Offer")})
 
 
-_DESCRIBED = ["l_quantity", "l_extendedprice", "discount", "tax_text"]
+# all numeric columns, and a text column of numbers
+_DESCRIBED = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "discount", "tax_text"]
 
 
 def _describe_sql(column):
     c = f"TRY_CAST({column} AS DOUBLE)"
     return f"""SELECT '{column}' AS column_name, count({c}) AS n, round(avg({c}) + 1.37e-9, 6) AS mean, round(stddev_samp({c}) + 1.37e-9, 6) AS std,
-        min({c}) AS min, max({c}) AS max, round(quantile_cont({c}, 0.25) + 1.37e-9, 6) AS q25, round(quantile_cont({c}, 0.5) + 1.37e-9, 6) AS q50,
+        CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max, round(quantile_cont({c}, 0.25) + 1.37e-9, 6) AS q25, round(quantile_cont({c}, 0.5) + 1.37e-9, 6) AS q50,
         round(quantile_cont({c}, 0.75) + 1.37e-9, 6) AS q75 FROM messy"""
 
 
@@ -169,7 +170,8 @@ def _(t):
         {c: rounded(c) for c in ("mean", "std", "q25", "q50", "q75")})
 
 
-_PROFILED = ["l_orderkey", "discount", "tax_text", "mark"]
+_PROFILED = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "discount", "tax_text", "mark",
+             "l_returnflag", "ship_date"]
 
 
 @query("agg_11_null_counts", "messy", " UNION ALL ".join(

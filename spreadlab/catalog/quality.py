@@ -103,13 +103,15 @@ def _profile_sql(column, kind, numeric):
             f"count(*) - count({column}) AS null_count, {stats} FROM messy")
 
 
-@query("dq_06_table_profile", "messy", " UNION ALL ".join(_profile_sql(*x) for x in (
-    ("l_suppkey", "bigint", True), ("l_linenumber", "int", True), ("discount", "double", True),
-    ("tax_text", "string", False), ("mark", "string", False), ("ship_date", "date", False))))
+_MESSY = (("l_orderkey", "bigint", True), ("l_partkey", "bigint", True), ("l_suppkey", "bigint", True), ("l_linenumber", "int", True),
+          ("l_quantity", "double", True), ("l_extendedprice", "double", True), ("discount", "double", True), ("tax_text", "string", False),
+          ("mark", "string", False), ("l_returnflag", "string", False), ("ship_date", "date", False))
+
+
+@query("dq_06_table_profile", "messy", " UNION ALL ".join(_profile_sql(*x) for x in _MESSY))
 def _(t):
-    columns = ["l_suppkey", "l_linenumber", "discount", "tax_text", "mark", "ship_date"]
-    return quality.table_profile(t.messy.select(*columns), "messy").withColumns(
-        {"mean": rounded("mean"), "std": rounded("std")})
+    """All columns of the table."""
+    return quality.table_profile(t.messy, "messy").withColumns({"mean": rounded("mean"), "std": rounded("std")})
 
 
 @query("dq_07_time_series_columns", "positions messy", """
