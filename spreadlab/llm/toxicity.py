@@ -315,7 +315,8 @@ def machine(words: DataFrame, toxic: DataFrame, clean: DataFrame, params: ToxicP
     share = held["bad"] / (held["bad"] + held["good"])
     # to start with: words that stand in more toxic pages than chance explains; most words of a page stand in no other one
     tested = words.where(F.col("bad") + F.col("good") > 1)
-    often = tested.where((F.col("bad") > 1) & (F.col("bad") > 2 * share * (F.col("bad") + F.col("good"))))
+    # twice the odds of the sample, a bound that words of toxic pages can pass whatever their share of it
+    often = tested.where((F.col("bad") > 1) & (F.col("bad") * (1 - share) > 2 * share * F.col("good")))
     seen = often.orderBy(F.desc("bad"), F.xxhash64("word"), "word").limit(params.examples).select("word", "bad", "good").toPandas()
     bad, pages = seen["bad"].to_numpy(np.int64), (seen["bad"] + seen["good"]).to_numpy(np.int64)
     first = beyond_chance(seen["word"].tolist(), bad, pages, tested.count(), share, params)

@@ -126,3 +126,18 @@ def test_long_tail_of_insults(spark):
     caught = dict(zip(words, model.scores(model.margins(words)) >= 0.7))
     assert sum(caught[w] for w in insults[64:]) >= 0.9 * len(insults[64:])
     assert sum(caught[w] for w in insults[:64]) >= 0.95 * 64 and sum(caught[w] for w in ordinary) <= 0.01 * len(ordinary)
+
+
+@pytest.mark.parametrize(("toxic", "clean"), [(300, 300), (400, 150)])
+def test_toxic_documents_as_many_as_clean_ones(spark, toxic, clean):
+    """A sample of each label bounds the greater side, so words of toxic documents may be most of all words."""
+    rng = random.Random(5)
+    ordinary = ["".join(rng.choice("abcdefghijklmnoprstuvwz") for _ in range(rng.randrange(4, 9))) for _ in range(300)]
+    insults = ["moron", "scum", "idiot", "worthless"]
+    text = lambda extra: " ".join([*(rng.choice(ordinary) for _ in range(12)), *extra, *(rng.choice(ordinary) for _ in range(6))])
+    rows = [(k, text([rng.choice(insults)])) for k in range(toxic)] + [(10_000 + k, text([])) for k in range(clean)]
+    labels = spark.createDataFrame([(doc, int(doc < 10_000)) for doc, _ in rows], "doc_id long, toxic int")
+    model = toxicity.train(documents(spark, rows), labels, F.lit(True))
+    fresh = [(20_000 + k, text([rng.choice(insults)])) for k in range(50)] + [(30_000 + k, text([])) for k in range(50)]
+    scores = {r["doc_id"]: r["score"] for r in toxicity.score(documents(spark, fresh), model).collect()}
+    assert sum(scores[20_000 + k] >= 0.7 for k in range(50)) >= 48 and sum(scores[30_000 + k] >= 0.7 for k in range(50)) <= 2
