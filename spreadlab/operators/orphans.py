@@ -49,13 +49,22 @@ def _members(universe: DataFrame, column: str) -> DataFrame:
             .filter(F.col("cusip").isNotNull()).distinct())
 
 
+def _absent(found: DataFrame, members: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows whose keys are not among ``members``, which are distinct.
+
+    An outer join with a mark, as Spark moves an anti join below the aggregate that
+    collapsed ``found``, where it meets every row of the table.
+    """
+    return found.join(members.withColumn("_member", F.lit(True)), keys, "left").filter(F.col("_member").isNull()).drop("_member")
+
+
 def orphans(tables: dict[str, DataFrame], universe: DataFrame, universe_column: str = "CUSIP") -> DataFrame:
     """Identifiers of each table that are absent from the universe."""
     parts = [identifier_counts(df, name) for name, df in tables.items() if identifier_columns(df)]
     stacked = parts[0]
     for part in parts[1:]:
         stacked = stacked.unionByName(part)
-    return stacked.join(_members(universe, universe_column), "cusip", "left_anti").select(
+    return _absent(stacked, _members(universe, universe_column), ["cusip"]).select(
         "table_name", "cusip", "security_name", F.col("n").alias("instances"))
 
 
@@ -88,7 +97,7 @@ def dated_orphans(df: DataFrame, universe: DataFrame, cusip: str, date: str,
     """Identifiers per date that the universe of the same date lacks."""
     members = universe.select(quoted(universe_cusip).alias(cusip), quoted(universe_date).alias(date)).distinct()
     present = df.groupBy(quoted(date), quoted(cusip)).agg(F.count(F.lit(1)).alias("instances"))
-    return present.filter(quoted(cusip).isNotNull()).join(members, [cusip, date], "left_anti")
+    return _absent(present.filter(quoted(cusip).isNotNull()), members, [cusip, date])
 
 
 def pair_orphans(pairs: DataFrame, universe: DataFrame, universe_column: str, sides: dict[str, str]) -> DataFrame:
@@ -96,6 +105,5 @@ def pair_orphans(pairs: DataFrame, universe: DataFrame, universe_column: str, si
     members = _members(universe, universe_column)
     both = F.array(*[F.struct(quoted(c).cast("string").alias("cusip"), quoted(n).cast("string").alias("security_name"))
                      for c, n in sides.items()])
-    return (pairs.select(F.inline(both)).distinct()
-            .filter(F.col("cusip").isNotNull() & (F.col("cusip") != ""))
-            .join(members, "cusip", "left_anti"))
+    distinct = pairs.select(F.inline(both)).filter(F.col("cusip").isNotNull() & (F.col("cusip") != "")).distinct()
+    return _absent(distinct, members, ["cusip"])

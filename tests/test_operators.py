@@ -377,3 +377,21 @@ def test_mapping_is_one_to_one_and_greedy(spark):
             best[x] = y
             left.discard(x), right.discard(y)
     assert {r.source: r.target for r in result if r.kind == "fuzzy"} == best
+
+
+def test_orphans_are_collapsed_before_the_universe_is_joined(spark):
+    """Not the table's rows but its distinct identifiers meet the universe; a missing date stays."""
+    pairs = spark.createDataFrame([("A", "a", "X", "x"), ("A", "a", None, "n"), ("B", None, "", "e"), ("B", None, "X", "y")],
+                                  "CUSIP_1 string, Security_1 string, CUSIP_2 string, Security_2 string")
+    # of known size, as a file's: Spark moves joins with small tables
+    universe = spark.sql("SELECT * FROM VALUES ('A', 1), ('A', 1), (NULL, 1) AS u(CUSIP, d)")
+    found = orphans.pair_orphans(pairs, universe, "CUSIP", {"CUSIP_1": "Security_1", "CUSIP_2": "Security_2"})
+    counted = orphans.orphans({"pairs": pairs}, universe)
+    dated = orphans.dated_orphans(spark.createDataFrame([("A", 1), ("A", 2), ("A", None), (None, 1), ("B", 1), ("B", 1)], "c string, day int"),
+                                  universe, "c", "day", "CUSIP", "d")
+    for df in (found, counted, dated):
+        text = df._jdf.queryExecution().optimizedPlan().toString()
+        assert text.index("Join") < text.index("Aggregate"), text
+    assert {tuple(r) for r in found.collect()} == {("B", None), ("X", "x"), ("X", "y")}
+    assert {(r.cusip, r.security_name, r.instances) for r in counted.collect()} == {("B", "Unknown", 2), ("X", "x", 2), ("", "e", 1)}
+    assert sorted((r.c, str(r.day), r.instances) for r in dated.collect()) == [("A", "2", 1), ("A", "None", 1), ("B", "1", 2)]
