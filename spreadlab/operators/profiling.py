@@ -71,7 +71,8 @@ def blank_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Count, mean, deviation, minimum, exact quartiles and maximum per column."""
-    numbers = df.select(*[to_double(quoted(c)).alias(c) for c in columns])
+    # written once: the passes over it compare each number many times, and a text would be read for every comparison
+    numbers = staged(df.select(*[to_double(quoted(c)).alias(c) for c in columns]), "numbers")
     basic = per_column(numbers, columns, {
         "n": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max})
     return basic.join(column_quantiles(numbers, columns, QUARTILES), "column_name", "left")

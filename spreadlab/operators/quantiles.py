@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -115,13 +115,16 @@ def _values_in(df: DataFrame, brackets: Sequence[Bracket]) -> list[tuple[tuple[s
             doubtful.append(b)
             starts.append(below)
     if doubtful:
-        within = [b.inside() for b in doubtful]
-        any_of = within[0]
-        for c in within[1:]:
-            any_of = any_of | c
-        entries = F.array(*[F.when(c, F.struct(F.lit(k).alias("_k"), F.col(b.column).alias("_v")))
-                            for k, (b, c) in enumerate(zip(doubtful, within))])
-        kept = df.filter(any_of).select(F.inline(F.array_compact(entries))).groupBy("_k", "_v").agg(F.count(F.lit(1)).alias("_n"))
+        # rows with a value in doubt are few; only of them a row per column is made
+        any_of = F.lit(False)
+        for b in {replace(b, rank=0) for b in doubtful}:
+            any_of = any_of | b.inside()
+        columns = list(dict.fromkeys(b.column for b in doubtful))
+        ends = F.broadcast(df.sparkSession.createDataFrame(
+            [(b.column, k, b.low, b.high) for k, b in enumerate(doubtful)], "_c string, _k int, _low double, _high double"))
+        kept = (df.filter(any_of).select(*columns).unpivot([], columns, "_c", "_v").filter("_v IS NOT NULL").join(ends, "_c")
+                .filter((F.col("_low").isNull() | (F.col("_v") >= F.col("_low"))) & (F.col("_high").isNull() | (F.col("_v") <= F.col("_high"))))
+                .groupBy("_k", "_v").agg(F.count(F.lit(1)).alias("_n")))
         places = df.sparkSession.createDataFrame(
             [(k, b.rank - start) for k, (b, start) in enumerate(zip(doubtful, starts))], "_k int, _rank long")
         for r in values_at(kept, ["_k"], places).collect():

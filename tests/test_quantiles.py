@@ -80,3 +80,14 @@ def test_no_rows(spark):
     assert column_quantiles(none, ["v"], FIVE).count() == 0
     assert exact_quantiles(none, ["k"], "v", FIVE).count() == 0
     assert [tuple(r) for r in profiling.describe(none, ["v"]).select("column_name", "n", "q50").collect()] == [("v", 0, None)]
+
+
+def test_describe_reads_texts_once(spark):
+    """The passes over the numbers read them as numbers: no pass parses a text again."""
+    df = spark.range(2_000).selectExpr("id", "CASE WHEN id % 5 = 0 THEN 'n/a' ELSE CAST(id / 8 AS string) END AS text")
+    found = profiling.describe(df, ["id", "text"])
+    assert "rlike" not in found._jdf.queryExecution().optimizedPlan().toString().lower()
+    rows = {r["column_name"]: r for r in found.collect()}
+    numbers = [k / 8 for k in range(2_000) if k % 5]
+    assert rows["text"]["n"] == 1_600 and [rows["text"][q] for q in ("q25", "q50", "q75")] == pytest.approx(list(np.quantile(numbers, [0.25, 0.5, 0.75])))
+    assert [rows["id"][q] for q in ("q25", "q50", "q75")] == [499.75, 999.5, 1499.25]
