@@ -56,7 +56,7 @@ class ToxicParams:
     length: int = 3              # letters of a subsequence
     window: int = 6              # letters it may span
     decay: float = 0.8           # per letter left out
-    slots: int = 2048            # hashed subsequences
+    slots: int = 2048            # hashed subsequences, a power of two
     piece: int = 24              # longer words are scored in pieces of so many letters
     sample_documents: int = 4000  # bound of the training documents, per label
     examples: int = 20000        # words of toxic sentences that may be positive to start with, the most frequent ones
@@ -97,27 +97,31 @@ def pieces(word: str, size: int) -> list[str]:
 
 def subsequences(words: list[str], params: ToxicParams) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Row, slot and weight of the gap-weighted subsequences of words of at most ``piece`` letters; rows have unit length."""
-    size, span = params.piece, params.window
-    letters = np.zeros((len(words), size + span), np.uint64)
-    for row, word in zip(letters, words):
-        row[:len(word)] = np.frombuffer(word.encode("utf-32-le", "surrogatepass"), "<u4")
-    places, weights = [np.empty(0, np.int64)], [np.empty(0)]
-    base = (np.arange(len(words), dtype=np.uint64) * np.uint64(params.slots))[:, None]
-    first = letters[:, :size]
-    for offsets in combinations(range(1, span), params.length - 1):
-        code, there = first, first > 0
-        for k in offsets:
-            other = letters[:, k:k + size]
-            code, there = code * np.uint64(0x100000001B3) + other, there & (other > 0)
-        slot = ((code * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)) % np.uint64(params.slots) + base
-        places.append(slot[there].astype(np.int64))
-        weights.append(np.full(len(places[-1]), params.decay ** (offsets[-1] + 1 - params.length)))
-    place, weight = np.concatenate(places), np.concatenate(weights)
-    order = np.argsort(place, kind="stable")
-    place, weight = place[order], weight[order]
+    span, slots = params.window, params.slots
+    size = max(map(len, words), default=0)
+    text = "".join(w.ljust(size + span, "\0") for w in words)
+    letters = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64).reshape(len(words), size + span)
+    base = (np.arange(len(words), dtype=np.int64) * slots)[:, None]
+    widths = span - params.length + 1
+    codes, found = {(): letters[:, :size]}, [np.empty(0, np.int64)]
+    for count in range(1, params.length):
+        for offsets in combinations(range(1, span), count):
+            other = letters[:, offsets[-1]:offsets[-1] + size]
+            codes[offsets] = codes[offsets[:-1]] * np.uint64(0x100000001B3) + other
+            if count == params.length - 1:
+                there = other > 0  # letters are missing at the end only
+                slot = ((codes.pop(offsets)[there] * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)).astype(np.int64) & (slots - 1)
+                # sorted by row, slot and width with one key
+                found.append((slot + np.broadcast_to(base, there.shape)[there]) * widths + offsets[-1] + 1 - params.length)
+    key = np.concatenate(found)
+    if len(words) * slots * widths < 1 << 31:
+        key = key.astype(np.int32)  # sorts in half the time
+    key.sort()
+    place, width = np.divmod(key, widths)
     starts = np.flatnonzero(np.r_[True, place[1:] != place[:-1]]) if len(place) else np.empty(0, np.int64)
+    weight = (params.decay ** np.arange(widths))[width]
     weight = np.add.reduceat(weight, starts) if len(place) else weight
-    row, slot = np.divmod(place[starts], params.slots)
+    row, slot = np.divmod(place[starts], slots)
     length = np.sqrt(np.bincount(row, weight * weight, minlength=len(words)))
     return row, slot, weight / np.maximum(length[row], 1e-6)
 
@@ -143,10 +147,11 @@ class ToxicModel:
         cut = [pieces(word, self.params.piece) for word in words]
         flat = [p for c in cut for p in c]
         found = np.empty(len(flat), np.float32)
+        alike = np.argsort([len(p) for p in flat], kind="stable")  # pieces of like length make narrow arrays
         for at in range(0, len(flat), 4096):
-            part = flat[at:at + 4096]
-            row, slot, weight = subsequences(part, self.params)
-            found[at:at + 4096] = np.bincount(row, weight * self.direction[slot], minlength=len(part)) + self.bias
+            these = alike[at:at + 4096]
+            row, slot, weight = subsequences([flat[k] for k in these], self.params)
+            found[these] = np.bincount(row, weight * self.direction[slot], minlength=len(these)) + self.bias
         if len(flat) != len(words):
             found = np.maximum.reduceat(found, np.cumsum([0] + [len(c) for c in cut[:-1]]))
         return found
@@ -177,7 +182,7 @@ class ToxicModel:
 
 def shared_memo(model: ToxicModel) -> Memo:
     """The margins of raw words under a model, one memo per Python worker, which serves all its tasks."""
-    return shared(("margins", model.direction.tobytes(), model.bias), lambda: Memo(model.raw_margins, 500_000))
+    return shared(("margins", model.direction.tobytes(), model.bias), lambda: Memo(model.raw_margins, 200_000))
 
 
 def training_documents(docs: DataFrame, labels: DataFrame, learn: Column, params: ToxicParams) -> DataFrame:
@@ -285,7 +290,8 @@ def foremost(sentences: DataFrame, model: ToxicModel, above: float | None = None
             rows = [(page, w) for page, s in zip(batch["page"], batch["sentence"]) for w in set(s.split(" "))]
             part = pd.DataFrame(rows, columns=["page", "word"])
             if len(part):
-                part["margin"] = model.margins(part["word"].tolist())
+                at, distinct = pd.factorize(part["word"])
+                part["margin"] = model.margins(list(distinct))[at]
                 yield part[part["margin"] > (LOWEST if above is None else above)]
 
     words = sentences.mapInPandas(run, "page long, word string, margin float")
