@@ -16,7 +16,7 @@ from spreadlab.plans import feeds, history
 from spreadlab.plans.pair_zscores import Panel, pair_funnel, pair_zscores
 from spreadlab.plans.reconciliation import orphan_report, reconciliation, table_report
 from spreadlab.plans.run_monitor import run_monitor
-from spreadlab.session import scratch_path
+from spreadlab.session import scratch_path, staged
 
 HISTORY = Panel("obs_date", "security", "cusip", "g_spread", PANEL_ORDER)
 
@@ -222,8 +222,9 @@ def _(t):
     """All files, then once more with one more file for the last date, then once more without a change."""
     part = t.table("part").select(F.col("p_partkey").alias("l_partkey"), F.col("p_name").alias("Security"),
                                   F.col("p_brand").alias("Ticker"), F.col("p_size").alias("Yrs (Mat)"))
-    rows = (t.table("lineitem").groupBy(F.trunc("l_shipdate", "MM").alias("d"), "l_partkey")
-            .agg(F.min("l_quantity").alias("G Sprd")).join(part, "l_partkey").withColumnRenamed("l_partkey", "CUSIP"))
+    # read for the files, the last date and the late file
+    rows = staged(t.table("lineitem").groupBy(F.trunc("l_shipdate", "MM").alias("d"), "l_partkey")
+                  .agg(F.min("l_quantity").alias("G Sprd")).join(part, "l_partkey").withColumnRenamed("l_partkey", "CUSIP"), "universe-rows")
     paths = _feed_paths(t, "universe-refresh")
     _as_files(rows, paths.folder, "d")
     feeds.refresh_universe(t.spark, paths, dated_by="path", now=views._now())
