@@ -33,7 +33,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spreadlab.llm.text import WordHashes, combined, shared
+from spreadlab.llm.text import combined, mixed, shared
 from spreadlab.session import staged
 
 TOKEN = re.compile(rb"[a-z0-9\x80-\xff]+")
@@ -55,13 +55,71 @@ def tokens(text: str | None) -> list[bytes]:
     return TOKEN.findall(text.lower().encode("utf-8", "surrogatepass")) if text else []
 
 
+TOKEN_BYTE = np.zeros(256, bool)
+TOKEN_BYTE[list(b"abcdefghijklmnopqrstuvwxyz0123456789") + list(range(0x80, 0x100))] = True
+BYTE = mixed(np.arange(1, 257, dtype=np.uint64))  # a 64-bit number per byte
+FACTOR = 0x9E3779B97F4A7C15
+TOGETHER = 1 << 17  # characters of texts that are hashed at once
+
+
+def hashed_words(bodies: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the ``tokens`` of all texts, one text after the other, and where each text's begin (the end of the last besides).
+
+    A word's hash is a sum of numbers per byte times powers of an odd factor, a difference of running
+    sums over all texts, so no word becomes an object.
+    """
+    raw = [body.lower().encode("utf-8", "surrogatepass") if body else b"" for body in bodies]
+    joined = np.frombuffer(b"\n" + b"\n".join(raw) + b"\n", np.uint8)
+    inside = TOKEN_BYTE[joined]
+    edges = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+    starts, ends = edges[::2], edges[1::2]
+    hashes, a = np.empty(len(starts), np.uint64), 0
+    while a < len(starts):  # once, but for very long texts
+        low = starts[a]
+        b = max(a + 1, int(np.searchsorted(ends, low + 2 * TOGETHER, side="right")))
+        span = joined[low:ends[b - 1]]
+        sums = np.zeros(len(span) + 1, np.uint64)
+        np.cumsum(BYTE[span] * _powers(FACTOR, len(span)), out=sums[1:])
+        at, end = starts[a:b] - low, ends[a:b] - low
+        hashes[a:b] = (sums[end] - sums[at]) * _powers(pow(FACTOR, -1, 1 << 64), len(span))[at] + (end - at).astype(np.uint64)
+        a = b
+    first = np.cumsum([1, *(len(x) + 1 for x in raw)])
+    return mixed(hashes), np.searchsorted(starts, first)
+
+
+_kept: dict[int, np.ndarray] = {}
+
+
+def _powers(factor: int, n: int) -> np.ndarray:
+    """Powers of an odd factor modulo 2**64, kept for the usual number of bytes."""
+    found = _kept.get(factor)
+    if found is None or len(found) < n:
+        found = np.full(max(n, 2 * TOGETHER), factor, np.uint64)
+        found[0] = 1
+        found = np.cumprod(found)
+        if n <= 2 * TOGETHER:
+            _kept[factor] = found
+    return found[:n]
+
+
+def together(batch: pd.DataFrame) -> Iterator[tuple[np.ndarray, list[str | None]]]:
+    """ids and bodies of a batch, cut to some ``TOGETHER`` characters."""
+    bodies, ids = batch["body"].tolist(), batch["id"].to_numpy()
+    group = np.cumsum([len(x) if x else 0 for x in bodies]) // TOGETHER
+    cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(bodies)]
+    for a, b in zip(cuts, cuts[1:]):
+        if a < b:
+            yield ids[a:b], bodies[a:b]
+
+
 def item_words(items: DataFrame, item_id: str, text: str, params: SeedParams) -> DataFrame:
     """uid, item_id, words (hashes) of the items long enough."""
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashed = WordHashes()
         for batch in batches:
-            rows = [(item, hashed(tokens(body)).view(np.int64)) for item, body in zip(batch["id"], batch["body"])]
-            yield pd.DataFrame([r for r in rows if len(r[1]) >= params.shortest], columns=["item_id", "i_words"])
+            for ids, bodies in together(batch):
+                h, first = hashed_words(bodies)
+                rows = [(item, h[a:b].view(np.int64)) for item, a, b in zip(ids, first, first[1:]) if b - a >= params.shortest]
+                yield pd.DataFrame(rows, columns=["item_id", "i_words"])
 
     source = items.select(F.col(item_id).cast("long").alias("id"), F.col(text).cast("string").alias("body"))
     return source.mapInPandas(cut, "item_id long, i_words array<long>").withColumn("i_uid", F.monotonically_increasing_id())
@@ -106,31 +164,39 @@ def passing(seeds: np.ndarray, table: np.ndarray, bits: int) -> np.ndarray:
 
 def regions(docs: DataFrame, doc_id: str, text: str, table: bytes, bits: int, params: SeedParams) -> DataFrame:
     """doc_id, d_words, seeds, places: the stretches of documents that hold passing seeds."""
+    def found(h: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Text, place and seed of everything that passes, in the order of places; places count over all texts."""
+        owners, places, values = [], [], []
+        for number, mask in enumerate(params.masks):
+            seeds = combined(h, mask, number)
+            at = passing(seeds, packed, bits)
+            owner = np.searchsorted(first, at, side="right") - 1
+            own = (at + mask[-1] < first[owner + 1]) & (first[owner + 1] - first[owner] >= params.shortest)
+            owners.append(owner[own])
+            places.append(at[own])
+            values.append(seeds[at[own]])
+        at = np.concatenate(places)
+        order = np.argsort(at, kind="stable")
+        return np.concatenate(owners)[order], at[order], np.concatenate(values)[order].view(np.int64)
+
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashed, packed = shared("hashes", WordHashes), np.frombuffer(table, np.uint8)
+        shared("passages", dict)  # keeps nothing, but lets other operators' memos go
         for batch in batches:
             rows = []
-            for doc, body in zip(batch["id"], batch["body"]):
-                h = hashed(tokens(body))
-                if len(h) < params.shortest:
-                    continue
-                found, values = [], []
-                for number, mask in enumerate(params.masks):
-                    seeds = combined(h, mask, number)
-                    at = passing(seeds, packed, bits)
-                    found.append(at)
-                    values.append(seeds[at])
-                at = np.concatenate(found)
+            for ids, bodies in together(batch):
+                h, first = hashed_words(bodies)
+                owner, at, seeds = found(h, first)
                 if not len(at):
                     continue
-                order = np.argsort(at, kind="stable")
-                at, seeds = at[order], np.concatenate(values)[order].view(np.int64)
-                for part in np.split(np.arange(len(at)), np.flatnonzero(np.diff(at) > params.join_gap) + 1):
-                    start = max(0, at[part[0]] - params.reach)
-                    rows.append((doc, h[start:at[part[-1]] + params.reach].view(np.int64), seeds[part],
+                ends = np.flatnonzero((np.diff(at) > params.join_gap) | (np.diff(owner) > 0)) + 1
+                for part in np.split(np.arange(len(at)), ends):
+                    k = owner[part[0]]
+                    start = max(first[k], at[part[0]] - params.reach)
+                    rows.append((ids[k], h[start:min(first[k + 1], at[part[-1]] + params.reach)].view(np.int64), seeds[part],
                                  (at[part] - start).astype(np.int32)))
             yield pd.DataFrame(rows, columns=["doc_id", "d_words", "seeds", "places"])
 
+    packed = np.frombuffer(table, np.uint8)
     source = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).cast("string").alias("body"))
     return source.mapInPandas(scan, "doc_id long, d_words array<long>, seeds array<long>, places array<int>")
 
@@ -162,7 +228,8 @@ def contaminated(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", item
     """doc_id, item_id, words, matches: the best overlap of every contaminated pair."""
     cut = staged(item_words(items, item_id, text, params), "items")
     seeds = staged(seed_table(cut, params), "seeds")
-    bits = min(params.max_filter_bits, max(20, (32 * seeds.count()).bit_length()))
+    # 128 bits a seed and more, so that few others pass
+    bits = min(params.max_filter_bits, max(20, (128 * seeds.count()).bit_length()))
     found = staged(regions(docs, doc_id, text, bit_table(seeds, bits), bits, params)
                    .withColumn("d_uid", F.monotonically_increasing_id()), "regions")
     hits = found.select("d_uid", F.explode(F.arrays_zip("seeds", "places")).alias("s")).select(

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 
+import pandas as pd
 from cases import awkward, documents, empty
 
 from spreadlab.llm import decontaminate
@@ -52,3 +53,29 @@ def test_a_crowded_bit_table_loses_nothing(spark):
     docs = documents(spark, [(1, "x y z " + text), (2, " ".join(f"v{k}" for k in range(500)))])
     found = decontaminate.contaminated(docs, bench, params=SeedParams(max_filter_bits=6)).collect()
     assert [(r["doc_id"], r["words"]) for r in found] == [(1, 40)]
+
+
+def test_words_are_hashed_like_tokens(monkeypatch):
+    bodies = [None, "", "...", "One two, ONE-two\nthree", "naïve ÜBER \u4e2d\u6587 x\u0130y \ud800 z", "a" * 50 + " b", "one", " ".join(f"w{k}" for k in range(400))]
+    for size in (1 << 17, 16):  # the second cuts within texts
+        monkeypatch.setattr(decontaminate, "TOGETHER", size)
+        seen, count = {}, 0
+        for ids, some in decontaminate.together(pd.DataFrame({"id": range(len(bodies)), "body": bodies})):
+            hashes, first = decontaminate.hashed_words(some)
+            for body, a, b in zip(some, first, first[1:]):
+                words = decontaminate.tokens(body)
+                assert len(words) == b - a
+                assert all(seen.setdefault(w, h) == h for w, h in zip(words, hashes[a:b].tolist()))
+                count += 1
+        assert count == len(bodies) and len(set(seen.values())) == len(seen) > 400
+
+
+def test_few_regions_pass_without_a_passage(spark, monkeypatch):
+    rng = random.Random(9)
+    fresh = lambda n: " ".join(f"w{rng.randrange(100000)}" for _ in range(n))
+    bench = spark.createDataFrame([(k, fresh(40)) for k in range(200)], "item_id long, text string")
+    found, plain = {}, decontaminate.staged
+    monkeypatch.setattr(decontaminate, "staged", lambda df, label: found.setdefault(label, plain(df, label)))
+    docs = documents(spark, [(k, fresh(500)) for k in range(300)], clashing=True)
+    assert decontaminate.contaminated(docs, bench).count() == 0
+    assert found["regions"].count() <= 15
