@@ -49,6 +49,8 @@ from spreadlab.llm.text import WordHashes, arrow_batches, combined, join_small,
 from spreadlab.session import scratch_path, staged
 
 HASH_BITS = 48  # of a stored shingle; the set's size and its class come from all 64 bits
+MARK_BITS = 12  # low bits of an id that are places in a bitmap; the others name the bitmap
+MOST_BITMAPS = 16_384  # of half a kilobyte each that are sent to all tasks
 
 
 @dataclass(frozen=True)
@@ -224,6 +226,23 @@ def _ordered(one: str, two: str) -> list[Column]:
     return [F.least(one, two).alias("a"), F.greatest(one, two).alias("b")]
 
 
+def bitmaps(ids: DataFrame, c: str = "c") -> DataFrame:
+    """of, bits: the ids as bitmaps, so the driver holds a bit for each document instead of a row of a hash table."""
+    low = (1 << MARK_BITS) - 1
+    return ids.groupBy(F.shiftright(c, MARK_BITS).alias("of")).agg(
+        F.substring(F.bitmap_construct_agg(F.col(c).bitwiseAND(low)), 1, 1 << (MARK_BITS - 3)).alias("bits"))
+
+
+def marked(df: DataFrame, c: str, ids: DataFrame, keep: bool) -> DataFrame:
+    """The rows whose id ``c`` (not NULL) is one of ``ids``, or the others; ``ids`` has bitmaps."""
+    at = F.col(c).bitwiseAND((1 << MARK_BITS) - 1).cast("int")
+    byte = F.conv(F.hex(F.substring("bits", F.shiftright(at, 3) + 1, F.lit(1))), 16, 10).cast("int")
+    there = F.coalesce(F.call_function("getbit", byte, at.bitwiseAND(7)) == 1, F.lit(False))
+    found = join_small(df.withColumn("of", F.shiftright(c, MARK_BITS)), ids, ["of"], ids.count(),
+                       "inner" if keep else "left", MOST_BITMAPS)
+    return found.where(there if keep else ~there).select(*df.columns)
+
+
 def link_classes(sets: DataFrame, params: JoinParams) -> DataFrame | None:
     """c, root of the classes that link with another class; ``sets`` has c, n, grams, one row per class."""
     n = F.col("n")
@@ -271,11 +290,10 @@ def link_classes(sets: DataFrame, params: JoinParams) -> DataFrame | None:
         rich = staged(counted.where(F.col("h") >= params.at_least_long(n)).select(
             "c", F.explode(F.slice("hot", F.lit(1), F.col("lead").cast("int"))).alias("gram")), "rich")
     ends = candidates.select(F.explode(F.array("a", "b")).alias("c"))
-    ends = staged((ends if rich is None else ends.union(rich.select("c"))).distinct(), "ends")
-    ends_count = ends.count()
-    if not ends_count:
+    ends = staged(bitmaps(ends if rich is None else ends.union(rich.select("c"))), "ends")
+    if ends.isEmpty():
         return None
-    whole = staged(join_small(sets.select("c", "grams"), ends, ["c"], ends_count, "inner"), "whole")
+    whole = staged(marked(sets.select("c", "grams"), "c", ends, True), "whole")
     links = verified(first, whole, params)
     if rich is not None:
         links = links.union(rich_links(rich, whole, params))
@@ -313,8 +331,8 @@ def _classes(docs: DataFrame, doc_id: str, text: str, params: JoinParams) -> tup
     heads = sets.where("n > 0").groupBy(*keys).agg(F.min("uid").alias("c"), F.min("doc_id").alias("least"))
     classes = staged(heads, "classes")
     rows = sets.select("uid", "doc_id", *keys)
-    copies = staged(rows.join(classes.select(*keys, "c"), keys).where("uid <> c").select("uid"), "copies")
-    single = join_small(sets.where("n > 0"), copies, ["uid"], copies.count(), "left_anti").withColumnRenamed("uid", "c")
+    copies = staged(bitmaps(rows.join(classes.select(*keys, "c"), keys).where("uid <> c"), "uid"), "copies")
+    single = marked(sets.where("n > 0"), "uid", copies, False).withColumnRenamed("uid", "c")
     labels = link_classes(single, params)
     if labels is None:
         return rows, classes.select(*keys, F.col("least").alias("component_id"))

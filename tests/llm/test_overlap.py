@@ -105,3 +105,22 @@ def test_awkward_rows(spark):
     assert overlap.similar_documents(empty(spark)).count() == 0
     kept = overlap.keep_one(awkward(spark, clashing=True))
     assert sorted(str(r["doc_id"]) for r in kept.collect()) == sorted(["1", "1", "2", "3", "4", "5", "None", "6", "7"])
+
+
+def test_marked_ids_are_found_by_bits(spark):
+    rng = random.Random(4)
+    ids = sorted({(rng.randrange(4) << 33) + rng.choice([0, 7, 8, 4095, 4096, rng.randrange(20_000)]) for _ in range(3000)})
+    some = set(rng.sample(ids, len(ids) // 3))
+    bits = overlap.bitmaps(spark.createDataFrame([(i,) for i in some for _ in "12"], "c long"))
+    assert bits.count() <= 20
+    for keep in (True, False):
+        got = overlap.marked(spark.createDataFrame([(i,) for i in ids], "c long"), "c", bits, keep)
+        assert got.columns == ["c"] and sorted(r.c for r in got.collect()) == [i for i in ids if (i in some) == keep]
+
+
+def test_no_row_per_document_is_sent_to_all_tasks(spark, monkeypatch):
+    sent, plain = [], overlap.join_small
+    monkeypatch.setattr(overlap, "join_small", lambda left, small, keys, rows, *more: sent.append(rows) or plain(left, small, keys, rows, *more))
+    rows = [(k, f"{' '.join(f'w{k // 4}.{j}' for j in range(20))}{' end' * (k % 2)}") for k in range(800)]
+    assert found(documents(spark, rows)) == brute(rows)
+    assert len(sent) == 3 and max(sent) < 50  # 400 rows are copies, 400 documents have a candidate
