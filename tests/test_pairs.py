@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from dataclasses import replace
 from fractions import Fraction
 
 import numpy as np
@@ -11,6 +12,8 @@ import pytest
 
 from spreadlab.operators import pairs
 from spreadlab.operators.pairs import block_statistics, pair_statistics
+from spreadlab.params import PairParams
+from spreadlab.plans import pair_zscores
 
 SCHEMA = "security string, values array<double>, last_value double, cusip string, grp string"
 
@@ -127,3 +130,43 @@ def test_values_without_bounds(spark):
     assert got["a", "b"][0] == 3 and got["a", "b"][3:5] == (-2.0, inf)  # inf - inf is no difference
     assert got["a", "c"][0] == 4 and got["a", "c"][4] == inf
     assert got["a", "c"][6:8] == (1, 2) and got["b", "c"][6:8] == (2, 3)
+
+
+@pytest.mark.parametrize("group", [None, "grp"])
+@pytest.mark.parametrize("flat", [False, True])
+def test_many_pairs_are_shuffled_once_to_the_tasks_that_sort_them(spark, monkeypatch, plan, group, flat):
+    history = [(day, f"s{i % 40:02d}{'é' if i % 3 else 'z'}", str(i), f"g{i % 3}", 5.0 if flat and i % 5 else float(value))
+               for i, values in enumerate(np.random.default_rng(5).normal(100, 9, (40, 6)).round(1)) for day, value in enumerate(values)]
+    df = spark.createDataFrame(history, "day int, s string, c string, grp string, v double").selectExpr(
+        "date_add(date'2024-01-01', day) AS d", "s", "c", "grp", "v")
+    cols = pair_zscores.Panel("d", "s", "c", "v", ("d",), group=group)
+    params = replace(PairParams(), max_series=None, min_observations=1, lookback_rows=5, history_days=0, min_coverage=0.0)
+    before = pair_zscores.pair_zscores(df, cols, params)
+    want = before.collect()
+    monkeypatch.setattr(pair_zscores, "MANY_PAIRS", 0)
+    monkeypatch.setattr(pairs, "_SAMPLE", 60)
+    after = pair_zscores.pair_zscores(df, cols, params)
+    assert after.collect() == want and len(want) > 200
+    assert after.columns == before.columns
+    # all pairs of the series are compared once and shuffled once
+    text = plan(after)
+    above = text[:text.index("FlatMapGroupsInPandas")]
+    assert above.count("Exchange") == 1 and "rangepartitioning" not in text, text
+
+
+def test_ranges_follow_the_order_of_the_report():
+    rng = np.random.default_rng(2)
+    rows = pd.DataFrame({"s_1": [f"n{i}" for i in rng.integers(0, 9, 400)], "s_2": [f"n{i}" for i in rng.integers(0, 9, 400)],
+                         "std": rng.choice([0.0, 1.0, 2.0, np.nan], 400), "last_diff": rng.choice([1.0, -2.0, np.inf, np.nan, 7.0], 400),
+                         "mean": rng.choice([0.0, 1.0, np.inf], 400)})
+    ranges = [(-7.0, "n3", "n3"), (-7.0, "n5", "n1"), (-1.0, "n2", "n8"), (-0.0, "n4", "n0"), (-0.0, "n4", "n4")]
+    rows["place"] = pairs._places(rows, "s", ranges)
+    score = (rows["last_diff"] - rows["mean"]) / rows["std"]
+    for at, row in rows.iterrows():
+        if not row["std"] > 0:
+            key = (1, 0.0)
+        elif math.isnan(row["last_diff"]):
+            key = (2, 0.0)  # missing in Spark: after all others
+        else:
+            key = (0, 0.0) if math.isnan(score[at]) else (1, -abs(score[at]))
+        assert row["place"] == sum((1, *r) < (*key, row["s_1"], row["s_2"]) for r in ranges)
